@@ -22,7 +22,7 @@ def _parts(df: DataFrame, n_parts: int | None) -> int:
 
 
 def global_row_number(df: DataFrame, order: list[Column | str], out_col: str = "row_no",
-                      n_parts: int | None = None) -> DataFrame:
+                      n_parts: int | None = None, keep_part: bool = False) -> DataFrame:
     """0-based position of each row in the total order ``order`` (must be a total
     order for a deterministic result)."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -33,7 +33,7 @@ def global_row_number(df: DataFrame, order: list[Column | str], out_col: str = "
         Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_p").orderBy(*cols)
     out = r.join(F.broadcast(offs), "_p").withColumn(out_col, (F.col("_off") + F.row_number().over(w) - 1))
-    return out.drop("_p", "_off")
+    return out.drop("_off") if keep_part else out.drop("_p", "_off")
 
 
 def global_dense_rank(df: DataFrame, cols: list[str], out_col: str = "rank",
@@ -57,3 +57,20 @@ def global_running_sum(df: DataFrame, order: list[Column | str], value: Column |
     w = Window.partitionBy("_p").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
     out = r.join(F.broadcast(offs), "_p").withColumn(out_col, F.col("_off") + F.sum("_v").over(w))
     return out.drop("_p", "_off", "_v")
+
+
+def group_row_number(df: DataFrame, group: list[str], order: list[Column | str], out_col: str = "rank",
+                     n_parts: int | None = None, count_col: str | None = None) -> DataFrame:
+    """0-based row number inside each group, without a per-group window.
+
+    Rows are numbered globally over ``group + order`` (range partitions split
+    a hot group across many tasks); the group's first global number is then
+    subtracted.  The start is joined back on (partition, group), so a hot
+    group's rows stay spread over their partitions.  Exact for any group size."""
+    g = global_row_number(df, [*group, *order], "_g", n_parts, keep_part=True)
+    per = g.groupBy("_p", *group).agg(F.min("_g").alias("_gp"), F.count(F.lit(1)).alias("_np"))  # <= parts + groups
+    starts = per.groupBy(*group).agg(F.min("_gp").alias("_g0"), F.sum("_np").alias("_gn"))
+    tbl = per.join(starts, group).select("_p", *group, "_g0", "_gn")
+    out = g.join(tbl, ["_p", *group]).withColumn(out_col, F.col("_g") - F.col("_g0"))
+    out = out.withColumnRenamed("_gn", count_col) if count_col else out.drop("_gn")
+    return out.drop("_g", "_g0", "_p")
