@@ -46,8 +46,8 @@ TAGGED_CTE = AXES_CTE + """,
 tagged AS (SELECT doc_id, type, code, concat_ws(' ', type, text, lower(type)) AS text FROM axes)"""
 
 
-def with_(*ctes: str) -> str:
-    return "WITH " + ",".join(c.strip().rstrip(",") for c in ctes) + "\n"
+def with_(*ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",".join(c.strip().rstrip(",") for c in ctes) + "\n"
 
 
 def sql_list(words) -> str:
