@@ -74,3 +74,18 @@ def group_row_number(df: DataFrame, group: list[str], order: list[Column | str],
     out = g.join(tbl, ["_p", *group]).withColumn(out_col, F.col("_g") - F.col("_g0"))
     out = out.withColumnRenamed("_gn", count_col) if count_col else out.drop("_gn")
     return out.drop("_g", "_g0", "_p")
+
+
+def global_running_max(df: DataFrame, order: list[Column | str], value: Column | str, out_col: str,
+                       n_parts: int | None = None) -> DataFrame:
+    """Inclusive running max of ``value`` (nulls ignored) in the total order ``order``."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    v = F.col(value) if isinstance(value, str) else value
+    r = df.withColumn("_v", v).repartitionByRange(_parts(df, n_parts), *cols).withColumn("_p", F.spark_partition_id())
+    r = cut_lineage(r)
+    mx = r.groupBy("_p").agg(F.max("_v").alias("_mx"))
+    offs = mx.select("_p", F.max("_mx").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    w = Window.partitionBy("_p").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    out = r.join(F.broadcast(offs), "_p", "left").withColumn(out_col, F.greatest(F.col("_off"), F.max("_v").over(w)))
+    return out.drop("_p", "_off", "_v")
