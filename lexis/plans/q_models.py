@@ -1,3 +1,179 @@
-"""Registered queries."""
+"""Registered model queries (MOD-1..4, MOD-6..11).  No SQL equivalent: the
+driver records a rows-only check (one row per test document).
+
+Labelled documents -> count features (cached, shared by every model) ->
+stratified seeded 15% hold-out -> fit -> predict.  Label = alphabetical
+class index of the four-letter type."""
 
 from __future__ import annotations
+
+import os
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import functions as F
+
+from lexis.functions import labels as L
+from lexis.operators import features as FT
+from lexis.operators import models as MD
+from lexis.operators import split as SP
+from lexis.plans.registry import query
+from lexis.session import scratch_path
+from lexis.sources import tables as V
+
+_CACHE: dict = {}
+
+
+def _data(spark, d, vocab_size: int = 2048):
+    key = (d, vocab_size, id(spark))
+    if key in _CACHE:
+        return _CACHE[key]
+    a = V.axes(spark, d).select("doc_id", "text", "type", "code", "b_ie", "b_ns", "b_ft", "b_jp")
+    feats, _ = MD.count_features(a, "text", vocab_size=vocab_size)
+    sp = SP.split_stratified(feats, "doc_id", "code", 0.15, 1).cache()
+    train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
+    # label-encoder index over the classes seen in training (alphabetical,
+    # contiguous); a class only present in the hold-out gets the extra index
+    idx = StringIndexer(inputCol="type", outputCol="label", stringOrderType="alphabetAsc",
+                        handleInvalid="keep").fit(train)
+    train, test = idx.transform(train), idx.transform(test)
+    _CACHE[key] = (train, test)
+    return train, test
+
+
+def _out(pred):
+    return pred.select("doc_id", F.col("label").cast("int").alias("label"),
+                       F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("model_rf")
+def model_rf(spark, d):
+    """Random forest, 16 classes (query: 50 trees; library default 200)."""
+    tr, te = _data(spark, d)
+    return _out(MD.fit_predict(MD.random_forest(50), tr, te))
+
+
+@query("model_gbt")
+def model_gbt(spark, d):
+    """Boosted trees one-vs-rest (query: 10 rounds; library default 200)."""
+    tr, te = _data(spark, d)
+    return _out(MD.fit_predict(MD.boosted_trees(10), tr, te))
+
+
+@query("model_linear_svc")
+def model_linear_svc(spark, d):
+    """Hinge-loss linear model, 10 iterations, one-vs-rest."""
+    tr, te = _data(spark, d)
+    return _out(MD.fit_predict(MD.linear_svc(10), tr, te))
+
+
+@query("model_logreg")
+def model_logreg(spark, d):
+    """Multinomial logistic regression, C = 1."""
+    tr, te = _data(spark, d)
+    return _out(MD.fit_predict(MD.logistic_regression(tr.count()), tr, te))
+
+
+@query("model_rff_svm")
+def model_rff_svm(spark, d):
+    """RBF-kernel SVM approximated by random Fourier features + linear SVC."""
+    tr, te = _data(spark, d)
+    n_in = tr.select("features").first()["features"].size
+    tr2 = MD.random_fourier_features(tr, "features", n_in, 128, gamma=0.01)
+    te2 = MD.random_fourier_features(te, "features", n_in, 128, gamma=0.01)
+    return _out(MD.fit_predict(MD.linear_svc(10), tr2, te2, "rff"))
+
+
+@query("model_axes")
+def model_axes(spark, d):
+    """Four binary axis classifiers on the same cached features; per axis the
+    accuracy and F1, plus the recombined 16-class accuracy (one row each)."""
+    from lexis.operators import metrics as M
+    tr, te = _data(spark, d)
+    preds = None
+    for ax in L.AXES:
+        a = ax.lower()
+        est = MD.LogisticRegression(labelCol=f"b_{a}", featuresCol="features", predictionCol=f"pred_{a}",
+                                    probabilityCol=f"prob_{a}", rawPredictionCol=f"raw_{a}", maxIter=50)
+        m = est.fit(tr.withColumn(f"b_{a}", F.col(f"b_{a}").cast("double")))
+        p = m.transform(te).select("doc_id", F.col(f"pred_{a}").cast("int").alias(f"pred_{a}"))
+        preds = p if preds is None else preds.join(p, "doc_id")
+    j = preds.join(te.select("doc_id", "b_ie", "b_ns", "b_ft", "b_jp", "label"), "doc_id")
+    rows = []
+    for ax in L.AXES:
+        a = ax.lower()
+        c = M.binary_counts(j, f"pred_{a}", f"b_{a}").select(F.lit(ax).alias("model"), *M.f1_columns())
+        rows.append(c.select("model", "accuracy", "f1_binary"))
+    rc = j.select(L.flip(L.code_from_bits("pred_ie", "pred_ns", "pred_ft", "pred_jp")).alias("p"),
+                  L.flip(L.code_from_bits("b_ie", "b_ns", "b_ft", "b_jp")).alias("t"))
+    allr = rc.agg((F.avg((F.col("p") == F.col("t")).cast("double"))).alias("accuracy")) \
+        .select(F.lit("recombined").alias("model"), "accuracy", F.lit(None).cast("double").alias("f1_binary"))
+    out = rows[0]
+    for r in rows[1:] + [allr]:
+        out = out.unionByName(r)
+    return out
+
+
+def _ngram_data(spark, d):
+    a = V.axes(spark, d).select("doc_id", "text", "code", "b_ie")
+    v = FT.ngram_presence(a, "doc_id", "text", (2, 3, 4), 512)
+    x = v.join(a.select("doc_id", "code", "b_ie"), "doc_id")
+    sp = SP.split_stratified(x, "doc_id", "code", 0.15, 1).cache()
+    return sp.where("split = 'train'"), sp.where("split = 'test'")
+
+
+@query("model_mlp_axis")
+def model_mlp_axis(spark, d):
+    """n-gram presence features + perceptron with 2 outputs (I/E axis)."""
+    tr, te = _ngram_data(spark, d)
+    tr = tr.withColumn("label", F.col("b_ie").cast("double"))
+    te = te.withColumn("label", F.col("b_ie").cast("double"))
+    return _out(MD.fit_predict(MD.mlp(3 * 512, 2, 16, 30), tr, te))
+
+
+@query("model_mlp_16")
+def model_mlp_16(spark, d):
+    """n-gram presence features + perceptron with 16 soft-max outputs; the
+    class probabilities feed the soft confusion matrix (actual, class, p_sum)."""
+    from pyspark.ml.functions import vector_to_array
+    from lexis.operators import metrics as M
+    tr, te = _ngram_data(spark, d)
+    tr = tr.withColumn("label", L.flip("code").cast("double"))
+    te = te.withColumn("label", L.flip("code").cast("double"))
+    p = MD.fit_predict(MD.mlp(3 * 512, 16, 16, 30), tr, te)
+    p = p.withColumn("probs", vector_to_array("probability"))
+    return M.confusion_soft(p, "label", "probs").select("actual", "class", F.round("p_sum", 6).alias("p_sum"))
+
+
+@query("batch_score")
+def batch_score(spark, d):
+    """Batch scoring of packed chunks by a fitted pipeline (persisted and
+    reloaded, MOD-11): count features + logistic regression on the I/E axis,
+    applied to each person's 300-word chunks; prediction + target per chunk."""
+    from lexis.plans.q_chunk import _pack_person
+    a = V.axes(spark, d).select("doc_id", "text", F.col("b_ie").cast("double").alias("label"))
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+    pipe = Pipeline(stages=[
+        RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"(?U)\b\w\w+\b", gaps=False, toLowercase=True),
+        CountVectorizer(inputCol="tok", outputCol="features", vocabSize=2048),
+        MD.LogisticRegression(labelCol="label", maxIter=30)])
+    model = pipe.fit(a)
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    ch = _pack_person(spark, d).select("person_id", "chunk_no", F.col("chunk").alias("text"),
+                                       F.when(F.substring("type", 1, 1) == "I", 0).otherwise(1).alias("target"))
+    return loaded.transform(ch).select("person_id", "chunk_no", F.col("prediction").cast("int").alias("pred"),
+                                       "target")
+
+
+@query("label_indexer")
+def label_indexer(spark, d):
+    """Alphabetical label index through Spark ML (StringIndexer, alphabetAsc)."""
+    a = V.axes(spark, d).select("doc_id", "type")
+    m = StringIndexer(inputCol="type", outputCol="idx", stringOrderType="alphabetAsc").fit(a)
+    return m.transform(a).select("doc_id", "type", F.col("idx").cast("int").alias("label_alpha"))
+
+
+_ = os
