@@ -302,3 +302,75 @@ def score_to_label(spark, d):
     t = SC.scores_to_labels(s, "person_id")
     return t.select("person_id", "type_pred", *[F.round(f"s_{a.lower()}", 6).alias(f"s_{a.lower()}") for a in L.AXES],
                     *[f"conf_{a.lower()}" for a in L.AXES])
+
+
+# --------------------------------------------------------------------------
+# request scoring, batch and stream (STR-1)
+# --------------------------------------------------------------------------
+def _request_sql() -> str:
+    from lexis.plans.q_chunk import TOK
+    lg = _logits_sql("text")
+    cols = ", ".join(f"1.0 / (1.0 + exp(-({x}))) AS p_{a.lower()}" for x, a in zip(lg, L.AXES))
+    scores = ", ".join(f"avg(p_{a.lower()}) * 100 AS score_{a.lower()}" for a in L.AXES)
+    return S.with_(S.POSTS_CTE, recursive=True) + f""",
+c AS (SELECT person_id, list_transform(string_split({S.clean_request('posts')}, '.'), lambda s: s || '.') AS parts
+      FROM posts),
+s AS (SELECT person_id, unnest(range(len(parts))) AS k, unnest(parts) AS t FROM c),
+sz AS (SELECT person_id, k, t, len(regexp_extract_all(lower(t), '{TOK}')) AS n FROM s),
+rec AS (
+  SELECT person_id, -1 AS k, CAST([] AS VARCHAR[]) AS done, '' AS ct, 0 AS cn FROM c
+  UNION ALL
+  SELECT r.person_id, r.k + 1,
+         CASE WHEN r.cn + x.n <= 1024 THEN r.done ELSE list_append(r.done, r.ct) END,
+         CASE WHEN r.cn + x.n <= 1024 THEN r.ct || x.t ELSE x.t END,
+         CASE WHEN r.cn + x.n <= 1024 THEN r.cn + x.n ELSE x.n END
+  FROM rec r JOIN sz x ON x.person_id = r.person_id AND x.k = r.k + 1),
+fin AS (SELECT person_id, CASE WHEN cn >= 10 THEN list_append(done, ct) ELSE done END AS chunks FROM rec
+        QUALIFY k = max(k) OVER (PARTITION BY person_id)),
+ch AS (SELECT person_id, unnest(chunks) AS text FROM fin),
+cl AS (SELECT person_id, {cols} FROM ch),
+sc0 AS (SELECT person_id, {scores} FROM cl GROUP BY person_id),
+sc AS (SELECT f.person_id, CAST(len(f.chunks) AS INTEGER) AS n_chunks, sc0.score_ie, sc0.score_ns, sc0.score_ft, sc0.score_jp
+       FROM fin f LEFT JOIN sc0 USING (person_id)),
+tg AS (SELECT person_id, n_chunks,
+  (CASE WHEN score_ie / 100 >= 0.5 THEN 'E' ELSE 'I' END) || (CASE WHEN score_ns / 100 >= 0.5 THEN 'N' ELSE 'S' END) ||
+  (CASE WHEN score_ft / 100 >= 0.5 THEN 'F' ELSE 'T' END) || (CASE WHEN score_jp / 100 >= 0.5 THEN 'J' ELSE 'P' END) AS type_pred,
+  100 - score_ie / 100 * 100 AS s_ie, score_ns / 100 * 100 AS s_ns, score_ft / 100 * 100 AS s_ft, score_jp / 100 * 100 AS s_jp
+  FROM sc)
+SELECT person_id AS request_id, n_chunks, type_pred, round(s_ie, 6) AS s_ie, round(s_ns, 6) AS s_ns,
+       round(s_ft, 6) AS s_ft, round(s_jp, 6) AS s_jp,
+       round(greatest(s_ie, 100 - s_ie), 2) AS conf_ie, round(greatest(s_ns, 100 - s_ns), 2) AS conf_ns,
+       round(greatest(s_ft, 100 - s_ft), 2) AS conf_ft, round(greatest(s_jp, 100 - s_jp), 2) AS conf_jp
+FROM tg"""
+
+
+def _round_scores(df):
+    return df.select("request_id", "n_chunks", "type_pred",
+                     *[F.round(f"s_{a.lower()}", 6).alias(f"s_{a.lower()}") for a in L.AXES],
+                     *[f"conf_{a.lower()}" for a in L.AXES])
+
+
+def _requests(spark, d):
+    return V.posts(spark, d).select(F.col("person_id").alias("request_id"), F.col("posts").alias("text"))
+
+
+@query("score_requests", _request_sql())
+def score_requests(spark, d):
+    """Batch path of the request scorer: clean -> sentences -> token-budget
+    chunks -> chunk scores -> mean per axis -> tags + confidences."""
+    from lexis.streaming.scorer import request_pipeline
+    return _round_scores(request_pipeline(_requests(spark, d)))
+
+
+@query("stream_score", _request_sql())
+def stream_score(spark, d):
+    """Streaming path: requests dropped as files, consumed once by a file
+    stream (availableNow) into a Parquet sink with a checkpoint; the sink is
+    read back and must equal the batch path."""
+    import os
+    from lexis.session import scratch_path
+    from lexis.streaming.scorer import stream_scores, write_requests
+    base = scratch_path(spark, "stream")
+    write_requests(_requests(spark, d), os.path.join(base, "in"))
+    stream_scores(spark, os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ckpt"))
+    return _round_scores(spark.read.parquet(os.path.join(base, "out")))
