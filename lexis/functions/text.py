@@ -222,9 +222,10 @@ def pipes_to_space(c) -> Column:
 
 
 def remove_stop_words(words, stop_words=None) -> Column:
-    """Keep order and duplicates: ``filter(words, w -> w not in stop)``."""
-    stop = F.array(*[F.lit(w) for w in (stop_words or STOP_WORDS)])
-    return F.filter(_c(words), lambda w: ~F.array_contains(stop, w))
+    """Keep order and duplicates: ``filter(words, w -> w not in stop)``; the
+    literal IN list becomes a hash-set lookup (InSet) in Catalyst."""
+    stop = list(stop_words or STOP_WORDS)
+    return F.filter(_c(words), lambda w: ~w.isin(*stop))
 
 
 def word_tokens(c) -> Column:

@@ -64,8 +64,11 @@ def tfidf_long(tf_long: DataFrame, vocab: DataFrame, n_docs: Column | int, id_co
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     v = vocab.select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     x = tf_long.join(F.broadcast(v), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = x.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return x.join(norms, id_col).select(id_col, "term", "tf", (F.col("w") / F.col("norm")).alias("tfidf"))
+    # the tf rows of a document are already clustered by document (the tf
+    # aggregate is keyed on it), so the norm window adds no exchange and no
+    # second pass over the tokens; a window group is one document's terms
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return x.select(id_col, "term", "tf", (F.col("w") / norm).alias("tfidf"))
 
 
 def tfidf_vectors(docs: DataFrame, vocab: DataFrame, n_docs: int, id_col: str = "doc_id",

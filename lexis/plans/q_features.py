@@ -95,3 +95,16 @@ def ngram_features(spark, d):
     from pyspark.ml.functions import vector_to_array
     v = FT.ngram_presence(_docs(spark, d), "doc_id", "text", (2, 3, 4), 4096)
     return v.select("doc_id", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("n_active"))
+
+
+@query("stopwords_anti_join", f"""
+WITH x AS (SELECT doc_id, regexp_extract_all(lower(text), '{TOK}') AS toks FROM documents),
+t AS (SELECT doc_id, unnest(range(len(toks))) AS pos, unnest(toks) AS term FROM x),
+sw AS (SELECT unnest({S.STOP_LIST_SQL}) AS term)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, term FROM t WHERE term NOT IN (SELECT term FROM sw)""")
+def stopwords_anti_join(spark, d):
+    """Stop-word removal on token rows as a left-anti join with the stop-word
+    table (179 rows: a bounded broadcast)."""
+    toks = FT.tokens_long(_docs(spark, d), "doc_id", "text")
+    sw = spark.createDataFrame([(w,) for w in T.STOP_WORDS], "term string")
+    return toks.join(F.broadcast(sw), "term", "left_anti").select("doc_id", "pos", "term")

@@ -18,7 +18,7 @@ from lexis.operators.ranking import group_row_number
 from lexis.plans import sqlviews as S
 from lexis.plans.q_metrics import _AX_CTE, _F1_SQL, _axis_scored, _grid_sql, _logits_sql
 from lexis.plans.registry import query
-from lexis.session import scratch_path
+from lexis.session import cut_lineage, scratch_path
 from lexis.sources import logs as LG
 from lexis.sources import tables as V
 
@@ -27,27 +27,36 @@ from lexis.sources import tables as V
 # prediction logs, one file set per axis
 # --------------------------------------------------------------------------
 def write_prediction_logs(spark, d) -> str:
+    """One job writes the four axis logs (``axis=<AX>/part-*``): a noise
+    header, one ``tensor([P]) tensor([T])`` line per document in doc order,
+    and a summary line."""
     base = scratch_path(spark, "pred-logs")
     s = _axis_scored(spark, d)
-    n = s.count()
+    parts = []
     for ax in L.AXES:
         a = ax.lower()
-        body = s.select(F.lit(1).alias("k"), "doc_id", LG.format_prediction(f"pred_{a}", f"b_{a}").alias("line"))
-        head = spark.range(1).select(F.lit(0).alias("k"), F.lit(-1).cast("bigint").alias("doc_id"),
-                                     F.lit("Some weights were not initialized from the checkpoint").alias("line"))
-        tail = s.agg(F.sum((F.col(f"pred_{a}") == F.col(f"b_{a}")).cast("int")).alias("c")).select(
-            F.lit(2).alias("k"), F.lit(-1).cast("bigint").alias("doc_id"),
-            F.format_string("correct: %d, total: %d", F.col("c"), F.lit(n)).alias("line"))
-        LG.write_lines(head.unionByName(body).unionByName(tail), os.path.join(base, ax), ["k", "doc_id"])
+        parts.append(F.struct(F.lit(ax).alias("axis"), F.col(f"pred_{a}").alias("pred"), F.col(f"b_{a}").alias("t")))
+    long = s.select("doc_id", F.explode(F.array(*parts)).alias("x")).select("doc_id", "x.*")
+    # scored once: the range-partitioned write samples its input, and the
+    # summary lines read it again
+    long = cut_lineage(long)
+    body = long.select("axis", F.lit(1).alias("k"), "doc_id", LG.format_prediction("pred", "t").alias("line"))
+    summ = long.groupBy("axis").agg(F.sum((F.col("pred") == F.col("t")).cast("int")).alias("c"),
+                                    F.count(F.lit(1)).alias("n"))
+    tail = summ.select("axis", F.lit(2).alias("k"), F.lit(-1).cast("bigint").alias("doc_id"),
+                       F.format_string("correct: %d, total: %d", "c", "n").alias("line"))
+    head = summ.select("axis", F.lit(0).alias("k"), F.lit(-1).cast("bigint").alias("doc_id"),
+                       F.lit("Some weights were not initialized from the checkpoint").alias("line"))
+    LG.write_lines(head.unionByName(body).unionByName(tail), base, ["k", "doc_id"], partition_by="axis")
     return base
 
 
 def parsed_prediction_logs(spark, d):
     base = write_prediction_logs(spark, d)
-    lines = LG.read_lines(spark, [os.path.join(base, ax) for ax in L.AXES])
+    lines = LG.read_lines(spark, [os.path.join(base, f"axis={ax}") for ax in L.AXES])
     p = LG.parse_predictions(lines, pred_first=True)
-    p = p.withColumn("axis", F.regexp_extract("file", "/(IE|NS|FT|JP)/", 1))
-    return group_row_number(p, ["axis"], ["file", "line_no"], "pos")
+    p = p.withColumn("axis", F.regexp_extract("log", "axis=(IE|NS|FT|JP)$", 1))
+    return group_row_number(p, ["axis"], ["line_no"], "pos")
 
 
 @query("log_predictions", _AX_CTE + """
@@ -58,6 +67,23 @@ def log_predictions(spark, d):
     return parsed_prediction_logs(spark, d).select("axis", "pos", "pred", "target")
 
 
+@query("log_predictions_target_first", _AX_CTE + """
+SELECT axis, row_number() OVER (PARTITION BY axis ORDER BY doc_id) - 1 AS pos, pred, target FROM lng""")
+def log_predictions_target_first(spark, d):
+    """Writer variant that prints the target first: the same lines parsed
+    with ``pred_first=False`` give back (pred, target)."""
+    base = scratch_path(spark, "pred-logs-tf")
+    s = _axis_scored(spark, d)
+    parts = [F.struct(F.lit(ax).alias("axis"), F.col(f"pred_{ax.lower()}").alias("pred"),
+                      F.col(f"b_{ax.lower()}").alias("t")) for ax in L.AXES]
+    long = s.select("doc_id", F.explode(F.array(*parts)).alias("x")).select("doc_id", "x.*")
+    lines = long.select("axis", "doc_id", LG.format_prediction("t", "pred").alias("line"))
+    LG.write_lines(lines, base, ["doc_id"], partition_by="axis")
+    r = LG.read_lines(spark, [os.path.join(base, f"axis={ax}") for ax in L.AXES])
+    p = LG.parse_predictions(r, pred_first=False).withColumn("axis", F.regexp_extract("log", "axis=(IE|NS|FT|JP)$", 1))
+    return group_row_number(p, ["axis"], ["line_no"], "pos").select("axis", "pos", "pred", "target")
+
+
 @query("log_axis_f1", _AX_CTE + _F1_SQL)
 def log_axis_f1(spark, d):
     """Per-axis tp/fp/fn/tn and F1 from the parsed (stacked) logs."""

@@ -113,3 +113,21 @@ def sort_by_length(spark, d):
     from lexis.operators.ranking import global_row_number
     x = V.load(spark, d, "documents").select("doc_id", F.size(T.word_tokens("text")).alias("n_tokens"))
     return global_row_number(x, ["n_tokens", "doc_id"], "pos")
+
+
+@query("batch_number", _QUOTA_SQL + """,
+x AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') AS toks FROM documents),
+n AS (SELECT q.doc_id, q.pos, CAST(least(coalesce(len(x.toks), 0), 2048) AS INTEGER) AS n_tok
+      FROM q LEFT JOIN x ON q.doc_id = x.doc_id)
+SELECT CAST(floor(pos / 32) AS BIGINT) AS batch_no, count(*) AS n_rows, max(n_tok) AS padded_len
+FROM n GROUP BY 1""")
+def batch_number(spark, d):
+    """Id sequences cut to 2048 and grouped into batches of 32 by position
+    (quota-head order); each batch pads to its longest member."""
+    from lexis.functions import text as T
+    q = SP.split_quota_head(_axes(spark, d), "doc_id", "code", 15, 1).select("doc_id", "pos")
+    x = V.load(spark, d, "documents").select("doc_id", F.least(F.size(T.word_tokens("text")), F.lit(2048))
+                                             .cast("int").alias("n_tok"))
+    j = q.join(x, "doc_id", "left")
+    return j.groupBy(F.floor(F.col("pos") / 32).cast("bigint").alias("batch_no")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("n_tok").alias("padded_len"))

@@ -18,12 +18,17 @@ from lexis.operators.ranking import (global_row_number, global_running_max, glob
 
 
 def write_lines(df: DataFrame, path: str, order: list[str], line_col: str = "line",
-                n_files: int | None = None) -> None:
+                n_files: int | None = None, partition_by: str | None = None) -> None:
     """Write ``line_col`` as text, files and lines in ``order`` (range-partitioned,
-    so part file i holds the i-th key range)."""
+    so part file i holds the i-th key range).  With ``partition_by`` one job
+    writes one log folder per value (``<col>=<value>/part-*``)."""
     n = n_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    df.repartitionByRange(n, *order).sortWithinPartitions(*order).select(line_col) \
-        .write.mode("overwrite").text(path)
+    keys = ([partition_by] if partition_by else []) + list(order)
+    w = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if partition_by:
+        w.select(partition_by, line_col).write.mode("overwrite").partitionBy(partition_by).text(path)
+    else:
+        w.select(line_col).write.mode("overwrite").text(path)
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
