@@ -35,6 +35,16 @@ FROM grid g LEFT JOIN agg a ON g.bucket = a.bucket"""
 
 
 def hist_before_after_df(spark, d):
+    """Person word counts before / after the profile clean, bucketed by 50,
+    computed from post rows: no person text is joined (see
+    ``profile.person_clean_word_counts``); the oracle joins and cleans the
+    person texts the reference way."""
+    return P.hist_before_after_posts(V.post_rows(spark, d, with_type=False), 50)
+
+
+@query("hist_before_after_text", HIST_BEFORE_AFTER_SQL)
+def hist_before_after_text(spark, d):
+    """The same histogram through the person texts (reference row model)."""
     persons = V.posts(spark, d).select("person_id", "posts",
                                        C.clean_profile_col(F.col("posts")).alias("clean"))
     return P.hist_before_after(persons, "clean", "posts", 50)
@@ -48,7 +58,7 @@ agg AS (SELECT {_bucket_sql(S.space_parts('posts'), 50)} AS bucket, count(*) AS
 SELECT g.bucket, g.post_length, CAST(coalesce(a.cnt, 0) AS BIGINT) AS count
 FROM grid g LEFT JOIN agg a ON g.bucket = a.bucket""")
 def hist_person(spark, d):
-    return P.histogram(P.person_word_counts(V.post_rows(spark, d)), "n_words", 50)
+    return P.histogram(P.person_word_counts(V.post_rows(spark, d, with_type=False)), "n_words", 50)
 
 
 @query("hist_post", S.with_(S.POSTS_CTE, _grid_sql(5), f"""
@@ -57,7 +67,7 @@ SELECT g.bucket, g.post_length, CAST(coalesce(a.cnt, 0) AS BIGINT) AS count
 FROM grid g LEFT JOIN agg a ON g.bucket = a.bucket""")
 def hist_post(spark, d):
     from lexis.functions import text as T
-    pr = V.post_rows(spark, d).select(T.space_parts("post").alias("n"))
+    pr = V.post_rows(spark, d, with_type=False).select(T.space_parts("post").alias("n"))
     return P.histogram(pr, "n", 5)
 
 
@@ -73,7 +83,11 @@ def hist_docs(spark, d):
 
 @query("count_by_type", S.with_(S.POSTS_CTE) + "SELECT type, count(posts) AS n FROM posts GROUP BY type")
 def count_by_type(spark, d):
-    return P.count_by_type(V.posts(spark, d), "type", "posts")
+    """Persons per class.  A person's joined text is never null, so this counts
+    persons: one partial aggregate over the turns, no text is joined."""
+    persons = V.load(spark, d, "conversations").groupBy("conv_id").agg(F.lit(1).alias("one"))
+    lab = V.axes(spark, d).select(F.col("doc_id").alias("conv_id"), "type")
+    return P.count_by_type(persons.join(lab, "conv_id", "left"), "type", "one")
 
 
 @query("count_by_type_docs", S.with_(S.AXES_CTE) + "SELECT type, count(text) AS n FROM axes GROUP BY type")

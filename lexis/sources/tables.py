@@ -87,7 +87,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("person_id"), "type", "posts", "n_posts")
 
 
-def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def post_rows(spark: SparkSession, sf_dir: str, with_type: bool = True) -> DataFrame:
     """One row per post: (person_id, post_no, post, type) straight from the turns.
 
     Equal to ``posexplode(split(posts, '|||'))`` of the person view as long as
@@ -95,6 +95,9 @@ def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     per-person string: nothing is grouped, nothing skews.
     """
     conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    if not with_type:
+        return conv.select(F.col("conv_id").alias("person_id"), F.col("turn").alias("post_no"),
+                           F.col("text").alias("post"))
     lab = axes(spark, sf_dir).select(F.col("doc_id").alias("conv_id"), "type")
     return conv.join(lab, "conv_id", "left").select(
         F.col("conv_id").alias("person_id"), F.col("turn").alias("post_no"),
