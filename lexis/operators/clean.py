@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 from lexis.functions import text as T
 
 
+def with_once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add expensive columns that later filters or expressions read more than
+    once.  They are produced by a one-element ``inline`` (a Generate node), so
+    Catalyst cannot substitute copies of the expression into pushed-down
+    filters: each is evaluated once per row."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def clean_profile_col(c) -> Column:
     """Profile clean: URL drop, sentence-end words, punctuation, letters only,
     lower case, truncate at a tripled letter, drop 1-3 and 30-1000 letter
@@ -81,15 +89,20 @@ def clean_mask_lower_col(c) -> Column:
     return T.label_words_to(x, "*", upper=False, lower=True)
 
 
-def clean_mask_post_cols(c) -> tuple[Column, Column]:
-    """Per-post mask clean: returns (clean text, mask count before trimming)."""
+def clean_mask_post_regex(c) -> Column:
+    """Per-post mask clean, regex part (before the mask count and trimming)."""
     x = T.url_mask(c, " [MASK] ")
     x = T.digit_mask(x)
     x = T.squeeze_repeats(x)
     x = T.label_words_to(x, " [MASK] ")
     x = T.star_to_mask(x)
     x = T.collapse_same_ws(x)
-    x = T.any_triple_truncate(x)
+    return T.any_triple_truncate(x)
+
+
+def clean_mask_post_cols(c) -> tuple[Column, Column]:
+    """Per-post mask clean: returns (clean text, mask count before trimming)."""
+    x = clean_mask_post_regex(c)
     return T.trim_quotes_close(x), T.mask_count(x)
 
 
@@ -101,8 +114,14 @@ def usable(clean: Column, masks: Column) -> Column:
 
 def clean_mask_post(df: DataFrame, text_col: str = "post", out_col: str = "clean",
                     keep_unusable: bool = False) -> DataFrame:
-    x, m = clean_mask_post_cols(text_col)
-    out = df.withColumn(out_col, x).withColumn("n_masks", m)
+    # The trimming steps and the usability filter read the regex result many
+    # times.  A plain alias would be substituted back into the pushed-down
+    # filter (copies of the whole regex chain); producing it through a
+    # one-element ``inline`` (a Generate node) evaluates it once per row and
+    # filters stay above it.
+    x = with_once(df, _mp=clean_mask_post_regex(F.col(text_col)))
+    out = x.withColumn(out_col, T.trim_quotes_close(F.col("_mp"))).withColumn("n_masks", T.mask_count(F.col("_mp"))) \
+        .drop("_mp")
     if keep_unusable:
         return out.withColumn("usable", usable(F.col(out_col), F.col("n_masks")))
     return out.where(usable(F.col(out_col), F.col("n_masks")))
