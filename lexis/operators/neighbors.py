@@ -32,23 +32,24 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2
     n_pivots = max(n_pivots, k)
     piv = train.select(F.col(id_col).alias("pivot_id"), F.col(vec_col).alias("pvec"),
                        seeded_key(id_col, seed).alias("_h")).orderBy("_h", "pivot_id").limit(n_pivots)
-    # one row holding at most n_pivots pivots: attached to every row as a scalar
-    plist = F.broadcast(piv.agg(F.collect_list(F.struct("pivot_id", "pvec")).alias("pivots")))
+    # at most n_pivots pivots, read by every row as one scalar subquery value
+    pivots = piv.agg(F.collect_list(F.struct("pivot_id", "pvec")).alias("pivots")).scalar()
 
     def dists(vec: str):
-        return F.transform("pivots", lambda p: F.struct(F.sqrt(sq_dist(vec, p["pvec"])).alias("d"),
-                                                        p["pivot_id"].alias("pivot_id")))
+        return F.transform("_piv", lambda p: F.struct(F.sqrt(sq_dist(vec, p["pvec"])).alias("d"),
+                                                      p["pivot_id"].alias("pivot_id")))
 
     tr = train.select(F.col(id_col).alias("nid"), F.col(vec_col).alias("nvec"))
-    near = tr.join(plist, how="cross").select("nid", "nvec", F.array_min(dists("nvec")).alias("m"))
+    near = tr.select("nid", "nvec", pivots.alias("_piv")).select("nid", "nvec", F.array_min(dists("nvec")).alias("m"))
     assigned = near.select("nid", "nvec", F.col("m.pivot_id").alias("pivot_id"), F.col("m.d").alias("d_np"))
     radius = assigned.groupBy("pivot_id").agg(F.max("d_np").alias("radius"))          # <= n_pivots rows
-    rlist = F.broadcast(radius.agg(F.map_from_entries(F.collect_list(F.struct("pivot_id", "radius"))).alias("rad")))
-    q = test.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("qvec")).join(plist, how="cross") \
-        .select("qid", "qvec", dists("qvec").alias("dq")).join(rlist, how="cross")
+    rad = radius.agg(F.map_from_entries(F.collect_list(F.struct("pivot_id", "radius")))).scalar()
+    q = test.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("qvec"))
+    q = q.select("qid", "qvec", pivots.alias("_piv"), rad.alias("_rad")).select("qid", "qvec", "_rad",
+                                                                               dists("qvec").alias("dq"))
     q = q.withColumn("U", F.element_at(F.array_sort(F.transform("dq", lambda x: x["d"])), k))
     q = q.select("qid", "qvec", F.explode(F.filter(
-        "dq", lambda x: x["d"] - F.element_at(F.col("rad"), x["pivot_id"]) <= F.col("U") + F.lit(1e-9))).alias("c"))
+        "dq", lambda x: x["d"] - F.element_at(F.col("_rad"), x["pivot_id"]) <= F.col("U") + F.lit(1e-9))).alias("c"))
     cand = q.select("qid", "qvec", F.col("c.pivot_id").alias("pivot_id"))
     pairs = cand.join(assigned, "pivot_id").select("qid", "pivot_id", "nid", F.sqrt(sq_dist("qvec", "nvec")).alias("dist"))
     # two-level top-k: per (query, cluster) first, then per query over <= n_pivots * k rows

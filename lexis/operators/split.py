@@ -50,12 +50,10 @@ def split_quota_head(df: DataFrame, id_col: str, label_col: str, pct: int = 15,
 def batch_split(df: DataFrame, pos_col: str = "pos", batch_size: int = 32, test_num: int = 3,
                 test_den: int = 20) -> DataFrame:
     """Positional split by batches: the first ``n_batches*3//20`` batches are test."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    x = df.crossJoin(F.broadcast(n))  # one-row side
-    nb = F.ceil(F.col("_n") / batch_size)
-    return x.withColumn("batch_no", F.floor(F.col(pos_col) / batch_size).cast("bigint")) \
-        .withColumn("split", F.when(F.col("batch_no") < F.floor(nb * test_num / test_den), "test").otherwise("train")) \
-        .drop("_n")
+    n = df.count()                      # one scalar
+    n_test = (-(-n // batch_size)) * test_num // test_den
+    return df.withColumn("batch_no", F.floor(F.col(pos_col) / batch_size).cast("bigint")) \
+        .withColumn("split", F.when(F.col("batch_no") < n_test, "test").otherwise("train"))
 
 
 def split_overlap(df: DataFrame, label_col: str, order: list[str], disjoint: bool = False) -> DataFrame:

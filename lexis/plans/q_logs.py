@@ -145,7 +145,7 @@ def _train_log_lines(spark, d, axis: str):
     s = _axis_scored(spark, d).select("doc_id", F.col(f"logit_{a}").alias("logit"), F.col(f"b_{a}").alias("t"))
     sp = SP.split_stratified(s, "doc_id", "t", 0.15, 3)
     ep = spark.range(1, N_EPOCHS + 1).select(F.col("id").cast("int").alias("epoch"))
-    x = sp.join(F.broadcast(ep), how="cross")  # N_EPOCHS rows: one log pass per epoch
+    x = sp.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(N_EPOCHS))))  # one log pass per epoch
     lg = F.col("logit") * F.col("epoch") / 2.0
     n_train = sp.where("split = 'train'").count()
     train = x.where("split = 'train'").select(
