@@ -94,7 +94,8 @@ def _run_stats(f, prefix: str) -> list:
             F.size(F.regexp_extract_all(f, F.lit(T.U + r"([^\S ])\1+"), F.lit(0))).alias(f"{prefix}_runs"),
             F.startswith(f, F.lit(" ")).alias(f"{prefix}_lead"),
             F.endswith(f, F.lit(" ")).alias(f"{prefix}_trail"),
-            (F.length(f) == 0).alias(f"{prefix}_empty")]
+            (F.length(f) == 0).alias(f"{prefix}_empty"),
+            T.word_count_regex(f).alias(f"{prefix}_words")]
 
 
 def person_clean_word_counts(post_rows: DataFrame) -> DataFrame:
@@ -143,7 +144,7 @@ def person_clean_word_counts(post_rows: DataFrame) -> DataFrame:
     # post starts a new space run unless a space precedes it
     follows = (~is_cut) & ((~pick("empty") & ~pick("trail")) | (pick("empty") & is_first))
     spaces = pick("starts") + pick("runs") + lead + follows.cast("int")
-    after = k.groupBy("person_id").agg((F.sum(spaces) + 1).alias("n_after"))
+    after = k.groupBy("person_id").agg((F.sum(spaces) + 1).alias("n_after"), F.sum(pick("words")).alias("n_words"))
     return per.select("person_id", "n_before").join(after, "person_id")
 
 

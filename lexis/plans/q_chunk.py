@@ -107,9 +107,11 @@ c AS (SELECT person_id, {S.clean_profile('posts')} AS clean FROM posts)""") + f"
 SELECT person_id, CAST(len(regexp_extract_all(clean, '{S.W}+')) AS INTEGER) AS n_words FROM c
 WHERE len(regexp_extract_all(clean, '{S.W}+')) >= 20""")
 def min_words_filter(spark, d):
-    p = V.posts(spark, d).select("person_id", "posts")
-    p = C.with_once(p, n_words=T.word_count_regex(C.clean_profile_col(F.col("posts"))))
-    return p.select("person_id", "n_words").where(F.col("n_words") >= 20)
+    """Persons with >= 20 words after the profile clean, counted from the
+    posts (no joined person text; see ``profile.person_clean_word_counts``)."""
+    from lexis.operators import profile as P
+    c = P.person_clean_word_counts(V.post_rows(spark, d, with_type=False))
+    return c.select("person_id", F.col("n_words").cast("int").alias("n_words")).where(F.col("n_words") >= 20)
 
 
 # --- request packing (PCK-3 + PAD-2) ----------------------------------------

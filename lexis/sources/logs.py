@@ -34,13 +34,24 @@ def write_lines(df: DataFrame, path: str, order: list[str], line_col: str = "lin
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, log, line_no, line) for text logs.  A log is a folder of part
     files written by ``write_lines`` (or a single file); ``line_no`` is 0-based
-    across the log's files in name order."""
+    across the log's files in name order.
+
+    Exact without a sort of the lines: every file split (file, block start) is
+    read in order by one task, so a row's place inside its split is its id
+    minus the split's first id; the splits' line counts (one row per split,
+    bounded by the file listing) are prefix-summed per log and broadcast."""
+    from pyspark.sql import Window
     raw = spark.read.text(path).select(
         F.input_file_name().alias("file"), F.input_file_block_start().alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"), F.col("value").alias("line"))
     raw = raw.withColumn("log", F.when(F.col("file").rlike(r"/part-[^/]*$"),
                                        F.regexp_replace("file", r"/[^/]*$", "")).otherwise(F.col("file")))
-    return group_row_number(raw, ["log"], ["file", "_blk", "_mid"], "line_no").drop("_blk", "_mid")
+    splits = raw.groupBy("log", "file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy("log").orderBy("file", "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("log", "file", "_blk", "_m0",
+                           F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = raw.join(F.broadcast(splits), ["log", "file", "_blk"])
+    return out.select("file", "log", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("line_no"), "line")
 
 
 # ---------------------------------------------------------------------------

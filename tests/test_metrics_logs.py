@@ -88,3 +88,17 @@ def test_read_lines_numbers_across_files(spark, tmp_path):
     LG.write_lines(df, str(d), ["id"], n_files=5)
     r = LG.read_lines(spark, str(d)).select("line_no", "line").collect()
     assert sorted((x["line_no"], x["line"]) for x in r) == [(i, f"line {i}") for i in range(1000)]
+
+
+def test_read_lines_numbers_across_splits(spark, tmp_path):
+    p = tmp_path / "big.log"
+    p.write_text("".join(f"line {i} {'x' * (i % 37)}\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = LG.read_lines(spark, str(p))
+        assert df.rdd.getNumPartitions() > 5
+        r = df.select("line_no", "line").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((x["line_no"], x["line"]) for x in r) == [(i, f"line {i} {'x' * (i % 37)}") for i in range(3000)]
