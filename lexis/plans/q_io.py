@@ -69,7 +69,7 @@ def src_axis_slice(spark, d):
 
 
 @query("snk_matrix_csv", _AX_CTE + ", g AS (" + _grid_sql("rc", "pred_code", "actual_code") + ")\n"
-       + "SELECT row, " + ", ".join(f"sum(CASE WHEN col = {i} THEN n END) AS c{i}" for i in range(16))
+       + "SELECT row, " + ", ".join(f"CAST(sum(CASE WHEN col = {i} THEN n END) AS BIGINT) AS c{i}" for i in range(16))
        + " FROM g GROUP BY row")
 def snk_matrix_csv(spark, d):
     """16 x 16 matrix written header-less (row index as first column) and read back."""

@@ -95,7 +95,7 @@ def confusion_actual_rows(spark, d):
 
 
 @query("confusion_wide", _AX_CTE + ", g AS (" + _grid_sql("rc", "pred_code", "actual_code") + ")\n"
-       + "SELECT row, " + ", ".join(f"sum(CASE WHEN col = {i} THEN n END) AS c{i}" for i in range(16))
+       + "SELECT row, " + ", ".join(f"CAST(sum(CASE WHEN col = {i} THEN n END) AS BIGINT) AS c{i}" for i in range(16))
        + " FROM g GROUP BY row")
 def confusion_wide(spark, d):
     return M.confusion_wide(M.confusion_long(_recombined(spark, d), "pred_code", "actual_code", 16))
