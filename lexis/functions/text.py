@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 U = "(?U)"
+# for patterns using '.': only '\n' ends a line, as in Python (Java would also stop at '\r', '\u0085', ...)
+UD = "(?Ud)"
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference for equal results)
@@ -61,7 +63,7 @@ def _c(c) -> Column:
 def url_strip_ws(c) -> Column:
     """Pipes to spaces, append a space, drop URL through the next space/plus."""
     return F.regexp_replace(F.concat(F.replace(_c(c), F.lit("|"), F.lit(" ")), F.lit(" ")),
-                            U + URL_LAZY_RE, "")
+                            UD + URL_LAZY_RE, "")
 
 
 def eos_tokens(c) -> Column:
@@ -119,7 +121,7 @@ def url_mask(c, repl: str = " [MASK] ") -> Column:
 
 def url_star(c, repl: str = "* ") -> Column:
     """Lazy URL removal, twice (``https?`` then ``http?``)."""
-    return F.regexp_replace(F.regexp_replace(_c(c), U + URL_LAZY_RE, repl), U + URL_LAZY_RE_2, repl)
+    return F.regexp_replace(F.regexp_replace(_c(c), UD + URL_LAZY_RE, repl), UD + URL_LAZY_RE_2, repl)
 
 
 def digit_mask(c) -> Column:
