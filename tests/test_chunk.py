@@ -71,3 +71,45 @@ def test_pad_and_mask(spark):
     r = df.select(K.pad_truncate("t", 5).alias("p"), K.pad_truncate("t", 2).alias("c"),
                   K.attention_mask(K.pad_truncate("t", 5)).alias("m")).first()
     assert r["p"] == [5, 6, 7, 0, 0] and r["c"] == [5, 6] and r["m"] == [1, 1, 1, 0, 0]
+
+
+def _py_pack_words(pieces, budget=300):
+    out, sp = [], ""
+    for ss in pieces:
+        if len(sp.split(" ")) + len(ss.split(" ")) <= budget:
+            sp += ss
+        else:
+            out.append(sp)
+            sp = ss
+    out.append(sp)
+    return out
+
+
+def _py_pack_ids(seqs, budget=1024, min_last=10):
+    cur, out, temp = 0, [], []
+    for s in seqs:
+        if len(s) + cur <= budget:
+            temp = temp + s
+            cur += len(s)
+        else:
+            out.append(temp)
+            temp, cur = list(s), len(s)
+    if len(temp) >= min_last:
+        out.append(temp)
+    return out
+
+
+def test_row_packing_matches_python_loops(spark):
+    rnd = random.Random(9)
+    words = [" ".join("w" for _ in range(rnd.choice([0, 1, 3, 40, 120, 290, 301, 500]))) + ". "
+             for _ in range(200)]
+    piece_rows = [([rnd.choice(words) for _ in range(rnd.randint(0, 12))],) for _ in range(60)]
+    df = spark.createDataFrame(piece_rows, "p array<string>")
+    got = [r[0] for r in df.select(K.pack_words_col("p", 300)).collect()]
+    assert got == [_py_pack_words(p) for (p,) in piece_rows]
+
+    id_rows = [([[rnd.randint(1, 9)] * rnd.choice([0, 3, 9, 200, 700, 1024, 1500])
+                 for _ in range(rnd.randint(0, 10))],) for _ in range(60)]
+    df2 = spark.createDataFrame(id_rows, "s array<array<int>>")
+    got2 = [r[0] for r in df2.select(K.pack_ids_col("s", 1024, 10)).collect()]
+    assert got2 == [_py_pack_ids(s) for (s,) in id_rows]
