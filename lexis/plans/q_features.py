@@ -108,3 +108,17 @@ def stopwords_anti_join(spark, d):
     toks = FT.tokens_long(_docs(spark, d), "doc_id", "text")
     sw = spark.createDataFrame([(w,) for w in T.STOP_WORDS], "term string")
     return toks.join(F.broadcast(sw), "term", "left_anti").select("doc_id", "pos", "term")
+
+
+@query("count_matrix_shape", f"""
+WITH x AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '{TOK}'),
+                                      lambda w: NOT list_contains({S.STOP_LIST_SQL}, w)) AS toks FROM documents),
+t AS (SELECT DISTINCT unnest(toks) AS term FROM x)
+SELECT (SELECT count(*) FROM documents) AS n_rows, (SELECT count(*) FROM t) AS n_terms""")
+def count_matrix_shape(spark, d):
+    """Shape of the count matrix: documents x vocabulary width (both aggregates)."""
+    docs = _docs(spark, d)
+    n_terms = FT.tokens_long(docs, "doc_id", "text", T.STOP_WORDS).select("term").distinct() \
+        .agg(F.count(F.lit(1)).alias("n_terms"))
+    n_rows = docs.agg(F.count(F.lit(1)).alias("n_rows"))
+    return n_rows.select("n_rows", n_terms.scalar().alias("n_terms"))
