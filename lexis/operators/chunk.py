@@ -118,6 +118,12 @@ _ASSIGN = Ty.StructType([
     Ty.StructField("bin_start", Ty.LongType()), Ty.StructField("trailing_start", Ty.LongType())])
 
 
+def _next_flush(P: np.ndarray, Pm1: np.ndarray, t: int, budget: int) -> int:
+    """Index of the item that closes the bin started by item t (len(P) if none):
+    items j > t fit while P[j] <= P[t-1] + budget."""
+    return max(t + 1, int(np.searchsorted(P, Pm1[t] + budget, side="right")))
+
+
 def _summaries(budget: int):
     over = budget + 1
 
@@ -127,31 +133,26 @@ def _summaries(budget: int):
         sizes = pdf["size"].to_numpy().astype(np.int64)
         m = len(sizes)
         P = np.cumsum(sizes)
+        Pm1 = np.concatenate(([0], P[:-1]))
         memo: dict[int, tuple[int, int]] = {}
 
         def after_flush(j: int) -> tuple[int, int]:
-            """Exit fill and last flush index when item j starts a bin."""
-            if j in memo:
-                return memo[j]
-            path = [j]
-            fill = min(int(sizes[j]), over)
-            i = j + 1
-            res = None
-            while i < m:
-                s = int(sizes[i])
-                if fill + s <= budget:
-                    fill += s
-                else:
-                    if i in memo:
-                        res = memo[i]
-                        break
-                    path.append(i)
-                    fill = min(s, over)
-                i += 1
-            if res is None:
-                res = (fill, path[-1])
-            for t in path:
-                memo[t] = res
+            """Exit fill and last flush index when item j starts a bin; jumps
+            from bin to bin and stops where an earlier trajectory was seen."""
+            path = []
+            t = j
+            while True:
+                if t in memo:
+                    res = memo[t]
+                    break
+                path.append(t)
+                nxt = _next_flush(P, Pm1, t, budget)
+                if nxt >= m:
+                    res = (min(int(P[m - 1] - Pm1[t]), over), t)
+                    break
+                t = nxt
+            for x in path:
+                memo[x] = res
             return res
 
         rows = []
@@ -159,7 +160,8 @@ def _summaries(budget: int):
         total = int(P[-1])
         if total <= budget:
             rows.append((g, sg, int(seqs[0]), 0, budget - total, -1, -1, -1, total))
-        # candidates from the latest reachable first flush down to item 0 (memo reuse)
+        # candidate first flushes: item j closes the entry bin when
+        # budget - P[j] < f <= budget - P[j-1]  (f = entry fill, f = budget+1 means over-full)
         cands = []
         prev = 0
         for j in range(m):
@@ -216,17 +218,18 @@ def _assign(budget: int):
         pdf = pdf.sort_values("seq")
         sizes = pdf["size"].to_numpy().astype(np.int64)
         seqs = pdf["seq"].to_numpy()
+        m = len(sizes)
+        P = np.cumsum(sizes)
+        Pm1 = np.concatenate(([0], P[:-1]))
         f = int(pdf["entry_fill"].iat[0])
-        start = int(pdf["open_start"].iat[0])
-        out = np.empty(len(sizes), dtype=np.int64)
-        for i in range(len(sizes)):
-            s = int(sizes[i])
-            if f + s <= budget:
-                f += s
-            else:
-                start = int(seqs[i])
-                f = s
-            out[i] = start
+        out = np.empty(m, dtype=np.int64)
+        # items that still fit the bin open at entry
+        t = int(np.searchsorted(P, budget - f, side="right")) if f <= budget else 0
+        out[:t] = int(pdf["open_start"].iat[0])
+        while t < m:                      # one step per bin, not per item
+            nxt = _next_flush(P, Pm1, t, budget)
+            out[t:nxt] = seqs[t]
+            t = nxt
         return pd.DataFrame({"grp": pdf["grp"].to_numpy(), "seq": seqs, "bin_start": out,
                              "trailing_start": pdf["trailing_start"].to_numpy()})
     return fn

@@ -113,3 +113,19 @@ def test_row_packing_matches_python_loops(spark):
     df2 = spark.createDataFrame(id_rows, "s array<array<int>>")
     got2 = [r[0] for r in df2.select(K.pack_ids_col("s", 1024, 10)).collect()]
     assert got2 == [_py_pack_ids(s) for (s,) in id_rows]
+
+
+def test_pack_hot_groups_on_table(spark):
+    """Two groups hold all 60k lineitem rows; 5k-row segments; equals a loop."""
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select(
+        "l_linestatus", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("q"))
+    got = sorted(tuple(r) for r in K.pack_by_group(li, "l_linestatus", ["l_orderkey", "l_linenumber"], "q",
+                                                   1024, 5_000).collect())
+    pdf = li.toPandas().sort_values(["l_linestatus", "l_orderkey", "l_linenumber"])
+    want = []
+    for g, part in pdf.groupby("l_linestatus"):
+        sizes, ok, ln = part["q"].tolist(), part["l_orderkey"].tolist(), part["l_linenumber"].tolist()
+        for n, tot, first in _seq_pack(sizes, 1024):
+            want.append((g, ok[first] if first is not None else None, ln[first] if first is not None else None,
+                         n, tot))
+    assert got == sorted(want)
