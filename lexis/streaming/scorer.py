@@ -72,9 +72,10 @@ def _labels_inline(y: DataFrame) -> DataFrame:
     return out.select("*", *[L.confidence(f"s_{ax.lower()}").alias(f"conf_{ax.lower()}") for ax in L.AXES])
 
 
-def write_requests(df: DataFrame, path: str, n_files: int = 8) -> None:
-    """Drop requests as JSON-lines files (the producer side)."""
-    df.select(F.col("request_id").cast("long"), "text").repartition(n_files).write.mode("overwrite").json(path)
+def write_requests(df: DataFrame, path: str, n_files: int = 8, mode: str = "overwrite") -> None:
+    """Drop requests as JSON-lines files (the producer side); ``mode='append'``
+    adds new files next to those already consumed."""
+    df.select(F.col("request_id").cast("long"), "text").repartition(n_files).write.mode(mode).json(path)
 
 
 def stream_scores(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, max_files: int = 2,
