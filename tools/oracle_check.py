@@ -49,11 +49,25 @@ def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--show", action="store_true")
+    ap.add_argument("--plain", action="store_true", help="bare local[8] session with Spark defaults")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
 
-    from lexis.session import get_session
-    spark = get_session("local[8]", 8)
+    if a.plain:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+        import importlib.util
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(root, "__spark_entry__.py"))
+        entry = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(entry)
+        print("entry rows:", entry.entry(spark).count())
+        global queries, oracles
+        queries, oracles = entry.queries, entry.oracle_sql
+    else:
+        from lexis.session import get_session
+        spark = get_session("local[8]", 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{a.sf}/{t}.parquet')")
