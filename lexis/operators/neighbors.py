@@ -7,6 +7,10 @@ training points, so the k-th smallest distance to a pivot bounds the k-th
 neighbour distance U.  By the triangle inequality a cluster can only hold a
 point within U when ``d(q, pivot) - radius <= U``; only those clusters are
 joined to q.  The result is exact; the pairs evaluated are the candidates.
+
+Candidate pairs are evaluated block by block — one block = one cluster (split
+into buckets of at most ``bucket_rows`` points when large) with the queries
+that may reach it — by numpy inside a cogrouped ``applyInPandas``.
 """
 
 from __future__ import annotations
@@ -24,8 +28,42 @@ def sq_dist(a, b) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _block_topk(k: int, max_cells: int = 4_000_000):
+    """Exact top-k of one (cluster, bucket) block with numpy: squared
+    differences summed per pair, ties broken by neighbour id."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        if len(q) == 0 or len(t) == 0:
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "nid": pd.Series([], dtype="int64"),
+                                 "dist": pd.Series([], dtype="float64")})
+        Q = np.stack(q["qvec"].to_numpy()).astype(np.float64)
+        X = np.stack(t["nvec"].to_numpy()).astype(np.float64)
+        nids = t["nid"].to_numpy()
+        qids = q["qid"].to_numpy()
+        step = max(1, max_cells // max(1, X.shape[0] * X.shape[1]))
+        out_q, out_n, out_d = [], [], []
+        kk = min(k, len(nids))
+        for s in range(0, len(Q), step):
+            diff = Q[s:s + step, None, :] - X[None, :, :]
+            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+            for r in range(d.shape[0]):
+                row = d[r]
+                cut = np.partition(row, kk - 1)[kk - 1]
+                idx = np.nonzero(row <= cut)[0]           # every tie at the k-th distance
+                order = np.lexsort((nids[idx], row[idx]))[:kk]
+                sel = idx[order]
+                out_q.append(np.full(len(sel), qids[s + r]))
+                out_n.append(nids[sel])
+                out_d.append(row[sel])
+        return pd.DataFrame({"qid": np.concatenate(out_q), "nid": np.concatenate(out_n),
+                             "dist": np.concatenate(out_d)})
+    return fn
+
+
 def knn(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2, n_pivots: int = 32,
-        seed: int = 7, max_pivots: int = 4096) -> DataFrame:
+        seed: int = 7, max_pivots: int = 4096, bucket_rows: int = 20_000) -> DataFrame:
     """(query_id, rank 0..k-1, neighbor_id, dist) for every test row."""
     if n_pivots > max_pivots:
         raise ValueError("the pivot list travels with every row; keep it bounded")
@@ -42,21 +80,30 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2
     tr = train.select(F.col(id_col).alias("nid"), F.col(vec_col).alias("nvec"))
     near = tr.select("nid", "nvec", pivots.alias("_piv")).select("nid", "nvec", F.array_min(dists("nvec")).alias("m"))
     assigned = near.select("nid", "nvec", F.col("m.pivot_id").alias("pivot_id"), F.col("m.d").alias("d_np"))
-    radius = assigned.groupBy("pivot_id").agg(F.max("d_np").alias("radius"))          # <= n_pivots rows
-    rad = radius.agg(F.map_from_entries(F.collect_list(F.struct("pivot_id", "radius")))).scalar()
+    # per cluster: radius and the number of salt buckets (<= n_pivots rows)
+    stats = assigned.groupBy("pivot_id").agg(F.max("d_np").alias("radius"), F.count(F.lit(1)).alias("n"))
+    rad = stats.agg(F.map_from_entries(F.collect_list(F.struct("pivot_id", "radius")))).scalar()
+    nb = stats.agg(F.map_from_entries(F.collect_list(F.struct(
+        "pivot_id", F.ceil(F.col("n") / bucket_rows).cast("int"))))).scalar()
     q = test.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("qvec"))
-    q = q.select("qid", "qvec", pivots.alias("_piv"), rad.alias("_rad")).select("qid", "qvec", "_rad",
-                                                                               dists("qvec").alias("dq"))
+    q = q.select("qid", "qvec", pivots.alias("_piv"), rad.alias("_rad"), nb.alias("_nb")) \
+        .select("qid", "qvec", "_rad", "_nb", dists("qvec").alias("dq"))
     q = q.withColumn("U", F.element_at(F.array_sort(F.transform("dq", lambda x: x["d"])), k))
-    q = q.select("qid", "qvec", F.explode(F.filter(
-        "dq", lambda x: x["d"] - F.element_at(F.col("_rad"), x["pivot_id"]) <= F.col("U") + F.lit(1e-9))).alias("c"))
-    cand = q.select("qid", "qvec", F.col("c.pivot_id").alias("pivot_id"))
-    pairs = cand.join(assigned, "pivot_id").select("qid", "pivot_id", "nid", F.sqrt(sq_dist("qvec", "nvec")).alias("dist"))
-    # two-level top-k: per (query, cluster) first, then per query over <= n_pivots * k rows
-    w1 = Window.partitionBy("qid", "pivot_id").orderBy("dist", "nid")
-    top1 = pairs.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-    w2 = Window.partitionBy("qid").orderBy("dist", "nid")
-    return top1.withColumn("rank", F.row_number().over(w2) - 1).where(F.col("rank") < k) \
+    cand = q.select("qid", "qvec", "_nb", F.explode(F.filter(
+        "dq", lambda x: x["d"] - F.element_at(F.col("_rad"), x["pivot_id"]) <= F.col("U") + F.lit(1e-9))).alias("c")) \
+        .select("qid", "qvec", F.col("c.pivot_id").alias("pivot_id"), "_nb")
+    # a big cluster is split into buckets of <= bucket_rows points; its
+    # candidate queries visit every bucket
+    cand = cand.select("qid", "qvec", "pivot_id", F.explode(F.sequence(
+        F.lit(0), F.element_at(F.col("_nb"), F.col("pivot_id")) - 1)).alias("bucket"))
+    pts = assigned.withColumn("_nb", nb.alias("_nb"))
+    pts = pts.select("nid", "nvec", "pivot_id", F.pmod(F.xxhash64("nid"), F.element_at(F.col("_nb"), F.col("pivot_id")))
+                     .cast("int").alias("bucket"))
+    blocks = cand.groupBy("pivot_id", "bucket").cogroup(pts.groupBy("pivot_id", "bucket")).applyInPandas(
+        lambda q_, t_: _block_topk(k)(q_, t_), "qid long, nid long, dist double")
+    # second level over <= candidate buckets * k rows per query
+    w = Window.partitionBy("qid").orderBy("dist", "nid")
+    return blocks.withColumn("rank", F.row_number().over(w) - 1).where(F.col("rank") < k) \
         .select(F.col("qid").alias("query_id"), "rank", F.col("nid").alias("neighbor_id"), "dist")
 
 

@@ -9,8 +9,9 @@ def test_knn_exact_against_brute_force(spark):
     pts = [(i, [rnd.gauss(0, 1) + (i % 5) * 0.5 for _ in range(8)]) for i in range(300)]
     train = spark.createDataFrame(pts[:250], "id long, v array<double>")
     test = spark.createDataFrame(pts[250:], "id long, v array<double>")
-    for piv in (2, 8, 40):
-        got = {(r["query_id"], r["rank"]): r["neighbor_id"] for r in N.knn(train, test, "id", "v", 3, piv).collect()}
+    for piv, bucket in ((2, 20_000), (8, 7), (40, 1), (3, 50)):
+        got = {(r["query_id"], r["rank"]): r["neighbor_id"]
+               for r in N.knn(train, test, "id", "v", 3, piv, bucket_rows=bucket).collect()}
         for qi, qv in pts[250:]:
             ds = sorted((math.dist(qv, tv), ti) for ti, tv in pts[:250])[:3]
             for k, (_, ti) in enumerate(ds):
