@@ -30,7 +30,10 @@ def _data(spark, d, vocab_size: int = 2048):
         return _CACHE[key]
     a = V.axes(spark, d).select("doc_id", "text", "type", "code", "b_ie", "b_ns", "b_ft", "b_jp")
     feats, _ = MD.count_features(a, "text", vocab_size=vocab_size)
-    sp = SP.split_stratified(feats, "doc_id", "code", 0.15, 1).cache()
+    # iterative optimisers run one task per partition per iteration: cache the
+    # features in as many partitions as there are cores (narrow coalesce)
+    sp = SP.split_stratified(feats, "doc_id", "code", 0.15, 1) \
+        .coalesce(spark.sparkContext.defaultParallelism).cache()
     train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
     # label-encoder index over the classes seen in training (alphabetical,
     # contiguous); a class only present in the hold-out gets the extra index
@@ -118,7 +121,7 @@ def _ngram_data(spark, d):
     a = V.axes(spark, d).select("doc_id", "text", "code", "b_ie")
     v = FT.ngram_presence(a, "doc_id", "text", (2, 3, 4), 512)
     x = v.join(a.select("doc_id", "code", "b_ie"), "doc_id")
-    sp = SP.split_stratified(x, "doc_id", "code", 0.15, 1).cache()
+    sp = SP.split_stratified(x, "doc_id", "code", 0.15, 1).coalesce(spark.sparkContext.defaultParallelism).cache()
     return sp.where("split = 'train'"), sp.where("split = 'test'")
 
 
