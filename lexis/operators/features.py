@@ -165,5 +165,3 @@ def apply_lemmas(word_rows: DataFrame, lemmas: DataFrame, word_col: str = "word"
 def sort_by_length(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     return df.orderBy(F.size(tokens_col), *[c for c in df.columns if c != tokens_col])
 
-
-_ = Window  # re-exported for callers composing windows with these helpers

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from lexis.functions import labels as L
 from lexis.operators import metrics as M
-from lexis.operators import scoring as SC
 from lexis.operators import split as SP
 from lexis.operators.ranking import group_row_number
 from lexis.plans import sqlviews as S
@@ -217,5 +216,3 @@ def log_train_loss(spark, d):
     m = bce_by_epoch(spark, d)
     return m.select("axis", "epoch", "train_loss", "n_loss")
 
-
-_ = SC  # scorer module is the source of the logged logits

@@ -7,8 +7,6 @@ class index of the four-letter type."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
@@ -178,5 +176,3 @@ def label_indexer(spark, d):
     m = StringIndexer(inputCol="type", outputCol="idx", stringOrderType="alphabetAsc").fit(a)
     return m.transform(a).select("doc_id", "type", F.col("idx").cast("int").alias("label_alpha"))
 
-
-_ = os

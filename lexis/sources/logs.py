@@ -13,8 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexis.operators.ranking import (global_row_number, global_running_max, global_running_sum,
-                                     group_row_number)
+from lexis.operators.ranking import global_row_number, global_running_max, global_running_sum
 
 
 def write_lines(df: DataFrame, path: str, order: list[str], line_col: str = "line",
