@@ -49,10 +49,10 @@ COVERAGE = {
     "FEA-4": ["tfidf_vectors"], "FEA-5": ["ngram_features"],
     "MOD-1": ["model_rf"], "MOD-2": ["model_gbt"], "MOD-3": ["model_linear_svc"], "MOD-4": ["model_logreg"],
     "MOD-5": ["knn_predict"], "MOD-6": ["model_rff_svm"], "MOD-7": ["model_axes"], "MOD-8": ["model_mlp_axis"],
-    "MOD-9": ["model_mlp_16"], "MOD-10": ["batch_score"], "MOD-11": ["batch_score"],
+    "MOD-9": ["model_mlp_16"], "MOD-10": ["batch_score", "score_requests_model"], "MOD-11": ["batch_score", "score_requests_model"],
     "JN-1": ["label_bits"], "JN-2": ["label_dim_join"], "JN-3": ["stopwords_anti_join"],
     "JN-4": ["confusion_long"], "JN-5": ["log_recombine"], "JN-6": ["knn_topk"],
     "JN-7": ["vocab_encode", "tfidf_l2"],
     "SET-1": ["split_overlap"], "SET-2": ["split_quota_head"], "SET-3": ["log_predictions"],
-    "STR-1": ["stream_score", "score_requests"],
+    "STR-1": ["stream_score", "score_requests", "stream_score_model"],
 }

@@ -374,3 +374,35 @@ def stream_score(spark, d):
     write_requests(_requests(spark, d), os.path.join(base, "in"))
     stream_scores(spark, os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ckpt"))
     return _round_scores(spark.read.parquet(os.path.join(base, "out")))
+
+
+def _axis_model(spark, d):
+    """Fit the four axis heads on the labelled documents, persist and reload."""
+    from pyspark.ml import PipelineModel
+    from lexis.session import scratch_path
+    from lexis.streaming.scorer import fit_axis_models
+    m = fit_axis_models(V.axes(spark, d))
+    path = scratch_path(spark, "axis-model")
+    m.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+@query("score_requests_model")
+def score_requests_model(spark, d):
+    """Request scoring with fitted per-axis models (batch)."""
+    from lexis.streaming.scorer import score_requests_with_model
+    return _round_scores(score_requests_with_model(_requests(spark, d), _axis_model(spark, d)))
+
+
+@query("stream_score_model")
+def stream_score_model(spark, d):
+    """Request scoring with fitted per-axis models as a stream (foreachBatch,
+    idempotent per micro-batch)."""
+    import os
+    from lexis.session import scratch_path
+    from lexis.streaming.scorer import stream_scores_with_model, write_requests
+    base = scratch_path(spark, "stream-model")
+    write_requests(_requests(spark, d), os.path.join(base, "in"))
+    stream_scores_with_model(spark, os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ckpt"),
+                             _axis_model(spark, d))
+    return _round_scores(spark.read.parquet(os.path.join(base, "out")).drop("epoch"))

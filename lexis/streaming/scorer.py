@@ -88,3 +88,59 @@ def stream_scores(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
     q = request_pipeline(src, **kw).writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir)
     q.awaitTermination()
+
+
+# ---------------------------------------------------------------------------
+# scoring with fitted Spark ML models (one pipeline, four axis heads)
+# ---------------------------------------------------------------------------
+def fit_axis_models(docs: DataFrame, text_col: str = "text", label_cols=("b_ie", "b_ns", "b_ft", "b_jp"),
+                    vocab_size: int = 4096, max_iter: int = 30):
+    """One pipeline: word tokens -> counts -> four logistic-regression heads,
+    one per axis (bit 1 = second letter).  Features are computed once."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+    stages = [RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\b\w\w+\b", gaps=False),
+              CountVectorizer(inputCol="_tok", outputCol="_cv", vocabSize=vocab_size)]
+    for ax, lab in zip(L.AXES, label_cols):
+        a = ax.lower()
+        stages.append(LogisticRegression(featuresCol="_cv", labelCol=lab, maxIter=max_iter,
+                                         predictionCol=f"_pred_{a}", probabilityCol=f"_prob_{a}",
+                                         rawPredictionCol=f"_raw_{a}"))
+    data = docs.select(text_col, *[F.col(c).cast("double").alias(c) for c in label_cols])
+    return Pipeline(stages=stages).fit(data)
+
+
+def score_requests_with_model(df: DataFrame, model, id_col: str = "request_id", text_col: str = "text",
+                              budget: int = 1024, min_last: int = 10) -> DataFrame:
+    """Requests -> chunks (one row each) -> model probabilities -> mean per
+    request and axis -> tags.  The group of a request is its own chunks."""
+    from pyspark.ml.functions import vector_to_array
+    chunks = pack_text_chunks(K.request_sentences_col(C.clean_request_col(F.col(text_col))), budget, min_last)
+    rows = df.select(F.col(id_col).alias("request_id"), F.posexplode_outer(chunks).alias("chunk_no", "text"))
+    scored = model.transform(rows.where(F.col("text").isNotNull()))
+    probs = scored.select("request_id", *[vector_to_array(f"_prob_{a.lower()}")[1].alias(f"p_{a.lower()}")
+                                          for a in L.AXES])
+    agg = probs.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_chunks"),
+                                          *[(F.avg(f"p_{a.lower()}") * 100).alias(f"score_{a.lower()}")
+                                            for a in L.AXES])
+    ids = rows.select("request_id").distinct()
+    y = ids.join(agg, "request_id", "left").withColumn("n_chunks", F.coalesce("n_chunks", F.lit(0)).cast("int"))
+    return _labels_inline(y)
+
+
+def stream_scores_with_model(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, model,
+                             max_files: int = 2) -> None:
+    """Streaming variant: every micro-batch is scored as a batch (the model
+    works on chunk rows) and written to ``out_dir/epoch=<id>`` with overwrite,
+    so a micro-batch replayed after a failure replaces its own output."""
+    import os
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        score_requests_with_model(batch, model).write.mode("overwrite") \
+            .parquet(os.path.join(out_dir, f"epoch={epoch_id}"))
+
+    src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files).json(in_dir)
+    q = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()

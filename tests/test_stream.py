@@ -29,3 +29,20 @@ def test_stream_restart_exactly_once(spark):
     batch = ST.request_pipeline(req)
     cols = ["request_id", "n_chunks", "type_pred", "s_ie", "s_ns", "s_ft", "s_jp"]
     assert sorted(map(tuple, res.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_model_stream_equals_batch(spark):
+    from lexis.plans.q_metrics import _axis_model
+    model = _axis_model(spark, SF001)
+    req = V.posts(spark, SF001).select(F.col("person_id").alias("request_id"), F.col("posts").alias("text"))
+    base = scratch_path(spark, "stream-model-test")
+    inp, out, ck = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
+    ST.write_requests(req, inp, n_files=4)
+    ST.stream_scores_with_model(spark, inp, out, ck, model, max_files=1)
+    cols = ["request_id", "n_chunks", "type_pred", "s_ie", "s_ns", "s_ft", "s_jp"]
+    got = sorted(map(tuple, spark.read.parquet(out).select(*cols).collect()))
+    want = sorted(map(tuple, ST.score_requests_with_model(req, model).select(*cols).collect()))
+    assert len(got) == req.count()
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    for g, w in zip(got, want):
+        assert all(abs(a - b) < 1e-9 for a, b in zip(g[3:], w[3:]) if a is not None)
