@@ -24,16 +24,22 @@ def _parts(df: DataFrame, n_parts: int | None) -> int:
 def global_row_number(df: DataFrame, order: list[Column | str], out_col: str = "row_no",
                       n_parts: int | None = None, keep_part: bool = False) -> DataFrame:
     """0-based position of each row in the total order ``order`` (must be a total
-    order for a deterministic result)."""
+    order for a deterministic result).
+
+    One range shuffle: rows are sorted inside each range partition and take
+    their index inside it from ``monotonically_increasing_id`` (partition id in
+    the upper bits, position below) before the checkpoint freezes the result;
+    per-partition counts (one row per partition) become offsets."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    r = df.repartitionByRange(_parts(df, n_parts), *cols).withColumn("_p", F.spark_partition_id())
+    r = df.repartitionByRange(_parts(df, n_parts), *cols).sortWithinPartitions(*cols) \
+        .withColumn("_p", F.spark_partition_id()) \
+        .withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33))
     r = cut_lineage(r)
     cnt = r.groupBy("_p").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = cnt.select("_p", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_p").orderBy(*cols)
-    out = r.join(F.broadcast(offs), "_p").withColumn(out_col, (F.col("_off") + F.row_number().over(w) - 1))
-    return out.drop("_off") if keep_part else out.drop("_p", "_off")
+    out = r.join(F.broadcast(offs), "_p").withColumn(out_col, F.col("_off") + F.col("_i"))  # <= n_parts rows
+    return out.drop("_off", "_i") if keep_part else out.drop("_p", "_off", "_i")
 
 
 def global_dense_rank(df: DataFrame, cols: list[str], out_col: str = "rank",
@@ -60,17 +66,23 @@ def global_running_sum(df: DataFrame, order: list[Column | str], value: Column |
 
 
 def group_row_number(df: DataFrame, group: list[str], order: list[Column | str], out_col: str = "rank",
-                     n_parts: int | None = None, count_col: str | None = None) -> DataFrame:
+                     n_parts: int | None = None, count_col: str | None = None,
+                     broadcast_rows: int = 1_000_000) -> DataFrame:
     """0-based row number inside each group, without a per-group window.
 
     Rows are numbered globally over ``group + order`` (range partitions split
     a hot group across many tasks); the group's first global number is then
-    subtracted.  The start is joined back on (partition, group), so a hot
-    group's rows stay spread over their partitions.  Exact for any group size."""
+    subtracted.  The starts are joined back on (partition, group), so a hot
+    group's rows stay spread over their partitions; that table has at most
+    partitions + groups rows and is broadcast only when its counted size is
+    below ``broadcast_rows`` (a shuffled join otherwise).  Exact for any
+    group size."""
     g = global_row_number(df, [*group, *order], "_g", n_parts, keep_part=True)
-    per = g.groupBy("_p", *group).agg(F.min("_g").alias("_gp"), F.count(F.lit(1)).alias("_np"))  # <= parts + groups
+    per = g.groupBy("_p", *group).agg(F.min("_g").alias("_gp"), F.count(F.lit(1)).alias("_np"))
     starts = per.groupBy(*group).agg(F.min("_gp").alias("_g0"), F.sum("_np").alias("_gn"))
     tbl = per.join(starts, group).select("_p", *group, "_g0", "_gn")
+    if tbl.count() <= broadcast_rows:
+        tbl = F.broadcast(tbl)
     out = g.join(tbl, ["_p", *group]).withColumn(out_col, F.col("_g") - F.col("_g0"))
     out = out.withColumnRenamed("_gn", count_col) if count_col else out.drop("_gn")
     return out.drop("_g", "_g0", "_p")
