@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.functions import text as T
-from lexis.operators.ranking import global_dense_rank, global_row_number
+from lexis.operators.ranking import bounded_broadcast, global_dense_rank, global_row_number
 
 PAD_ID = 0
 UNK_ID = 1
@@ -124,9 +124,10 @@ def build_vocabulary(tokens: DataFrame) -> DataFrame:
 
 def encode(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Token rows (id, pos, term) -> one id array per document in position order;
-    unknown terms -> UNK_ID.  The vocabulary join is left to AQE (broadcast
-    when its measured size allows, shuffle-hash otherwise)."""
-    j = tokens.join(vocab.select("term", "id"), "term", "left") \
+    unknown terms -> UNK_ID.  The vocabulary is broadcast when its counted size
+    is bounded (no shuffle of the token stream by term, so frequent terms do
+    not skew); a shuffled join otherwise."""
+    j = tokens.join(bounded_broadcast(vocab.select("term", "id")), "term", "left") \
         .select(id_col, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
     return j.groupBy(id_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias("tokens"))
@@ -135,7 +136,7 @@ def encode(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataF
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """Id arrays -> text (inverse join, re-assembled in position order)."""
     x = ids.select(id_col, F.posexplode(tokens_col).alias("pos", "id"))
-    j = x.join(vocab.select("term", "id"), "id", "left") \
+    j = x.join(bounded_broadcast(vocab.select("term", "id")), "id", "left") \
         .select(id_col, "pos", F.coalesce("term", F.when(F.col("id") == PAD_ID, F.lit("[PAD]"))
                                           .otherwise(F.lit("[UNK]"))).alias("term"))
     return j.groupBy(id_col).agg(

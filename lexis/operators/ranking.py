@@ -47,7 +47,7 @@ def global_dense_rank(df: DataFrame, cols: list[str], out_col: str = "rank",
     """0-based dense rank of ``cols`` (ascending): number the distinct values
     with ``global_row_number`` and join the numbers back."""
     keys = global_row_number(df.select(*cols).distinct(), cols, out_col, n_parts)
-    return df.join(keys, cols, "left")
+    return df.join(bounded_broadcast(keys), cols, "left")
 
 
 def global_running_sum(df: DataFrame, order: list[Column | str], value: Column | str, out_col: str,
@@ -101,3 +101,10 @@ def global_running_max(df: DataFrame, order: list[Column | str], value: Column |
     w = Window.partitionBy("_p").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
     out = r.join(F.broadcast(offs), "_p", "left").withColumn(out_col, F.greatest(F.col("_off"), F.max("_v").over(w)))
     return out.drop("_p", "_off", "_v")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """Broadcast ``df`` only when its counted size is at most ``max_rows``;
+    otherwise return it unchanged (a shuffled join, skew-split by AQE).  Meant
+    for already materialised tables (checkpointed), where the count is cheap."""
+    return F.broadcast(df) if df.count() <= max_rows else df
