@@ -67,7 +67,7 @@ def main() -> int:
         queries, oracles = entry.queries, entry.oracle_sql
     else:
         from lexis.session import get_session
-        spark = get_session("local[8]", 8)
+        spark = get_session("local[8]", 8, extra={"spark.driver.memory": "12g"})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{a.sf}/{t}.parquet')")
