@@ -108,3 +108,36 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     otherwise return it unchanged (a shuffled join, skew-split by AQE).  Meant
     for already materialised tables (checkpointed), where the count is cheap."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def global_running(df: DataFrame, order: list[Column | str], sums: dict | None = None, maxes: dict | None = None,
+                   row_col: str | None = None, n_parts: int | None = None) -> DataFrame:
+    """Several inclusive running aggregates (sums, maxima ignoring nulls) and
+    optionally the 0-based row position, in the total order ``order``, in one
+    pass: one range shuffle + checkpoint, per-partition totals (one row per
+    partition) turned into offsets, and one window over each range partition."""
+    sums, maxes = dict(sums or {}), dict(maxes or {})
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if row_col:
+        sums[row_col] = F.lit(1)
+    r = df
+    for i, (name, c) in enumerate({**sums, **maxes}.items()):
+        r = r.withColumn(f"_v{i}", c)
+    keys = list({**sums, **maxes})
+    r = r.repartitionByRange(_parts(df, n_parts), *cols).withColumn("_p", F.spark_partition_id())
+    r = cut_lineage(r)
+    aggs = [(F.sum if k in sums else F.max)(f"_v{i}").alias(f"_t{i}") for i, k in enumerate(keys)]
+    tot = r.groupBy("_p").agg(*aggs)
+    wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_p", *[(F.coalesce(F.sum(f"_t{i}").over(wp), F.lit(0)) if k in sums
+                               else F.max(f"_t{i}").over(wp)).alias(f"_o{i}") for i, k in enumerate(keys)])
+    w = Window.partitionBy("_p").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    out = r.join(F.broadcast(offs), "_p", "left")   # <= n_parts rows
+    for i, k in enumerate(keys):
+        if k in sums:
+            out = out.withColumn(k, F.col(f"_o{i}") + F.sum(f"_v{i}").over(w))
+        else:
+            out = out.withColumn(k, F.greatest(F.col(f"_o{i}"), F.max(f"_v{i}").over(w)))
+    if row_col:
+        out = out.withColumn(row_col, F.col(row_col) - 1)
+    return out.drop("_p", *[f"_v{i}" for i in range(len(keys))], *[f"_o{i}" for i in range(len(keys))])

@@ -139,22 +139,31 @@ def log_epochs(spark, d):
 N_EPOCHS = 2
 
 
-def _train_log_lines(spark, d, axis: str):
-    a = axis.lower()
-    s = _axis_scored(spark, d).select("doc_id", F.col(f"logit_{a}").alias("logit"), F.col(f"b_{a}").alias("t"))
-    sp = SP.split_stratified(s, "doc_id", "t", 0.15, 3)
-    ep = spark.range(1, N_EPOCHS + 1).select(F.col("id").cast("int").alias("epoch"))
-    x = sp.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(N_EPOCHS))))  # one log pass per epoch
+def _train_log_lines(spark, d):
+    """The four axis training logs as one DataFrame (axis, epoch, sec, doc_id,
+    line): per epoch, one loss line per training document, the epoch marker,
+    then one logit/target line per evaluation document."""
+    sc = _axis_scored(spark, d)
+    parts = [F.struct(F.lit(ax).alias("axis"), F.col(f"logit_{ax.lower()}").alias("logit"),
+                      F.col(f"b_{ax.lower()}").alias("t")) for ax in L.AXES]
+    s = sc.select("doc_id", F.explode(F.array(*parts)).alias("x")).select("doc_id", "x.*")
+    # stratified per axis and target, seeded by the document key
+    r = group_row_number(s.withColumn("_h", SP.seeded_key("doc_id", 3)), ["axis", "t"], ["_h", "doc_id"], "_rk",
+                         count_col="_n")
+    sp = r.withColumn("split", F.when(F.col("_rk") < F.ceil(F.col("_n") * 0.15), "test").otherwise("train"))
+    n_train = sp.where("split = 'train'").groupBy("axis").agg(F.count(F.lit(1)).alias("n_train"))
+    x = sp.join(F.broadcast(n_train), "axis") \
+        .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(N_EPOCHS))))  # one log pass per epoch
     lg = F.col("logit") * F.col("epoch") / 2.0
-    n_train = sp.where("split = 'train'").count()
     train = x.where("split = 'train'").select(
-        "epoch", F.lit(0).alias("sec"), "doc_id",
-        F.concat(F.lit("Train Epoch: "), F.col("epoch").cast("string"), F.lit(" [x/"), F.lit(str(n_train)),
+        "axis", "epoch", F.lit(0).alias("sec"), "doc_id",
+        F.concat(F.lit("Train Epoch: "), F.col("epoch").cast("string"), F.lit(" [x/"), F.col("n_train").cast("string"),
                  F.lit(" (0%)]\tLoss: "), M.bce_terms(lg, F.col("t").cast("double")).cast("string")).alias("line"))
-    marks = ep.select("epoch", F.lit(1).alias("sec"), F.lit(-1).cast("bigint").alias("doc_id"),
-                      F.concat(F.lit("Epoch "), F.col("epoch").cast("string"), F.lit(" finished.")).alias("line"))
+    marks = n_train.select("axis", F.explode(F.sequence(F.lit(1), F.lit(N_EPOCHS))).alias("epoch")).select(
+        "axis", "epoch", F.lit(1).alias("sec"), F.lit(-1).cast("bigint").alias("doc_id"),
+        F.concat(F.lit("Epoch "), F.col("epoch").cast("string"), F.lit(" finished.")).alias("line"))
     evl = x.where("split = 'test'").select(
-        "epoch", F.lit(2).alias("sec"), "doc_id",
+        "axis", "epoch", F.lit(2).alias("sec"), "doc_id",
         F.concat(F.lit("tensor([["), lg.cast("string"), F.lit(", "), (-lg).cast("string"),
                  F.lit("]], device='cuda:0') tensor([["), F.col("t").cast("string"), F.lit(".0, "),
                  (1 - F.col("t")).cast("string"), F.lit(".0]], device='cuda:0')")).alias("line"))
@@ -163,10 +172,9 @@ def _train_log_lines(spark, d, axis: str):
 
 def train_log_metrics(spark, d):
     base = scratch_path(spark, "train-logs")
-    for ax in L.AXES:
-        LG.write_lines(_train_log_lines(spark, d, ax), os.path.join(base, ax), ["epoch", "sec", "doc_id"])
-    lines = LG.read_lines(spark, [os.path.join(base, ax) for ax in L.AXES])
-    lines = lines.withColumn("axis", F.regexp_extract("log", "/(IE|NS|FT|JP)$", 1))
+    LG.write_lines(_train_log_lines(spark, d), base, ["epoch", "sec", "doc_id"], partition_by="axis")
+    lines = LG.read_lines(spark, [os.path.join(base, f"axis={ax}") for ax in L.AXES])
+    lines = lines.withColumn("axis", F.regexp_extract("log", "axis=(IE|NS|FT|JP)$", 1))
     c = LG.classify_train_log(lines).join(lines.select("log", "line_no", "axis"), ["log", "line_no"])
     return LG.train_log_epochs(c, ["axis"])
 

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexis.operators.ranking import global_row_number, global_running_max, global_running_sum
+from lexis.operators.ranking import global_running
 
 
 def write_lines(df: DataFrame, path: str, order: list[str], line_col: str = "line",
@@ -115,17 +115,18 @@ def classify_train_log(lines: DataFrame) -> DataFrame:
         F.regexp_extract("line", _EVAL_RE, 1).try_cast("double").alias("logit"),
         F.regexp_extract("line", _EVAL_RE, 2).try_cast("double").alias("target"))
     x = x.withColumn("is_eval", F.col("logit").isNotNull() & F.col("target").isNotNull())
-    g = global_row_number(x, ["log", "line_no"], "_g")
-    starts = g.groupBy("log").agg(F.min("_g").alias("_f0"))
-    g = global_running_sum(g, ["_g"], F.col("is_marker").cast("int"), "_markers_cum")
-    g = global_running_max(g, ["_g"], F.when(F.col("is_marker"), F.col("_g")), "_last_marker")
-    g = global_running_max(g, ["_g"], F.when(~F.col("is_eval"), F.col("_g")), "_last_break")
-    # per-file constants: first global position and markers before the file
+    pos = F.struct(F.col("log").alias("l"), F.col("line_no").alias("n"))
+    # one pass: running marker count, last marker and last non-eval line (as
+    # (log, line) positions) in log order
+    g = global_running(x, ["log", "line_no"],
+                       sums={"_markers_cum": F.col("is_marker").cast("int")},
+                       maxes={"_last_marker": F.when(F.col("is_marker"), pos),
+                              "_last_break": F.when(~F.col("is_eval"), pos)})
+    # markers before each log (one row per log: bounded by the file listing)
     first = g.groupBy("log").agg(F.min(F.col("_markers_cum") - F.col("is_marker").cast("int")).alias("_m0"))
-    # one row per file: bounded by the file listing the driver already holds
-    base = g.join(F.broadcast(starts), "log").join(F.broadcast(first), "log")
+    base = g.join(F.broadcast(first), "log")
     epoch_of_line = (F.col("_markers_cum") - F.col("_m0"))
-    in_file = F.col("_last_marker") >= F.col("_f0")
+    in_file = F.col("_last_marker.l") == F.col("log")
     return base.select(
         "log", "line_no", "is_loss", "loss", "is_marker", "is_eval", "logit", "target",
         # a loss line belongs to the epoch that its next marker finishes
