@@ -53,16 +53,8 @@ def global_dense_rank(df: DataFrame, cols: list[str], out_col: str = "rank",
 def global_running_sum(df: DataFrame, order: list[Column | str], value: Column | str, out_col: str,
                        n_parts: int | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` in the total order ``order``."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
     v = F.col(value) if isinstance(value, str) else value
-    r = df.withColumn("_v", v).repartitionByRange(_parts(df, n_parts), *cols).withColumn("_p", F.spark_partition_id())
-    r = cut_lineage(r)
-    tot = r.groupBy("_p").agg(F.sum("_v").alias("_tot"))
-    offs = tot.select("_p", F.coalesce(F.sum("_tot").over(
-        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_p").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
-    out = r.join(F.broadcast(offs), "_p").withColumn(out_col, F.col("_off") + F.sum("_v").over(w))
-    return out.drop("_p", "_off", "_v")
+    return global_running(df, order, sums={out_col: v}, n_parts=n_parts)
 
 
 def group_row_number(df: DataFrame, group: list[str], order: list[Column | str], out_col: str = "rank",
@@ -91,16 +83,8 @@ def group_row_number(df: DataFrame, group: list[str], order: list[Column | str],
 def global_running_max(df: DataFrame, order: list[Column | str], value: Column | str, out_col: str,
                        n_parts: int | None = None) -> DataFrame:
     """Inclusive running max of ``value`` (nulls ignored) in the total order ``order``."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
     v = F.col(value) if isinstance(value, str) else value
-    r = df.withColumn("_v", v).repartitionByRange(_parts(df, n_parts), *cols).withColumn("_p", F.spark_partition_id())
-    r = cut_lineage(r)
-    mx = r.groupBy("_p").agg(F.max("_v").alias("_mx"))
-    offs = mx.select("_p", F.max("_mx").over(
-        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
-    w = Window.partitionBy("_p").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
-    out = r.join(F.broadcast(offs), "_p", "left").withColumn(out_col, F.greatest(F.col("_off"), F.max("_v").over(w)))
-    return out.drop("_p", "_off", "_v")
+    return global_running(df, order, maxes={out_col: v}, n_parts=n_parts)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:

@@ -52,3 +52,17 @@ def test_bootstrap_exact_size(spark):
     out = SP.bootstrap_exact(df, "doc_id", 10)
     assert out.count() == 200
     assert out.where("part = 'train'").count() == 180
+
+
+def test_running_aggregates_match_sorted_loop(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randint(-5, 9), rnd.choice([None, rnd.randint(0, 100)])) for i in range(700)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "id long, v int, m int")
+    out = R.global_running(df, ["id"], sums={"s": F.col("v")}, maxes={"mx": F.col("m")}, row_col="rn", n_parts=6)
+    got = {r["id"]: (r["s"], r["mx"], r["rn"]) for r in out.collect()}
+    s, mx = 0, None
+    for n, (i, v, m) in enumerate(sorted(rows)):
+        s += v
+        mx = m if mx is None else (mx if m is None else max(mx, m))
+        assert got[i] == (s, mx, n)
