@@ -8,7 +8,7 @@ a class holding a third of the rows is still numbered by many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.operators.ranking import global_row_number, group_row_number
@@ -24,13 +24,37 @@ def seeded_int(key: str | Column, seed: int | str) -> Column:
     return F.conv(F.substring(seeded_key(key, seed), 1, 15), 16, 10).cast("bigint")
 
 
+def stratified_test_sizes(counts: DataFrame, label_col: str, count_col: str = "n",
+                          test_frac: float = 0.15) -> DataFrame:
+    """Test rows per class for a stratified hold-out: ``n_test = ceil(f * n)``
+    overall; the training rows ``n - n_test`` are apportioned to the classes by
+    largest remainder (floor of ``c * n_train / n``, the missing rows to the
+    largest fractional parts, ties to the smaller class value) and each class
+    keeps the rest for test.  ``counts`` has one row per class (small)."""
+    w_all = Window.partitionBy()
+    n = F.sum(count_col).over(w_all)
+    x = counts.select(label_col, F.col(count_col).alias("_c"), n.alias("_n"))
+    x = x.withColumn("_ntr", F.col("_n") - F.ceil(F.col("_n") * test_frac))
+    x = x.withColumn("_cont", F.col("_c") * F.col("_ntr") / F.col("_n"))
+    x = x.withColumn("_fl", F.floor("_cont")).withColumn("_rem", F.col("_cont") - F.col("_fl"))
+    need = F.col("_ntr") - F.sum("_fl").over(w_all)
+    rk = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label_col)))
+    x = x.withColumn("_alloc", F.col("_fl") + F.when(rk <= need, 1).otherwise(0))
+    return x.select(label_col, (F.col("_c") - F.col("_alloc")).cast("long").alias("n_test"))
+
+
 def split_stratified(df: DataFrame, id_col: str, label_col: str, test_frac: float = 0.15,
                      seed: int = 1) -> DataFrame:
-    """Per class, the ``ceil(test_frac * n)`` rows first in seeded order go to test."""
+    """Stratified seeded hold-out: per class, the ``n_test`` rows (see
+    ``stratified_test_sizes``) first in seeded order go to test."""
+    from lexis.operators.ranking import bounded_broadcast
     r = group_row_number(df.withColumn("_h", seeded_key(id_col, seed)), [label_col], ["_h", id_col],
                          "_rank", count_col="_n")
-    return r.withColumn("split", F.when(F.col("_rank") < F.ceil(F.col("_n") * test_frac), "test")
-                        .otherwise("train")).drop("_h", "_rank", "_n")
+    counts = r.groupBy(label_col).agg(F.first("_n").alias("n"))
+    sizes = stratified_test_sizes(counts, label_col, "n", test_frac)   # one row per class
+    r = r.join(bounded_broadcast(sizes), label_col)
+    return r.withColumn("split", F.when(F.col("_rank") < F.col("n_test"), "test").otherwise("train")) \
+        .drop("_h", "_rank", "_n", "n_test")
 
 
 def split_quota_head(df: DataFrame, id_col: str, label_col: str, pct: int = 15, seed: int = 1) -> DataFrame:

@@ -184,11 +184,12 @@ def macro_f1(spark, d):
 # --------------------------------------------------------------------------
 # k-NN over embeddings (MOD-5 / TOP-2 / JN-6)
 # --------------------------------------------------------------------------
-_KNN_CTE = """WITH e AS (
+_KNN_CTE = "WITH " + S.stratified_sizes_cte("sz", "embeddings", "label") + """,
+e AS (
   SELECT vec_id, embedding, label,
-         row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':1'), vec_id) - 1 AS rk,
-         count(*) OVER (PARTITION BY label) AS n FROM embeddings),
-sp AS (SELECT vec_id, embedding, label, rk < ceil(n * 0.15) AS is_test FROM e),
+         row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':1'), vec_id) - 1 AS rk
+  FROM embeddings),
+sp AS (SELECT e.vec_id, e.embedding, e.label, e.rk < sz.n_test AS is_test FROM e JOIN sz ON e.label = sz.label),
 pairs AS (SELECT q.vec_id AS query_id, t.vec_id AS neighbor_id,
                  sqrt(list_sum(list_transform(range(1, len(q.embedding) + 1), lambda i:
                       (CAST(q.embedding[i] AS DOUBLE) - CAST(t.embedding[i] AS DOUBLE)) *

@@ -22,10 +22,11 @@ def _axes(spark, d):
     return V.axes(spark, d).select("doc_id", "code")
 
 
-@query("split_stratified", S.with_(S.AXES_CTE, f"""
-r AS (SELECT doc_id, code, row_number() OVER (PARTITION BY code ORDER BY {_h('doc_id', 1)}, doc_id) - 1 AS rk,
-             count(*) OVER (PARTITION BY code) AS n FROM axes)""") + """
-SELECT doc_id, code, CASE WHEN rk < ceil(n * 0.15) THEN 'test' ELSE 'train' END AS split FROM r""")
+@query("split_stratified", S.with_(S.AXES_CTE, S.stratified_sizes_cte("sz", "axes", "code"), f"""
+r AS (SELECT doc_id, code, row_number() OVER (PARTITION BY code ORDER BY {_h('doc_id', 1)}, doc_id) - 1 AS rk
+      FROM axes)""") + """
+SELECT r.doc_id, r.code, CASE WHEN r.rk < sz.n_test THEN 'test' ELSE 'train' END AS split
+FROM r JOIN sz ON r.code = sz.code""")
 def split_stratified(spark, d):
     return SP.split_stratified(_axes(spark, d), "doc_id", "code", 0.15, 1)
 

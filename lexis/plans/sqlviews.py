@@ -265,3 +265,18 @@ def clean_long(x: str) -> str:
     x = collapse_same_ws(x)
     x = trim_quoted(x)
     return label_words_to(x, "[MASK]")
+
+
+def stratified_sizes_cte(name: str, src: str, label: str, frac: float = 0.15) -> str:
+    """CTE ``name(label, n_test)``: test rows per class of a stratified hold-out
+    (largest-remainder apportionment of the training rows, ties to the smaller
+    class value)."""
+    return f"""{name}0 AS (SELECT {label} AS lab, count(*) AS c FROM {src} GROUP BY {label}),
+{name}1 AS (SELECT lab, c, sum(c) OVER () AS n, sum(c) OVER () - CAST(ceil(sum(c) OVER () * {frac}) AS BIGINT) AS ntr
+            FROM {name}0),
+{name}2 AS (SELECT lab, c, n, ntr, c * ntr / n AS cont, floor(c * ntr / n) AS fl, c * ntr / n - floor(c * ntr / n) AS rem
+            FROM {name}1),
+{name}3 AS (SELECT lab, c, fl, ntr - sum(fl) OVER () AS need,
+                   row_number() OVER (ORDER BY rem DESC, lab) AS rk FROM {name}2),
+{name} AS (SELECT lab AS {label}, CAST(c - (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) AS BIGINT) AS n_test
+           FROM {name}3)"""

@@ -66,3 +66,22 @@ def test_running_aggregates_match_sorted_loop(spark):
         s += v
         mx = m if mx is None else (mx if m is None else max(mx, m))
         assert got[i] == (s, mx, n)
+
+
+def test_stratified_sizes_apportion_exact_total(spark):
+    import math
+    counts = {0: 7, 1: 13, 2: 40, 3: 1, 4: 55, 5: 2}
+    rows = [(i * 10 + c, c) for c, n in counts.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, c int")
+    out = SP.split_stratified(df, "id", "c", 0.15, 1)
+    got = {r["c"]: r["k"] for r in out.where("split = 'test'").groupBy("c").agg(F.count("*").alias("k")).collect()}
+    n = sum(counts.values())
+    n_test = math.ceil(0.15 * n)
+    n_train = n - n_test
+    cont = {c: k * n_train / n for c, k in counts.items()}
+    alloc = {c: math.floor(v) for c, v in cont.items()}
+    need = n_train - sum(alloc.values())
+    for c in sorted(counts, key=lambda c: (-(cont[c] - alloc[c]), c))[:need]:
+        alloc[c] += 1
+    want = {c: counts[c] - alloc[c] for c in counts if counts[c] - alloc[c] > 0}
+    assert got == want and sum(got.values()) == n_test
