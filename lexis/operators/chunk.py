@@ -259,12 +259,13 @@ def pack_assign(items: DataFrame, group_col: str, order: list[str], size_col: st
 
 
 def pack_by_group(items: DataFrame, group_col: str, order: list[str], size_col: str, budget: int = 1024,
-                  segment_rows: int = 5_000_000) -> DataFrame:
+                  segment_rows: int = 5_000_000, keep_trailing: bool = False) -> DataFrame:
     """One row per kept bin: group, the order columns of its first item
     (``first_<col>``), ``n_items`` and ``n_tokens``.  Bins are bounded by the
-    budget, so assembling them is a bounded group-by."""
+    budget, so assembling them is a bounded group-by.  ``keep_trailing`` keeps
+    the last open bin of a group even after earlier flushes."""
     assigned, empties = pack_assign(items, group_col, order, size_col, budget, segment_rows)
-    kept = assigned.where(F.col("bin_start") != F.col("trailing_start"))
+    kept = assigned if keep_trailing else assigned.where(F.col("bin_start") != F.col("trailing_start"))
     firsts = F.min_by(F.struct(*order), F.col("seq"))
     bins = kept.groupBy(group_col, "bin_start").agg(
         firsts.alias("_first"), F.count(F.lit(1)).alias("n_items"), F.sum(size_col).alias("n_tokens"))

@@ -43,9 +43,14 @@ _PERSON_SENT_CTE = S.with_(*_PERSON_SENT_CTE_BODY)
 
 
 def _person_sentences(spark, d):
-    p = V.posts(spark, d).select("person_id", "type", C.clean_mask_lower_col(F.col("posts")).alias("clean"))
-    x = K.explode_posts(p, "clean", ("person_id", "type"))
-    return x.select("person_id", "type", "post_no", K.sentence_filter_col("post").alias("ss"))
+    """Masked lower-case clean of each person's posts, computed post-level
+    (``person.masked_lower_posts``), then the sentence filter per piece."""
+    from lexis.operators import person as PR
+    pieces = PR.masked_lower_posts(V.post_rows(spark, d, with_type=False))
+    lab = V.axes(spark, d).select(F.col("doc_id").alias("person_id"), "type")
+    x = pieces.join(lab, "person_id", "left")
+    return x.select("person_id", "type", F.col("piece_no").cast("int").alias("post_no"),
+                    K.sentence_filter_col("post").alias("ss"))
 
 
 @query("sentences_filtered", _PERSON_SENT_CTE + "SELECT person_id, post_no, ss FROM ss")
@@ -69,10 +74,24 @@ lab AS (SELECT person_id, CASE WHEN substr(type, 1, 1) = 'I' THEN 0 ELSE 1 END A
 
 
 def _pack_person(spark, d):
-    s = _person_sentences(spark, d)
-    per = s.groupBy("person_id", "type").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("post_no", "ss"))), lambda x: x["ss"]).alias("pieces"))
-    return per.select("person_id", "type", F.posexplode(K.pack_words_col("pieces", 300)).alias("chunk_no", "chunk"))
+    """Pieces of each person packed in order into <= 300 space-split words.
+    ``len(a.split(' ')) + len(b.split(' ')) <= 300`` with the joined length
+    ``len(a.split(' ')) + len(b.split(' ')) - 1`` is next-fit with weight
+    ``words - 1`` and budget 298 that keeps its trailing chunk, so it runs as
+    the exact parallel ``pack_by_group``; chunk texts are assembled per bin
+    (a bin holds at most 298 non-empty pieces)."""
+    from lexis.operators.ranking import group_row_number
+    s = _person_sentences(spark, d).withColumn("w", T.space_parts("ss") - 1)
+    assigned, empties = K.pack_assign(s, "person_id", ["post_no"], "w", 298)
+    bins = assigned.groupBy("person_id", "type", "bin_start").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("ss") != "", F.struct("post_no", "ss")))),
+                                 lambda x: x["ss"]), "").alias("chunk"))
+    types = s.select("person_id", "type").distinct()
+    empty = empties.where("empty_first").select(F.col("grp").cast("long").alias("person_id")).join(types, "person_id") \
+        .select("person_id", "type", F.lit(-1).cast("long").alias("bin_start"), F.lit("").alias("chunk"))
+    allb = bins.unionByName(empty)
+    out = group_row_number(allb, ["person_id"], ["bin_start"], "chunk_no")
+    return out.select("person_id", "type", F.col("chunk_no").cast("int").alias("chunk_no"), "chunk")
 
 
 @query("pack_by_person", _PACK_PERSON_SQL + """
