@@ -34,6 +34,8 @@ HEADLINE = [
     "knn_predict",           # exact pruned k-NN over embeddings
     "score_requests",        # request scoring path (batch)
     "log_predictions",       # prediction logs written, read, parsed
+    "model_logreg",          # features + stratified split + multinomial LR fit + predict
+    "model_mlp_16",          # n-gram features + 16-way perceptron fit + soft confusion
 ]
 
 
