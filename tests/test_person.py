@@ -43,3 +43,13 @@ def test_piece_numbers_follow_split(spark):
     want = spark.createDataFrame([(joined,)], "t string").select(C.clean_mask_lower_col(F.col("t"))).first()[0]
     assert [p for _, p in got] == want.split("|||")
     assert [n for n, _ in got] == list(range(len(got)))
+
+
+def test_url_chain_blocks(spark):
+    posts = ["x http://a", "b", "c d", "e", "see https://q", "", "done now", "htt://z"]
+    df = spark.createDataFrame([(7, i, p) for i, p in enumerate(posts)], "person_id long, post_no long, post string")
+    got = [r["block"] for r in PR.post_blocks(df).orderBy("post_no").collect()]
+    # post 0 ends inside a URL; post 1 has no whitespace, so the URL runs on;
+    # post 2 closes it.  Post 4 opens another, post 5 (empty) keeps it open,
+    # post 6 closes it; post 7 is the last post.
+    assert got == [0, 0, 0, 1, 2, 2, 2, 3]
