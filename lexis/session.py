@@ -44,9 +44,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only in local mode."""
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir()
-    if hasattr(d, "isDefined"):  # scala Option from getCheckpointDir
-        d = d.get() if d.isDefined() else None
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")

@@ -20,25 +20,16 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 # primary keys of the driver tables
 KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id", "events": "event_id",
         "embeddings": "vec_id", "labels": "doc_id", "benchmark": "item_id"}
-# inputs below this size are spread over all cores right after the scan
-SPREAD_BYTES = 1 << 30
-
-
-def plan_size(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame (bytes; no job runs)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a table.  A small input (few files / row groups) would leave the
-    per-row text work of a whole table in one or two scan tasks, so when its
-    size estimate is below ``SPREAD_BYTES`` it is hash-partitioned on its key
-    over all cores (cheap at that size, and joins on the key reuse it).
-    Large inputs keep the scan's own file/row-group parallelism."""
+    """Read a table.  An input with fewer scan splits than cores (small files,
+    single row groups) would leave the per-row text work of a whole table in
+    a few scan tasks, so it is hash-partitioned on its key over all cores
+    (cheap at that size, and joins on the key reuse it).  Large inputs keep
+    the scan's own file / row-group parallelism and get no extra shuffle."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     key = KEYS.get(name)
     n = spark.sparkContext.defaultParallelism
-    if key and n > 1 and plan_size(df) < SPREAD_BYTES:
+    if key and n > 1 and df.rdd.getNumPartitions() < n:
         df = df.repartition(n, key)
     return df
 

@@ -24,7 +24,12 @@ def main() -> None:
     qs = queries()
     for n in a.names:
         df = qs[n](spark, a.sf)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        plan = buf.getvalue().split("== Physical Plan ==")[-1]
         tree = [re.sub(r"\[.*$|\(.*$|#\d+", "", ln).rstrip() for ln in plan.splitlines()]
         tree = [t for t in tree if t.strip() and re.search(r"[A-Za-z]", t)]
         print(f"### {n}\n```")
