@@ -15,7 +15,7 @@ from lexis.plans.registry import oracles, queries  # noqa: E402
 from lexis.sources.tables import TABLES  # noqa: E402
 from oracle_check import _rows  # noqa: E402
 
-SLOW_MODELS = {"model_gbt", "model_linear_svc", "model_rff_svm"}
+SLOW_MODELS: set[str] = set()
 
 
 @pytest.fixture(scope="module")
