@@ -109,3 +109,31 @@ def scores_to_labels(scores: DataFrame, request_col: str) -> DataFrame:
     out = scores.select(request_col, F.concat(*tags).alias("type_pred"),
                         *[v.alias(f"s_{ax.lower()}") for v, ax in zip(vals, AXES)])
     return out.select("*", *[L.confidence(f"s_{ax.lower()}").alias(f"conf_{ax.lower()}") for ax in AXES])
+
+
+# The letter of each axis whose record bit is 1.
+RECORD_ONE_LETTERS = "INFJ"
+
+
+def record_text(type_col: str = "type_pred", score_prefix: str = "s_") -> Column:
+    """Scoring record: four lines of tag bits (1 when the tag is I, N, F or J)
+    then the four scores, newline-separated."""
+    t = F.col(type_col)
+    bits = [F.when(F.substring(t, i + 1, 1) == RECORD_ONE_LETTERS[i], "1").otherwise("0") for i in range(4)]
+    # a request without chunks has no score: keep eight lines ("nan")
+    scores = [F.coalesce(F.col(f"{score_prefix}{a.lower()}").cast("string"), F.lit("nan")) for a in AXES]
+    return F.concat_ws("\n", *bits, *scores)
+
+
+def decode_record(c) -> list[Column]:
+    """Record -> type letters and four confidences formatted with two
+    decimals (the score if above 50, else 100 minus it)."""
+    lines = F.split(_c(c), "\n", -1)
+    letters = []
+    for i, (one, zero) in enumerate(zip(RECORD_ONE_LETTERS, "ESTP")):
+        letters.append(F.when(F.element_at(lines, i + 1).cast("int") == 1, F.lit(one)).otherwise(F.lit(zero)))
+    confs = []
+    for i, a in enumerate(AXES):
+        s = F.element_at(lines, i + 5).cast("double")
+        confs.append(F.format_string("%.2f", F.when(s > 50, s).otherwise(F.lit(100.0) - s)).alias(f"conf_{a.lower()}"))
+    return [F.concat(*letters).alias("type")] + confs

@@ -5,7 +5,7 @@ COVERAGE = {
     "SRC-4": ["src_axis_slice"], "SRC-5": ["log_predictions", "log_predictions_target_first"],
     "SRC-6": ["log_epochs"], "SRC-7": ["log_train_loss", "bce_by_epoch"],
     "SNK-1": ["snk_csv_roundtrip", "src_posts"], "SNK-2": ["confusion_wide", "snk_matrix_csv"],
-    "SNK-3": ["snk_report"], "SNK-4": ["stream_score"],
+    "SNK-3": ["snk_report"], "SNK-4": ["stream_score", "score_record"],
     "TXT-1": ["txt_url_ws"], "TXT-2": ["txt_eos_tokens"], "TXT-3": ["txt_punct"], "TXT-4a": ["txt_letters"],
     "TXT-4b": ["txt_letters_space", "txt_letters_space_ws"], "TXT-5": ["txt_lower"],
     "TXT-6": ["txt_triple_truncate"], "TXT-7a": ["txt_drop_short"], "TXT-7b": ["txt_drop_long"],
@@ -35,7 +35,7 @@ COVERAGE = {
     "LBL-1": ["label_bits"], "LBL-2": ["label_code"], "LBL-3": ["label_code"],
     "LBL-4": ["label_alpha", "label_indexer"], "LBL-5": ["label_decode"], "LBL-6": ["label_decode"],
     "LBL-7": ["label_flip"], "LBL-8": ["label_flip"], "LBL-9": ["label_onehot"],
-    "LBL-10": ["score_to_label", "score_requests"], "LBL-11": ["score_to_label", "score_requests"],
+    "LBL-10": ["score_to_label", "score_requests"], "LBL-11": ["score_to_label", "score_requests", "score_record"],
     "AGG-1": ["count_by_type", "count_by_type_docs"], "AGG-2": ["distinct_types"],
     "AGG-3": ["table_shape", "count_matrix_shape"], "AGG-4": ["hist_person", "hist_post", "hist_docs"],
     "AGG-5": ["hist_before_after"], "AGG-6": ["axis_counts"], "AGG-7": ["split_quota_head"],

@@ -308,7 +308,7 @@ def score_to_label(spark, d):
 # --------------------------------------------------------------------------
 # request scoring, batch and stream (STR-1)
 # --------------------------------------------------------------------------
-def _request_sql() -> str:
+def _request_cte() -> str:
     from lexis.plans.q_chunk import TOK
     lg = _logits_sql("text")
     cols = ", ".join(f"1.0 / (1.0 + exp(-({x}))) AS p_{a.lower()}" for x, a in zip(lg, L.AXES))
@@ -338,11 +338,16 @@ tg AS (SELECT person_id, n_chunks,
   (CASE WHEN score_ft / 100 >= 0.5 THEN 'F' ELSE 'T' END) || (CASE WHEN score_jp / 100 >= 0.5 THEN 'J' ELSE 'P' END) AS type_pred,
   100 - score_ie / 100 * 100 AS s_ie, score_ns / 100 * 100 AS s_ns, score_ft / 100 * 100 AS s_ft, score_jp / 100 * 100 AS s_jp
   FROM sc)
-SELECT person_id AS request_id, n_chunks, type_pred, round(s_ie, 6) AS s_ie, round(s_ns, 6) AS s_ns,
+"""
+
+
+def _request_sql() -> str:
+    return _request_cte() + """SELECT person_id AS request_id, n_chunks, type_pred, round(s_ie, 6) AS s_ie, round(s_ns, 6) AS s_ns,
        round(s_ft, 6) AS s_ft, round(s_jp, 6) AS s_jp,
        round(greatest(s_ie, 100 - s_ie), 2) AS conf_ie, round(greatest(s_ns, 100 - s_ns), 2) AS conf_ns,
        round(greatest(s_ft, 100 - s_ft), 2) AS conf_ft, round(greatest(s_jp, 100 - s_jp), 2) AS conf_jp
-FROM tg"""
+FROM tg
+"""
 
 
 def _round_scores(df):
@@ -407,3 +412,24 @@ def stream_score_model(spark, d):
     stream_scores_with_model(spark, os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ckpt"),
                              _axis_model(spark, d))
     return _round_scores(spark.read.parquet(os.path.join(base, "out")).drop("epoch"))
+
+
+@query("score_record", _request_cte() + """
+SELECT person_id AS request_id, type_pred AS type,
+       printf('%.2f', CASE WHEN s_ie > 50 THEN s_ie ELSE 100 - s_ie END) AS conf_ie,
+       printf('%.2f', CASE WHEN s_ns > 50 THEN s_ns ELSE 100 - s_ns END) AS conf_ns,
+       printf('%.2f', CASE WHEN s_ft > 50 THEN s_ft ELSE 100 - s_ft END) AS conf_ft,
+       printf('%.2f', CASE WHEN s_jp > 50 THEN s_jp ELSE 100 - s_jp END) AS conf_jp
+FROM tg""")
+def score_record(spark, d):
+    """Scoring record sink and response decode: each request's 8-line record
+    (tag bits, scores) is written as JSON, read back and decoded into the
+    type letters and two-decimal confidences."""
+    import os
+    from lexis.session import scratch_path
+    from lexis.streaming.scorer import request_pipeline
+    rec = request_pipeline(_requests(spark, d)).select("request_id", SC.record_text().alias("record"))
+    path = scratch_path(spark, "records")
+    rec.write.mode("overwrite").json(path)
+    back = spark.read.schema("request_id long, record string").json(path)
+    return back.select("request_id", *SC.decode_record("record"))
