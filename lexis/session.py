@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -49,11 +51,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="lexis-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None or not sc.getCheckpointDir().startswith(d.rstrip("/")):
+        sc.setCheckpointDir(d)
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers (once for each Spark context), so
+    that functions of its modules also run where the repository is no folder of
+    the workers' search path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lexis_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    at = os.path.join(tempfile.mkdtemp(prefix="lexis-zip-"), "lexis.zip")
+    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.join("lexis", os.path.relpath(path, root)))
+    sc.addPyFile(at)
+    sc._lexis_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark)
