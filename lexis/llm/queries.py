@@ -24,6 +24,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(common.table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.quality_llr import quality, trusted_ids
+    return quality(common.table(spark, sf_dir, "documents"), trusted_ids(common.table(spark, sf_dir, "labels")))
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.source_mix import mix_counts
+    return mix_counts(common.table(spark, sf_dir, "documents"))
+
+
 def op4_secret_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexis.llm.secret_guess import secret_spans
     return secret_spans(common.table(spark, sf_dir, "documents"))
@@ -35,7 +45,7 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_token_counts, op4_secret_guess, op8_piece_codec)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality_llr, op3_source_mix, op4_secret_guess, op8_piece_codec)}
 
 
 def oracles() -> dict[str, str]:
