@@ -39,14 +39,26 @@ def op4_secret_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(common.table(spark, sf_dir, "documents"))
 
 
+def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.line_windows import line_digests
+    return line_digests(common.table(spark, sf_dir, "documents"))
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexis.llm.piece_codec import encode_documents
     return encode_documents(common.table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op10_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.window_doubling import remove_repeats
+    return remove_repeats(common.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality_llr, op3_source_mix, op4_secret_guess, op8_piece_codec)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality_llr, op3_source_mix, op4_secret_guess, op5_line_windows,
+                                    op8_piece_codec, op10_window_doubling)}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    from lexis.llm.line_windows import ORACLE as lines
+    return {"op5_line_windows": lines}
