@@ -44,6 +44,11 @@ def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(common.table(spark, sf_dir, "documents"))
 
 
+def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.shingle_join import jaccard_groups
+    return jaccard_groups(common.table(spark, sf_dir, "documents"))
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexis.llm.piece_codec import encode_documents
     return encode_documents(common.table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -56,7 +61,7 @@ def op10_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_token_counts, op2_quality_llr, op3_source_mix, op4_secret_guess, op5_line_windows,
-                                    op8_piece_codec, op10_window_doubling)}
+                                    op7_shingle_join, op8_piece_codec, op10_window_doubling)}
 
 
 def oracles() -> dict[str, str]:
