@@ -44,6 +44,11 @@ def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(common.table(spark, sf_dir, "documents"))
 
 
+def op6_cover_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.cover_topk import top_k
+    return top_k(common.table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, 5)
+
+
 def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexis.llm.shingle_join import jaccard_groups
     return jaccard_groups(common.table(spark, sf_dir, "documents"))
@@ -61,9 +66,10 @@ def op10_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_token_counts, op2_quality_llr, op3_source_mix, op4_secret_guess, op5_line_windows,
-                                    op7_shingle_join, op8_piece_codec, op10_window_doubling)}
+                                    op6_cover_topk, op7_shingle_join, op8_piece_codec, op10_window_doubling)}
 
 
 def oracles() -> dict[str, str]:
     from lexis.llm.line_windows import ORACLE as lines
-    return {"op5_line_windows": lines}
+    from lexis.llm.cover_topk import ORACLE as top
+    return {"op5_line_windows": lines, "op6_cover_topk": top}
