@@ -59,6 +59,11 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(common.table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op9_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.hashed_maxent import lm_scores
+    return lm_scores(common.table(spark, sf_dir, "documents"))
+
+
 def op10_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexis.llm.window_doubling import remove_repeats
     return remove_repeats(common.table(spark, sf_dir, "documents"))
@@ -66,7 +71,8 @@ def op10_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_token_counts, op2_quality_llr, op3_source_mix, op4_secret_guess, op5_line_windows,
-                                    op6_cover_topk, op7_shingle_join, op8_piece_codec, op10_window_doubling)}
+                                    op6_cover_topk, op7_shingle_join, op8_piece_codec,
+                                    op9_hashed_maxent, op10_window_doubling)}
 
 
 def oracles() -> dict[str, str]:
