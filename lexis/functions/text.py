@@ -1,8 +1,11 @@
 """Scalar text functions: every function maps Column -> Column and stays a
 built-in Spark expression (JVM side, whole-stage codegen, no Python UDF).
 
-Regexes carry ``(?U)`` wherever the reference semantics rely on Unicode
-``\\w``/``\\s``/``\\d``/``\\b`` (Python's default for str patterns).
+Regexes carry ``(?U)`` wherever the semantics rely on Unicode ``\\s``/``\\d``.
+A word character is a letter, any numeral or ``_`` (``WORD``), as in Python:
+Java's own Unicode word class also has combining marks and all connector
+punctuation, and lacks numerals such as superscripts, fractions and Roman
+numerals, so neither it nor its word boundary is used.
 """
 
 from __future__ import annotations
@@ -51,6 +54,22 @@ URL_CLASS_RE = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|(?:%[0-9a-fA-F][0-9a-fA-
 URL_LAZY_RE = r"https?://.*?[\s+]"
 URL_LAZY_RE_2 = r"http?://.*?[\s+]"
 MASK = "[MASK]"
+# Word characters, for use inside a character class.
+WORD = r"\p{L}\p{N}_"
+# Words that mark a sentence end.
+END_MARKS = {".": "EOSTokenDot", "?": "EOSTokenQuest", "!": "EOSTokenExs"}
+# Single steps.
+NOT_WORD_RE = U + f"[^{WORD}\\s]"
+NOT_LETTER_WS_RE = U + r"[^a-zA-Z\s]"
+NOT_LETTER_RE = r"[^a-zA-Z]"
+DOTS_RE = r"[\\.+]"
+TRIPLE_RE = U + rf"([a-z])\1{{2,}}[\s|{WORD}]*"
+ANY_TRIPLE_RE = U + rf"(\S)\1{{2,}}[\s|{WORD}]*"
+SHORT_WORD_RE = rf"(?<![{WORD}])[{WORD}]{{1,3}}(?![{WORD}])"
+LONG_WORD_RE = rf"(?<![{WORD}])[{WORD}]{{30,1000}}(?![{WORD}])"
+SAME_WS_RE = U + r"(\s)\1+"
+DIGITS_RE = U + r"\d+"
+SQUEEZE_RE = r"([a-z]|_|-)\1{2,}"
 
 
 def _c(c) -> Column:
@@ -69,46 +88,46 @@ def url_strip_ws(c) -> Column:
 def eos_tokens(c) -> Column:
     """Mark sentence ends by words; every step appends a space first."""
     x = _c(c)
-    for ch, tok in ((".", " EOSTokenDot "), ("?", " EOSTokenQuest "), ("!", " EOSTokenExs ")):
-        x = F.replace(F.concat(x, F.lit(" ")), F.lit(ch), F.lit(tok))
+    for ch, tok in END_MARKS.items():
+        x = F.replace(F.concat(x, F.lit(" ")), F.lit(ch), F.lit(f" {tok} "))
     return x
 
 
 def strip_punct(c) -> Column:
     """Backslash/dot/plus to dot, then delete every non-word non-space char."""
-    return F.regexp_replace(F.regexp_replace(_c(c), r"[\\.+]", "."), U + r"[^\w\s]", "")
+    return F.regexp_replace(F.regexp_replace(_c(c), DOTS_RE, "."), NOT_WORD_RE, "")
 
 
 def letters_only(c) -> Column:
-    return F.regexp_replace(_c(c), U + r"[^a-zA-Z\s]", "")
+    return F.regexp_replace(_c(c), NOT_LETTER_WS_RE, "")
 
 
 def letters_to_space(c, keep_whitespace: bool = False) -> Column:
-    pat = U + r"[^a-zA-Z\s]" if keep_whitespace else r"[^a-zA-Z]"
+    pat = NOT_LETTER_WS_RE if keep_whitespace else NOT_LETTER_RE
     return F.regexp_replace(_c(c), pat, " ")
 
 
 def triple_truncate(c) -> Column:
     """From the first letter written three times, drop it and the word/space run after it."""
-    return F.regexp_replace(_c(c), U + r"([a-z])\1{2,}[\s|\w]*", "")
+    return F.regexp_replace(_c(c), TRIPLE_RE, "")
 
 
 def any_triple_truncate(c) -> Column:
     """Same for any non-space character repeated three times."""
-    return F.regexp_replace(_c(c), U + r"(\S)\1{2,}[\s|\w]*", "")
+    return F.regexp_replace(_c(c), ANY_TRIPLE_RE, "")
 
 
 def drop_short_words(c) -> Column:
-    return F.regexp_replace(_c(c), U + r"\b\w{1,3}\b", "")
+    return F.regexp_replace(_c(c), SHORT_WORD_RE, "")
 
 
 def drop_long_words(c) -> Column:
-    return F.regexp_replace(_c(c), U + r"\b\w{30,1000}\b", "")
+    return F.regexp_replace(_c(c), LONG_WORD_RE, "")
 
 
 def collapse_same_ws(c) -> Column:
     """Runs of the same whitespace character become one space."""
-    return F.regexp_replace(_c(c), U + r"(\s)\1+", " ")
+    return F.regexp_replace(_c(c), SAME_WS_RE, " ")
 
 
 def collapse_spaces(c) -> Column:
@@ -125,12 +144,12 @@ def url_star(c, repl: str = "* ") -> Column:
 
 
 def digit_mask(c) -> Column:
-    return F.regexp_replace(_c(c), U + r"\d+", "*")
+    return F.regexp_replace(_c(c), DIGITS_RE, "*")
 
 
 def squeeze_repeats(c) -> Column:
     """A lower-case letter, ``_`` or ``-`` written 3+ times becomes one."""
-    return F.regexp_replace(_c(c), r"([a-z]|_|-)\1{2,}", "$1")
+    return F.regexp_replace(_c(c), SQUEEZE_RE, "$1")
 
 
 def drop_ellipsis(c) -> Column:
@@ -202,7 +221,7 @@ def space_parts(c) -> Column:
 
 
 def word_count_regex(c) -> Column:
-    return F.size(F.regexp_extract_all(_c(c), F.lit(U + r"\w+"), F.lit(0)))
+    return F.size(F.regexp_extract_all(_c(c), F.lit(f"[{WORD}]+"), F.lit(0)))
 
 
 def word_count_ws(c) -> Column:
@@ -232,4 +251,4 @@ def remove_stop_words(words, stop_words=None) -> Column:
 
 def word_tokens(c) -> Column:
     """Words of 2+ word characters, lower-cased (count-vectoriser default)."""
-    return F.regexp_extract_all(F.lower(_c(c)), F.lit(U + r"\b\w\w+\b"), F.lit(0))
+    return F.regexp_extract_all(F.lower(_c(c)), F.lit(f"[{WORD}]{{2,}}"), F.lit(0))

@@ -120,7 +120,7 @@ def person_clean_word_counts(post_rows: DataFrame) -> DataFrame:
     """
     from lexis.session import cut_lineage
     x = T.url_strip_ws(F.col("post"))
-    for ch, tok in ((".", " EOSTokenDot "), ("?", " EOSTokenQuest "), ("!", " EOSTokenExs ")):
+    for ch, tok in ((c, f" {t} ") for c, t in T.END_MARKS.items()):
         x = F.replace(x, F.lit(ch), F.lit(tok))
     e = F.lower(T.letters_only(T.strip_punct(x)))
     p = post_rows.select("person_id", "post_no", T.space_parts("post").alias("parts"), e.alias("e"))

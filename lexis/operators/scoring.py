@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions import labels as L
+from lexis.functions import text as T
 
 AXES = L.AXES
 
@@ -25,7 +26,7 @@ def text_stats(text) -> dict[str, Column]:
     x = _c(text)
     letters = F.length(F.regexp_replace(x, r"[^\p{L}]", ""))
     ascii_letters = F.length(F.regexp_replace(x, "[^a-zA-Z]", ""))
-    words = F.size(F.regexp_extract_all(x, F.lit(r"(?U)\w+"), F.lit(0)))
+    words = F.size(F.regexp_extract_all(x, F.lit(f"[{T.WORD}]+"), F.lit(0)))
     return {
         "ascii_ratio": ascii_letters / F.greatest(letters, F.lit(1)),
         "n_excl": F.length(x) - F.length(F.replace(x, F.lit("!"), F.lit(""))),

@@ -4,6 +4,7 @@ back-reference-free forms of the regex steps (DuckDB's RE2 has ASCII ``\\w``/
 
 from __future__ import annotations
 
+from lexis.functions import text as T
 from lexis.functions.text import LABEL_WORDS, LABEL_WORDS_STRIP_ORDER, STOP_WORDS
 
 W = r"[\p{L}\p{N}_]"          # Unicode word character
@@ -62,9 +63,9 @@ def url_strip_ws(x: str) -> str:
 
 
 def eos_tokens(x: str) -> str:
-    x = f"replace({x} || ' ', '.', ' EOSTokenDot ')"
-    x = f"replace({x} || ' ', '?', ' EOSTokenQuest ')"
-    return f"replace({x} || ' ', '!', ' EOSTokenExs ')"
+    for ch, tok in T.END_MARKS.items():
+        x = f"replace({x} || ' ', '{ch}', ' {tok} ')"
+    return x
 
 
 def strip_punct(x: str) -> str:
@@ -125,7 +126,7 @@ def collapse_spaces(x: str) -> str:
     return f"regexp_replace({x}, ' +', ' ', 'g')"
 
 
-URL_CLASS = r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
+URL_CLASS = T.URL_CLASS_RE
 
 
 def url_mask(x: str, repl: str = " [MASK] ") -> str:
