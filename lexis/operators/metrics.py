@@ -13,23 +13,38 @@ from pyspark.sql import functions as F
 from lexis.functions import labels as L
 
 
+#: Row or column of a confusion grid for NULL and out-of-range classes.
+OTHER = -1
+
+
+def cells(df: DataFrame, pred_col: str, actual_col: str, group: list[str] | None = None) -> DataFrame:
+    """Counts of each (group, pred, actual): one partial + final aggregate, at
+    most classes^2 rows a group.  All metrics below can start from these."""
+    return df.groupBy(*(group or []), F.col(pred_col).cast("int").alias("pred"), F.col(actual_col).cast("int").alias("actual")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
 def confusion_long(df: DataFrame, pred_col: str, actual_col: str, n_classes: int = 16,
                    rows: str = "pred") -> DataFrame:
-    """Dense (row, col, n) grid; ``rows='pred'`` puts predictions on rows
-    (reference default), ``rows='actual'`` transposes."""
-    r, c = (pred_col, actual_col) if rows == "pred" else (actual_col, pred_col)
-    counts = df.groupBy(F.col(r).cast("int").alias("row"), F.col(c).cast("int").alias("col")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-    grid = spark.range(n_classes * n_classes).select((F.col("id") / n_classes).cast("int").alias("row"),
-                                                     (F.col("id") % n_classes).cast("int").alias("col"))
-    return grid.join(F.broadcast(counts), ["row", "col"], "left") \
-        .select("row", "col", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    """Dense (row, col, n) grid; ``rows='pred'`` puts predictions on rows (the
+    default), ``rows='actual'`` transposes.  No input row is lost: NULL or
+    out-of-range classes are counted in row or column ``OTHER`` (-1), which is
+    present only if there are any."""
+    def inside(c: str) -> Column:
+        return F.when((F.col(c) >= 0) & (F.col(c) < n_classes), F.col(c)).otherwise(OTHER).cast("int")
+    r, c = ("pred", "actual") if rows == "pred" else ("actual", "pred")
+    counts = cells(df, pred_col, actual_col).select(inside(r).alias("row"), inside(c).alias("col"), "n")
+    grid = df.sparkSession.range(n_classes * n_classes).select(
+        (F.col("id") / n_classes).cast("int").alias("row"), (F.col("id") % n_classes).cast("int").alias("col"),
+        F.lit(0).cast("bigint").alias("n"))
+    return grid.union(counts).groupBy("row", "col").agg(F.sum("n").alias("n"))
 
 
 def confusion_wide(long_df: DataFrame, n_classes: int = 16, value_col: str = "n") -> DataFrame:
-    """Pivot a dense long matrix to one row per matrix row and columns c0..c{n-1}."""
-    w = long_df.groupBy("row").pivot("col", list(range(n_classes))).agg(F.first(value_col))
+    """Pivot a dense long matrix to one row per matrix row and columns c0..c{n-1}
+    (an ``OTHER`` row stays; an ``OTHER`` column has no place here and fails)."""
+    col = F.when(F.col("col") == OTHER, F.raise_error(F.lit("predicted or actual class outside the matrix"))).otherwise(F.col("col"))
+    w = long_df.withColumn("col", col.cast("int")).groupBy("row").pivot("col", list(range(n_classes))).agg(F.first(value_col))
     return w.select("row", *[F.col(str(i)).alias(f"c{i}") for i in range(n_classes)])
 
 
@@ -58,22 +73,32 @@ def f1_columns(tp="tp", fp="fp", fn="fn", tn="tn") -> list[Column]:
             ((tp + tn) / (tp + fp + fn + tn)).alias("accuracy")]
 
 
-def per_class_f1(df: DataFrame, pred_col: str, actual_col: str, group: list[str] | None = None) -> DataFrame:
-    """One-vs-rest F1 per class over the union of seen labels (0 when undefined)."""
+def per_class_f1(counts: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """One-vs-rest F1 per class over the union of seen labels (0 when undefined),
+    from ``cells``: every cell counts for its predicted and its actual class."""
     g = group or []
-    seen = df.select(*g, F.col(pred_col).alias("cls")).union(df.select(*g, F.col(actual_col).alias("cls"))).distinct()
-    x = df.select(*g, F.col(pred_col).alias("p"), F.col(actual_col).alias("a"))
-    tp = x.where("p = a").groupBy(*g, F.col("p").alias("cls")).agg(F.count(F.lit(1)).alias("tp"))
-    pc = x.groupBy(*g, F.col("p").alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
-    ac = x.groupBy(*g, F.col("a").alias("cls")).agg(F.count(F.lit(1)).alias("n_act"))
-    j = seen.join(tp, [*g, "cls"], "left").join(pc, [*g, "cls"], "left").join(ac, [*g, "cls"], "left") \
-        .na.fill(0, ["tp", "n_pred", "n_act"])
+    hit = F.when(F.col("pred").eqNullSafe(F.col("actual")), F.col("n")).otherwise(0)
+    each = counts.select(*g, F.inline(F.array(
+        F.struct(F.col("pred").alias("cls"), hit.alias("tp"), F.col("n").alias("n_pred"), F.lit(0).cast("bigint").alias("n_act")),
+        F.struct(F.col("actual").alias("cls"), F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("n_pred"),
+                 F.col("n").alias("n_act")))))
+    j = each.groupBy(*g, "cls").agg(*[F.sum(x).alias(x) for x in ("tp", "n_pred", "n_act")])
     return j.withColumn("f1", F.coalesce(F.try_divide(F.col("tp") * 2, F.col("n_pred") + F.col("n_act")), F.lit(0.0)))
 
 
+def macro_f1_of_cells(counts: DataFrame, group: list[str] | None = None) -> DataFrame:
+    return per_class_f1(counts, group).groupBy(*(group or [])).agg(
+        F.avg("f1").alias("macro_f1"), F.count(F.lit(1)).alias("n_classes"))
+
+
 def macro_f1(df: DataFrame, pred_col: str, actual_col: str, group: list[str] | None = None) -> DataFrame:
-    pc = per_class_f1(df, pred_col, actual_col, group)
-    return pc.groupBy(*(group or [])).agg(F.avg("f1").alias("macro_f1"), F.count(F.lit(1)).alias("n_classes"))
+    return macro_f1_of_cells(cells(df, pred_col, actual_col, group), group)
+
+
+def accuracy_of_cells(counts: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Accuracy in % from ``cells`` (a NULL class is never right, but counts)."""
+    right = F.sum(F.when(F.col("pred") == F.col("actual"), F.col("n")).otherwise(0))
+    return counts.groupBy(*(group or [])).agg((right * 100 / F.sum("n")).alias("accuracy_pct"), F.sum("n").alias("n"))
 
 
 def accuracy_pct(df: DataFrame, pred_col: str, actual_col: str, group: list[str] | None = None) -> DataFrame:
@@ -92,6 +117,22 @@ def bce_terms(logit, target) -> Column:
     return -(t * lp + (F.lit(1.0) - t) * l1p)
 
 
+def recombined(df: DataFrame, id_col: str, pred_cols: list[str], target_cols: list[str]) -> DataFrame:
+    """Per row the predicted and actual code B (alphabetical index) =
+    ((8*ie + 4*ns + 2*ft + jp) + 8) % 16, by arithmetic on the wide row."""
+    return df.select(id_col, L.flip(L.code_from_bits(*pred_cols)).alias("pred_code"),
+                     L.flip(L.code_from_bits(*target_cols)).alias("actual_code"))
+
+
+def scope_cells(df: DataFrame, pred_cols: list[str], target_cols: list[str]) -> DataFrame:
+    """``cells`` per axis and, as scope ALL, of the recombined codes: one pass over the wide rows."""
+    parts = [F.struct(F.lit(a).alias("scope"), F.col(p).cast("int").alias("pred"), F.col(t).cast("int").alias("actual"))
+             for a, p, t in zip(L.AXES, pred_cols, target_cols)]
+    parts.append(F.struct(F.lit("ALL").alias("scope"), L.flip(L.code_from_bits(*pred_cols)).cast("int").alias("pred"),
+                          L.flip(L.code_from_bits(*target_cols)).cast("int").alias("actual")))
+    return cells(df.select(F.inline(F.array(*parts))), "pred", "actual", ["scope"])
+
+
 def recombine_axes(long_df: DataFrame, id_col: str, value_col: str) -> DataFrame:
     """Per row: pivot the four axis values and combine them into code B
     (alphabetical index) = ((8*ie + 4*ns + 2*ft + jp) + 8) % 16."""

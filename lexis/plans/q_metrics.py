@@ -63,11 +63,12 @@ def _axis_long(spark, d):
     return SC.axis_long(_axis_scored(spark, d), "doc_id", ["b_ie", "b_ns", "b_ft", "b_jp"])
 
 
+_PRED = [f"pred_{a.lower()}" for a in L.AXES]
+_BITS = [f"b_{a.lower()}" for a in L.AXES]
+
+
 def _recombined(spark, d):
-    lg = _axis_long(spark, d)
-    p = M.recombine_axes(lg, "doc_id", "pred").withColumnRenamed("code", "pred_code")
-    t = M.recombine_axes(lg, "doc_id", "target").withColumnRenamed("code", "actual_code")
-    return p.join(t, "doc_id")
+    return M.recombined(_axis_scored(spark, d), "doc_id", _PRED, _BITS)
 
 
 @query("axis_recombine", _AX_CTE + "SELECT doc_id, pred_code, actual_code FROM rc")
@@ -173,12 +174,8 @@ rc2 AS (SELECT 'ALL' AS axis, pred_code AS pred, actual_code AS target FROM rc)
 def macro_f1(spark, d):
     """Macro F1 per axis (2 classes) and over the recombined 16-class codes
     ('ALL'), averaged over the union of seen labels."""
-    per_axis = M.macro_f1(_axis_long(spark, d), "pred", "target", ["axis"])
-    rc = _recombined(spark, d).select(F.lit("ALL").alias("axis"), F.col("pred_code").alias("pred"),
-                                      F.col("actual_code").alias("target"))
-    allc = M.macro_f1(rc, "pred", "target", ["axis"])
-    out = per_axis.unionByName(allc)
-    return out.select(F.col("axis").alias("scope"), F.round("macro_f1", 6).alias("macro_f1"), "n_classes")
+    out = M.macro_f1_of_cells(M.scope_cells(_axis_scored(spark, d), _PRED, _BITS), ["scope"])
+    return out.select("scope", F.round("macro_f1", 6).alias("macro_f1"), "n_classes")
 
 
 # --------------------------------------------------------------------------
@@ -245,10 +242,9 @@ SELECT axis AS model, round(avg(CAST(pred = target AS DOUBLE)) * 100, 6) AS accu
 UNION ALL SELECT 'recombined', round(avg(CAST(pred_code = actual_code AS DOUBLE)) * 100, 6), count(*) FROM rc""")
 def accuracy(spark, d):
     """Accuracy in % per axis model and for the recombined 16-class code."""
-    a = M.accuracy_pct(_axis_long(spark, d), "pred", "target", ["axis"]).withColumnRenamed("axis", "model")
-    r = M.accuracy_pct(_recombined(spark, d), "pred_code", "actual_code").withColumn("model", F.lit("recombined"))
-    out = a.unionByName(r.select("model", "accuracy_pct", "n"))
-    return out.select("model", F.round("accuracy_pct", 6).alias("accuracy_pct"), "n")
+    out = M.accuracy_of_cells(M.scope_cells(_axis_scored(spark, d), _PRED, _BITS), ["scope"])
+    model = F.when(F.col("scope") == "ALL", "recombined").otherwise(F.col("scope"))
+    return out.select(model.alias("model"), F.round("accuracy_pct", 6).alias("accuracy_pct"), "n")
 
 
 @query("accuracy_knn", _KNN_PRED_SQL + """

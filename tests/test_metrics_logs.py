@@ -30,6 +30,19 @@ def test_confusion_grid_dense(spark):
     assert g.where("row = 1 AND col = 2").first()["n"] == 2
 
 
+def test_confusion_loses_no_row(spark):
+    rows = [(1, 2), (None, 2), (3, None), (7, 0), (0, -5), (None, None)]
+    df = spark.createDataFrame(rows, "p int, a int")
+    for side in ("pred", "actual"):
+        g = M.confusion_long(df, "p", "a", 4, rows=side)
+        assert g.agg(F.sum("n")).first()[0] == len(rows)
+        assert g.where(f"row = {M.OTHER} OR col = {M.OTHER}").agg(F.sum("n")).first()[0] == 5
+    with pytest.raises(Exception, match="outside the matrix"):
+        M.confusion_wide(M.confusion_long(df, "p", "a", 4), 4).collect()
+    acc = M.accuracy_of_cells(M.cells(df, "p", "a")).first()
+    assert acc["n"] == len(rows) and acc["accuracy_pct"] == 0.0
+
+
 def test_macro_f1_union_of_seen(spark):
     df = spark.createDataFrame([(0, 0), (1, 0), (1, 1)], "p int, a int")
     m = M.macro_f1(df, "p", "a").first()
