@@ -112,7 +112,8 @@ def dedup_lines(docs: DataFrame, lines: int = LINES, id_col: str = "doc_id", tex
 
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"),
                       F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_h"))
-    got = row.join(at, (F.col("_id") == F.col("_d")) & (F.col("_h") == F.col("_k")), "left")
+    # always a merge join: how much is removed must not decide whether texts are shuffled
+    got = row.join(at.hint("merge"), (F.col("_id") == F.col("_d")) & (F.col("_h") == F.col("_k")), "left")
     got = got.withColumn("_new", F.when(F.col("_at").isNull(), F.col("_text")).otherwise(
         cut(F.when(F.col("_at").isNotNull(), F.col("_text")), F.col("_at"))))
     out = []
