@@ -78,7 +78,7 @@ def draws(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     n_slots = t.agg(F.sum("k_all")).first()[0] or 0
     t = t.where("k_all > 0").select("rank", "n", "k_all", (F.col("upto_k") - F.col("k_all")).alias("first"))
     parts = t.select("*", F.explode(F.sequence(F.lit(0), F.expr(f"(k_all - 1) div {CHUNK}"))).alias("chunk")) \
-        .repartition(F.col("rank"), F.col("chunk"))            # a hot source's draws are made by many tasks
+        .repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "chunk")   # a hot source: many tasks
     k = parts.select("*", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(
         (F.col("chunk") + 1) * CHUNK, F.col("k_all")) - 1)).alias("k"))
     place = permuted(F.col("first") + F.col("k"), F.lit(max(int(n_slots), 1)).cast("long"), F.lit(seed))
@@ -124,7 +124,8 @@ class Mix:
         parts = self.rows.where("size > 0").withColumn("end", F.col("start") + F.col("size")) \
             .select("*", F.explode(F.sequence(F.expr(f"start div {b}"), F.expr(f"(end - 1) div {b}"))).alias("block"))
         parts = parts.withColumn("words", F.least("end", (F.col("block") + 1) * b) - F.greatest("start", F.col("block") * b)).drop("end")
-        return parts.join(times, ["rank", "block"], "left").na.fill(0, ["times"])
+        # the size of exploded rows can't be known when the join is planned: never broadcast them
+        return parts.join(times.hint("merge"), ["rank", "block"], "left").na.fill(0, ["times"])
 
     def counts(self) -> DataFrame:
         """``doc_id, size, source_size, target, taken`` for every document."""
