@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from lexis.llm.common import Stored, Words, mix64, word_slices
 
 HEAD = 1 << 18
-CLUSTERED = 1 << 16
+CLUSTERED = 1 << 15
 ANCHORS = 32
 CLASSES = 32
 FEATURES = 3
@@ -196,7 +196,7 @@ def _beside(words: np.ndarray, anchors: int):
                 total += np.bincount(p[ok].astype(np.int64) * 2 * anchors + anchors + i[ok], minlength=len(total))
         some = np.flatnonzero(total)
         for k in range(0, len(some), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(some[k:k + 200_000]), pa.array(total[some[k:k + 200_000]])], ["cell", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(some[k:k + 200_000].astype(np.int32)), pa.array(total[some[k:k + 200_000]])], ["cell", "c"])
     return run
 
 
@@ -290,15 +290,16 @@ def train(docs: DataFrame, head_size: int = HEAD, clustered: int = CLUSTERED, an
     counts = stored.put(texts.mapInArrow(_count, "t long, c long").groupBy("t").agg(F.sum("c").alias("c")))
     total, distinct = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     total = int(total or 0)
-    head = counts.orderBy(F.col("c").desc(), "t").limit(head_size).toPandas()          # at most head_size rows
-    words, c = head["t"].to_numpy(np.int64).view(np.uint64), head["c"].to_numpy(np.int64)
+    head = counts.orderBy(F.col("c").desc(), "t").limit(head_size).toArrow()           # at most head_size rows
+    words, c = head["t"].to_numpy().astype(np.int64).view(np.uint64), head["c"].to_numpy().astype(np.int64)
 
     top = words[:clustered]
     anchors = min(anchors, len(top))
     x = np.zeros((len(top), 2 * anchors), np.float32)
     if total:
-        cells = texts.mapInArrow(_beside(top, anchors), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
-        x.ravel()[cells["cell"].to_numpy(np.int64)] = np.sqrt(cells["c"].to_numpy(np.float64))   # at most clustered * 2 * anchors cells
+        cells = texts.mapInArrow(_beside(top, anchors), "cell int, c long").groupBy("cell").agg(F.sum("c").cast("float").alias("c"))
+        for part in cells.toArrow().to_batches():                                          # at most clustered * 2 * anchors cells
+            x.ravel()[part["cell"].to_numpy()] = np.sqrt(part["c"].to_numpy())
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     k = classes - 3
     own = np.full(len(words), k, np.int64)                                                # the rest of the head: one class
@@ -313,9 +314,10 @@ def train(docs: DataFrame, head_size: int = HEAD, clustered: int = CLUSTERED, an
     for r in range(rounds if total else 0):
         part = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(rounds)) == r).select("text")
         got = part.mapInArrow(_round(model, rate, batch), "row int, n long, d array<float>").groupBy("row").agg(
-            F.sum("n").alias("n"), F.array(*[F.sum(F.get("d", F.lit(i))) for i in range(classes)]).alias("d")).toPandas()
+            F.sum("n").alias("n"), F.array(*[F.sum(F.get("d", F.lit(i))) for i in range(classes)]).alias("d")).toArrow()
         if len(got):                                                                       # at most FEATURES * 2**bits + 1 rows
-            row, d = got["row"].to_numpy(), np.stack(got["d"].to_numpy()) / np.maximum(got["n"].to_numpy(), 1)[:, None]
+            row, n = got["row"].to_numpy(), got["n"].to_numpy()
+            d = got["d"].combine_chunks().flatten().to_numpy().reshape(len(row), classes) / np.maximum(n, 1)[:, None]
             weights, b = model.weights.copy(), model.bias.copy()
             weights[row[row >= 0]] += d[row >= 0].astype(np.float32)
             b += d[row < 0].sum(0).astype(np.float32)
