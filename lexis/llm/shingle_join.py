@@ -16,11 +16,11 @@ bounds that follow from the set sizes:
   sizes differ too much, when the shingle's positions in the two sets leave too
   little to share, or when its count over all blocks plus the rest of the sets
   stays below the overlap that the sizes ask for.
-* In a first, linear round each class meets only the first class of each of its
-  columns.  Columns whose classes the links of that round have joined are
+* In a first, linear round each class meets only the ``HEADS`` heads of each of
+  its columns.  Columns whose classes the links of that round have joined are
   done, so large groups of near copies don't produce all their pairs; in the
   others only classes of different components meet, and classes joined with
-  the column's first class meet only those that are not.
+  the column's main head meet only those that are not.
 * What is left is checked exactly on the whole sets.
 
 Joins are plain joins of stored tables, which adaptive execution can split on
@@ -43,6 +43,7 @@ from lexis.llm.components import components
 SHINGLE_WORDS = 3
 PERCENT = 90
 SKETCH_BITS = 18
+HEADS = 8
 
 
 def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
@@ -69,9 +70,9 @@ def frequency_levels(docs: DataFrame, width: int, bits: int, text_col: str) -> n
     """For each of the 2**bits buckets a level from 0 (rare) upwards: the log2 of
     its count over the mean.  Fixed in size whatever the table's."""
     n = docs.select(text_col).mapInArrow(_sketch(width, bits), "bucket long, n long") \
-        .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()          # at most 2**bits rows
+        .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()           # at most 2**bits rows
     counts = np.zeros(1 << bits)
-    counts[n["bucket"].to_numpy(np.int64)] = n["n"].to_numpy(np.float64)
+    counts[n["bucket"].to_numpy()] = n["n"].to_numpy()
     mean = max(counts.mean(), 1.0)
     return np.maximum(np.floor(2 * np.log2(np.maximum(counts, 1) / mean)), 0).astype(np.uint8)
 
@@ -171,26 +172,38 @@ class JaccardGroups:
         self.classes = self.stored.put(first.withColumn("cid", F.monotonically_increasing_id()))   # unique once written
 
     # ---- candidates
-    def _columns(self) -> DataFrame:
-        """The entries of columns with two classes or more: t, cid, n, at, first, first_n."""
+    def _columns(self) -> tuple[DataFrame, DataFrame]:
+        """The entries of columns with two classes or more (t, cid, n, at), and up to
+        HEADS heads of each (t, first, first_n, rank): of every part of its classes the
+        one with the fewest rarer shingles, in a group of near copies one near to all."""
         rows = self.classes.select("cid", "n", F.posexplode("prefix").alias("at", "t"))
-        heads = rows.groupBy("t").agg(F.min(F.struct("cid", "n")).alias("lo"), F.max("cid").alias("hi")).where("lo.cid < hi")
-        heads = self.stored.put(heads.select(F.col("t").alias("_t"), F.col("lo.cid").alias("first"), F.col("lo.n").alias("first_n")))
-        return self.stored.put(rows.join(heads, F.col("t") == F.col("_t")).drop("_t"))
-
-    def _first_pairs(self, cols: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("cid"), F.lit(HEADS))
+        some = rows.groupBy("t", part.alias("part")).agg(F.min(F.struct("at", "cid", "n")).alias("lo"),
+                                                           F.min("cid").alias("a"), F.max("cid").alias("b"))
+        some = self.stored.put(some)
+        several = some.groupBy("t").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("lo").alias("lo")) \
+            .where("a < b").select(F.col("t").alias("_t"), F.col("lo.cid").alias("main"))
+        several = self.stored.put(several)
+        heads = some.join(several, F.col("t") == F.col("_t")).select(
+            "t", F.col("lo.cid").alias("first"), F.col("lo.n").alias("first_n"), (F.col("lo.cid") == F.col("main")).alias("is_main"))
+        return self.stored.put(rows.join(several, F.col("t") == F.col("_t")).drop("_t", "main")), self.stored.put(heads)
+
+    def _first_pairs(self, cols: DataFrame, heads: DataFrame) -> DataFrame:
         p = self.percent
-        met = cols.where((F.col("cid") != F.col("first")) & _sizes_fit(F.col("n"), F.col("first_n"), p))
+        h = heads.select(F.col("t").alias("_t"), "first", "first_n")
+        met = cols.join(h, (F.col("t") == F.col("_t")) & (F.col("cid") != F.col("first")) & _sizes_fit(F.col("n"), F.col("first_n"), p))
         met = met.groupBy("first", "cid", "first_n", "n").agg(F.count(F.lit(1)).alias("c"))
-        return met.where(_enough(F.col("c"), F.col("n"), F.col("first_n"), p)).select(F.col("first").alias("a"), F.col("cid").alias("b"))
+        met = met.where(_enough(F.col("c"), F.col("n"), F.col("first_n"), p))
+        return met.select(F.least("first", "cid").alias("a"), F.greatest("first", "cid").alias("b")).distinct()
 
-    def _other_pairs(self, cols: DataFrame, lab: DataFrame) -> DataFrame:
+    def _other_pairs(self, cols: DataFrame, heads: DataFrame, lab: DataFrame) -> DataFrame:
         """Pairs of different components in the columns that still hold several."""
         p = self.percent
         own = lab.select(F.col("v").alias("_v"), F.col("c").alias("comp"))
-        head = lab.select(F.col("v").alias("_w"), F.col("c").alias("first_comp"))
+        head = heads.where("is_main").join(own, F.col("first") == F.col("_v"), "left") \
+            .select(F.col("t").alias("_t"), F.coalesce("comp", "first").alias("first_comp"))
         rows = cols.join(own, F.col("cid") == F.col("_v"), "left").withColumn("comp", F.coalesce("comp", "cid")) \
-            .join(head, F.col("first") == F.col("_w"), "left").withColumn("first_comp", F.coalesce("first_comp", "first"))
+            .join(self.stored.put(head), F.col("t") == F.col("_t"))
         rows = self.stored.put(rows.select("t", "cid", "n", "at", "comp", (F.col("comp") == F.col("first_comp")).alias("main")))
         x = rows.where("NOT main").alias("x")
         y = rows.alias("y")
@@ -222,13 +235,18 @@ class JaccardGroups:
 
     def labels(self) -> DataFrame:
         """``v, c`` for the classes that link with another one."""
-        cols = self._columns()
-        lab = components(self._links(self._first_pairs(cols)), self.stored)
-        more = self._links(self._other_pairs(cols, lab))
+        cols, heads = self._columns()
+        lab = components(self._links(self._first_pairs(cols, heads)), self.stored)
+        more = self._links(self._other_pairs(cols, heads, lab))
         if more.limit(1).count() == 0:
             return lab
-        own = lab.select(F.col("v").alias("a"), F.col("c").alias("b"))
-        return components(own.union(more.select("a", "b")), self.stored)
+        # links between components: each pair of components counts once, however many links it has
+        at = [lab.select(F.col("v").alias(f"_{x}"), F.col("c").alias(f"c{x}")) for x in "ab"]
+        ends = more.join(at[0], F.col("a") == F.col("_a"), "left").join(at[1], F.col("b") == F.col("_b"), "left") \
+            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct()
+        top = components(ends, self.stored).select(F.col("v").alias("_v"), F.col("c").alias("_c"))
+        all_v = lab.union(top.select("_v", F.col("_v").alias("c"))).groupBy("v").agg(F.min("c").alias("c"))
+        return self.stored.put(all_v.join(top, F.col("c") == F.col("_v"), "left").select("v", F.coalesce("_c", "c").alias("c")))
 
     def rows(self) -> DataFrame:
         """``doc_id, key, n_shingles, component_id, cid`` for every row of ``docs``
