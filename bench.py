@@ -27,6 +27,7 @@ HEADLINE = [
     "tfidf_l2",              # df-limited vocabulary + smoothed, normalised TF-IDF
     "vocab_encode",          # corpus vocabulary + id encoding
     "pack_by_class",         # exact parallel per-class token packing
+    "pack_by_person",        # 300-word packing per person
     "pack_request",          # per-request sentence packing
     "split_stratified",      # seeded stratified split (distributed ranks)
     "axis_f1",               # per-axis scores -> tp/fp/fn/tn/F1
@@ -47,7 +48,7 @@ def main() -> None:
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
     from lexis.plans.registry import queries
-    from lexis.session import get_session
+    from lexis.session import clean_scratch, get_session
 
     scratch = tempfile.mkdtemp(prefix="lexis-bench-")
     spark = get_session(f"local[{cpus}]", max(cpus, 8), app_name="lexis-bench", extra={
@@ -75,6 +76,7 @@ def main() -> None:
            "cpus": cpus}
     if failed:
         out["failed"] = failed
+    clean_scratch(spark)
     print(json.dumps(out))
     spark.stop()
 

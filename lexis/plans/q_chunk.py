@@ -274,12 +274,80 @@ SELECT b.code, b.first_person_id, CAST(b.first_post_no AS BIGINT) AS first_post_
        CAST(b.n_tokens AS BIGINT) AS n_tokens
 FROM bins b JOIN last l ON b.code = l.code WHERE NOT (l.flushed AND b.start_k = l.trailing)
 UNION ALL
-SELECT code, NULL, NULL, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM last WHERE empty_first""")
+SELECT code, CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM last WHERE empty_first
+UNION ALL
+SELECT CAST(g AS INTEGER), CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM range(16) t(g)
+WHERE g NOT IN (SELECT code FROM items)""")
 def pack_by_class(spark, d, segment_rows: int = 5_000_000):
     """Usable clean posts of each class packed in (person, post) order into
-    rows of at most 1024 tokens (exact, parallel; see ``pack_by_group``)."""
+    rows of at most 1024 tokens (exact, parallel; see ``pack_by_group``); a
+    class without posts has one empty row."""
+    items = _class_items(spark, d)
+    bins = K.pack_by_group(items, "code", ["person_id", "post_no"], "n_tok", 1024, segment_rows)
+    none = _empty_classes(spark, items)
+    return bins.unionByName(none.select("code", *[F.lit(-1).cast("bigint").alias(f"first_{c}") for c in ("person_id", "post_no")],
+                                        *[F.lit(0).cast("bigint").alias(c) for c in ("n_items", "n_tokens")])) \
+        .na.fill(-1, ["first_person_id", "first_post_no"])          # an empty row has no first post
+
+
+def _class_items(spark, d, *more):
     from lexis.functions import labels as L
     pr = C.clean_mask_post(V.post_rows(spark, d), "post")
-    items = pr.select(L.code_b("type").alias("code"), "person_id", "post_no",
-                      F.size(T.word_tokens("clean")).alias("n_tok"))
-    return K.pack_by_group(items, "code", ["person_id", "post_no"], "n_tok", 1024, segment_rows)
+    return pr.select(L.code_b("type").cast("int").alias("code"), "person_id", F.col("post_no").cast("bigint").alias("post_no"),
+                     F.size(T.word_tokens("clean")).alias("n_tok"), *more)
+
+
+def _empty_classes(spark, items, n: int = 16):
+    """Class codes without items (a table of at most n rows)."""
+    return spark.range(n).select(F.col("id").cast("int").alias("code")).join(items.select("code").distinct(), "code", "left_anti")
+
+
+@query("packed_tokens", _CLASS_ITEMS_CTE + f""",
+tk AS (SELECT person_id, post_no, unnest(range(len(toks))) AS pos, unnest(toks) AS term
+       FROM (SELECT person_id, post_no, regexp_extract_all(lower(clean), '{TOK}') AS toks FROM cl
+             WHERE {S.space_parts('clean')} > 3 AND {S.mask_count('x')} <= {S.space_parts('clean')} * 0.5)),
+vocab AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) + 1 AS id FROM tk GROUP BY term),
+pt AS (SELECT r.code, r.start_k, v.id, row_number() OVER (PARTITION BY r.code, r.start_k ORDER BY r.k, tk.pos) AS p
+       FROM rec r JOIN it ON it.code = r.code AND it.k = r.k
+       JOIN tk ON tk.person_id = it.person_id AND tk.post_no = it.post_no JOIN vocab v ON v.term = tk.term),
+ps AS (SELECT code, start_k, count(*) AS n, sum(id) FILTER (WHERE p <= 1024) AS id_sum,
+              sum(id * p) FILTER (WHERE p <= 1024) AS checksum FROM pt GROUP BY code, start_k),
+kept AS (SELECT b.code, b.start_k, b.first_person_id, CAST(b.first_post_no AS BIGINT) AS first_post_no
+         FROM bins b JOIN last l ON b.code = l.code WHERE NOT (l.flushed AND b.start_k = l.trailing))
+SELECT k.code, k.first_person_id, k.first_post_no, CAST(coalesce(ps.n, 0) AS INTEGER) AS n_tokens, 1024 AS n_padded,
+       CAST(least(coalesce(ps.n, 0), 1024) AS BIGINT) AS mask_sum, CAST(coalesce(ps.id_sum, 0) AS BIGINT) AS id_sum,
+       CAST(coalesce(ps.checksum, 0) AS BIGINT) AS checksum
+FROM kept k LEFT JOIN ps ON ps.code = k.code AND ps.start_k = k.start_k
+UNION ALL SELECT code, CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), 0, 1024, 0, 0, 0 FROM last WHERE empty_first
+UNION ALL SELECT CAST(g AS INTEGER), CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), 0, 1024, 0, 0, 0 FROM range(16) t(g) WHERE g NOT IN (SELECT code FROM items)""")
+def packed_tokens(spark, d):
+    """The packed token table: each class's posts as ids, packed into rows of
+    at most 1024, written as CSV token lists, read back, padded and masked."""
+    from lexis.session import cut_lineage, scratch_path
+    from lexis.sources import files as FS
+    posts = _class_items(spark, d, T.word_tokens("clean").alias("toks"))
+    items = posts.drop("toks")
+    item = F.struct("person_id", "post_no").alias("item")
+    toks = posts.select(item, F.posexplode("toks").alias("pos", "term"))
+    ids = FT.encode(toks, cut_lineage(FT.build_vocabulary(toks)), "item")
+    assigned, empties = K.pack_assign(items, "code", ["person_id", "post_no"], "n_tok", 1024)
+    kept = assigned.where(F.col("bin_start") != F.col("trailing_start")).withColumn("item", F.struct("person_id", "post_no"))
+    parts = kept.join(ids, "item", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<int>")))
+    # a bin holds at most 1024 tokens, or one post
+    rows = parts.groupBy("code", "bin_start").agg(
+        F.min_by(F.struct("person_id", "post_no"), "seq").alias("f"),
+        F.sort_array(F.collect_list(F.struct("seq", "tokens"))).alias("x"))
+    rows = rows.select("code", F.col("f.person_id").alias("first_person_id"), F.col("f.post_no").alias("first_post_no"),
+                       F.flatten(F.transform("x", lambda s: s["tokens"])).alias("tokens"))
+    none = empties.where("empty_first").select(F.col("grp").cast("int").alias("code")).union(_empty_classes(spark, items))
+    rows = rows.unionByName(none.select("code", *[F.lit(-1).cast("bigint").alias(f"first_{c}") for c in ("person_id", "post_no")],
+                                        F.array().cast("array<int>").alias("tokens")))
+    path = scratch_path(spark, "packed-csv")
+    FS.write_csv(rows.select("code", "first_person_id", "first_post_no", FS.format_token_list("tokens").alias("token")), path)
+    back = FS.read_csv(spark, path, FS.PACKED_SCHEMA).withColumn("ids", FS.parse_token_list("token"))
+    p = back.withColumn("p", K.pad_truncate("ids", 1024))
+    total = F.lit(0).cast("bigint")
+    return p.select("code", "first_person_id", "first_post_no", F.size("ids").alias("n_tokens"), F.size("p").alias("n_padded"),
+                    F.aggregate(K.attention_mask("p"), total, lambda a, x: a + x).alias("mask_sum"),
+                    F.aggregate("p", total, lambda a, x: a + x).alias("id_sum"),
+                    F.aggregate(F.transform("p", lambda x, i: x.cast("bigint") * (i + 1)), total, lambda a, x: a + x).alias("checksum"))

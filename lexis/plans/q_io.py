@@ -89,3 +89,11 @@ def snk_report(spark, d):
     confusion_long(spark, d).write.mode("overwrite").parquet(os.path.join(base, "prediction"))
     axis_f1(spark, d).write.mode("overwrite").parquet(os.path.join(base, "f1_scores"))
     return spark.read.parquet(os.path.join(base, "f1_scores"))
+
+
+@query("snk_report_matrix", _AX_CTE + _grid_sql("rc", "pred_code", "actual_code"))
+def snk_report_matrix(spark, d):
+    """The prediction matrix of the report, written and read back."""
+    path = os.path.join(scratch_path(spark, "report"), "prediction")
+    confusion_long(spark, d).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

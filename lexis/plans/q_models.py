@@ -1,45 +1,57 @@
-"""Registered model queries (MOD-1..4, MOD-6..11).  No SQL equivalent: the
-driver records a rows-only check (one row per test document).
+"""Registered model queries (MOD-1..4, MOD-6..11).
 
-Labelled documents -> count features (cached, shared by every model) ->
-stratified seeded 15% hold-out -> fit -> predict.  Label = alphabetical
-class index of the four-letter type."""
+Labelled documents -> profile clean, at least 20 words -> hashed counts ->
+stratified seeded 15% hold-out -> fit -> predict, one row per test document.
+Label = alphabetical class index of the four-letter type.  The models have no
+SQL form; ``model_split`` (who is in which side, with which label) has, and
+tests hold the models against the majority class.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, StringIndexer
 from pyspark.sql import functions as F
 
 from lexis.functions import labels as L
+from lexis.functions import text as T
+from lexis.operators import clean as C
 from lexis.operators import features as FT
 from lexis.operators import models as MD
 from lexis.operators import split as SP
+from lexis.plans import sqlviews as S
 from lexis.plans.registry import query
 from lexis.session import scratch_path
 from lexis.sources import tables as V
 
-_CACHE: dict = {}
-
-
-def _data(spark, d, vocab_size: int = 2048):
-    key = (d, vocab_size, id(spark))
-    if key in _CACHE:
-        return _CACHE[key]
-    a = V.axes(spark, d).select("doc_id", "text", "type", "code", "b_ie", "b_ns", "b_ft", "b_jp")
-    feats, _ = MD.count_features(a, "text", vocab_size=vocab_size)
-    # iterative optimisers run one task per partition per iteration: cache the
-    # features in as many partitions as there are cores (narrow coalesce)
-    sp = SP.split_stratified(feats, "doc_id", "code", 0.15, 1) \
-        .coalesce(spark.sparkContext.defaultParallelism).cache()
-    train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
-    # label-encoder index over the classes seen in training (alphabetical,
-    # contiguous); a class only present in the hold-out gets the extra index
-    idx = StringIndexer(inputCol="type", outputCol="label", stringOrderType="alphabetAsc",
-                        handleInvalid="keep").fit(train)
-    train, test = idx.transform(train), idx.transform(test)
-    _CACHE[key] = (train, test)
-    return train, test
+MIN_WORDS = 20
+
+
+def _cleaned(spark, d, clean=C.clean_profile_col):
+    """Labelled documents whose cleaned text has at least MIN_WORDS words, with the class index."""
+    a = V.axes(spark, d).withColumn("label", L.flip("code").cast("double"))
+    x = C.with_once(a, clean=clean(F.col("text"))).drop("text").withColumnRenamed("clean", "text")
+    return x.where(T.word_count_ws("text") >= MIN_WORDS)
+
+
+def _split(x):
+    """Adds ``split``: ids and labels alone are ranked, texts and features join the result."""
+    side = SP.split_stratified(x.select("doc_id", "label"), "doc_id", "label", 0.15, 1).select("doc_id", "split")
+    return x.join(side, "doc_id")
+
+
+def _data(spark, d, num_features: int = MD.HASH_FEATURES, clean=C.clean_profile_col):
+    sp = _split(MD.count_features(_cleaned(spark, d, clean), "text", num_features))
+    return sp.where("split = 'train'"), sp.where("split = 'test'")
+
+
+def _fit(est, train, test, features_col: str = "features"):
+    """Fit on cached training rows (iterative fits read them many times), then let them go."""
+    train = train.persist()
+    try:
+        return MD.fit_predict(est, train, test, features_col)
+    finally:
+        train.unpersist()
 
 
 def _out(pred):
@@ -47,79 +59,111 @@ def _out(pred):
                        F.col("prediction").cast("int").alias("prediction"))
 
 
+_SPLIT_SQL = S.with_(S.AXES_CTE) + f"""
+, cl AS (SELECT doc_id, code, {S.clean_profile('text')} AS clean FROM axes),
+ok AS (SELECT doc_id, CAST((code + 8) % 16 AS INTEGER) AS label FROM cl
+       WHERE len(list_filter(regexp_split_to_array(trim(clean), '\\s+'), lambda w: w <> '')) >= {MIN_WORDS}),
+""" + S.stratified_sizes_cte("sz", "ok", "label") + """,
+r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR) || ':1'), doc_id) - 1 AS rk FROM ok)
+SELECT r.doc_id, r.label, CASE WHEN r.rk < sz.n_test THEN 'test' ELSE 'train' END AS split FROM r JOIN sz ON r.label = sz.label"""
+
+
+@query("model_split", _SPLIT_SQL)
+def model_split(spark, d):
+    """The side and class of every usable document, as all count models see them."""
+    return _split(_cleaned(spark, d).select("doc_id", "label", "text")).select(
+        "doc_id", F.col("label").cast("int").alias("label"), "split")
+
+
 @query("model_rf")
 def model_rf(spark, d):
-    """Random forest, 16 classes (query: 50 trees; library default 200)."""
-    tr, te = _data(spark, d)
-    return _out(MD.fit_predict(MD.random_forest(50), tr, te))
+    """Random forest of 200 trees, 16 classes."""
+    tr, te = _data(spark, d, MD.TREE_FEATURES)
+    return _out(_fit(MD.random_forest(200), tr, te))
 
 
 @query("model_gbt")
 def model_gbt(spark, d):
-    """Boosted trees one-vs-rest (query: 10 rounds; library default 200)."""
-    tr, te = _data(spark, d)
-    return _out(MD.fit_predict(MD.boosted_trees(10), tr, te))
+    """Boosted trees one-vs-rest (query: 10 rounds a class, see the README; library default 200)."""
+    tr, te = _data(spark, d, MD.TREE_FEATURES)
+    return _out(_fit(MD.boosted_trees(10), tr, te))
 
 
 @query("model_linear_svc")
 def model_linear_svc(spark, d):
     """Hinge-loss linear model, 10 iterations, one-vs-rest."""
     tr, te = _data(spark, d)
-    return _out(MD.fit_predict(MD.linear_svc(10), tr, te))
+    return _out(_fit(MD.linear_svc(10), tr, te))
 
 
 @query("model_logreg")
 def model_logreg(spark, d):
-    """Multinomial logistic regression, C = 1."""
-    tr, te = _data(spark, d)
-    return _out(MD.fit_predict(MD.logistic_regression(tr.count()), tr, te))
+    """Multinomial logistic regression, C = 1 (its optimiser keeps some twenty
+    copies of classes x features weights on the driver: 2^16 buckets)."""
+    tr, te = _data(spark, d, 1 << 16)
+    return _out(_fit(MD.logistic_regression(tr.count()), tr, te))
 
 
 @query("model_rff_svm")
 def model_rff_svm(spark, d):
     """RBF-kernel SVM approximated by random Fourier features + linear SVC."""
-    tr, te = _data(spark, d)
-    n_in = tr.select("features").first()["features"].size
-    tr2 = MD.random_fourier_features(tr, "features", n_in, 128, gamma=0.01)
-    te2 = MD.random_fourier_features(te, "features", n_in, 128, gamma=0.01)
-    return _out(MD.fit_predict(MD.linear_svc(10), tr2, te2, "rff"))
+    x = _cleaned(spark, d).withColumn("tok", T.remove_stop_words(T.word_tokens("text")))
+    sp = _split(MD.random_fourier_features(x, "tok", 1 << 15, 128, gamma=0.01))
+    return _out(_fit(MD.linear_svc(10), sp.where("split = 'train'"), sp.where("split = 'test'"), "rff"))
+
+
+def _axis_predictions(spark, d):
+    """Four binary heads on TF-IDF of the bag-of-words clean: one chained projection of the test rows."""
+    x = _cleaned(spark, d, C.clean_bow_col)
+    tf = MD.count_features(x, "text", out_col="tf")
+    sp = _split(tf)
+    tr, te = sp.where("split = 'train'").persist(), sp.where("split = 'test'")
+    try:
+        stages = [IDF(inputCol="tf", outputCol="w"), Normalizer(p=2.0, inputCol="w", outputCol="features")]
+        for a in (x.lower() for x in L.AXES):
+            stages.append(MD.LogisticRegression(labelCol=f"b_{a}", featuresCol="features", predictionCol=f"pred_{a}",
+                                                probabilityCol=f"prob_{a}", rawPredictionCol=f"raw_{a}", maxIter=100))
+        bits = {f"b_{a.lower()}": F.col(f"b_{a.lower()}").cast("double") for a in L.AXES}
+        model = Pipeline(stages=stages).fit(tr.withColumns(bits))
+    finally:
+        tr.unpersist()
+    names = [x.lower() for x in L.AXES]
+    return model.transform(te.withColumns(bits)).select(
+        "doc_id", *[F.col(f"pred_{a}").cast("int").alias(f"pred_{a}") for a in names], *[F.col(f"b_{a}").cast("int").alias(f"b_{a}") for a in names])
 
 
 @query("model_axes")
 def model_axes(spark, d):
-    """Four binary axis classifiers on the same cached features; per axis the
-    accuracy and F1, plus the recombined 16-class accuracy (one row each)."""
+    """Four binary axis classifiers on TF-IDF features: per axis the accuracy
+    and F1, plus the recombined 16-class accuracy (one row each), all from one
+    pass of cells."""
     from lexis.operators import metrics as M
-    tr, te = _data(spark, d)
-    preds = None
-    for ax in L.AXES:
-        a = ax.lower()
-        est = MD.LogisticRegression(labelCol=f"b_{a}", featuresCol="features", predictionCol=f"pred_{a}",
-                                    probabilityCol=f"prob_{a}", rawPredictionCol=f"raw_{a}", maxIter=50)
-        m = est.fit(tr.withColumn(f"b_{a}", F.col(f"b_{a}").cast("double")))
-        p = m.transform(te).select("doc_id", F.col(f"pred_{a}").cast("int").alias(f"pred_{a}"))
-        preds = p if preds is None else preds.join(p, "doc_id")
-    j = preds.join(te.select("doc_id", "b_ie", "b_ns", "b_ft", "b_jp", "label"), "doc_id")
-    rows = []
-    for ax in L.AXES:
-        a = ax.lower()
-        c = M.binary_counts(j, f"pred_{a}", f"b_{a}").select(F.lit(ax).alias("model"), *M.f1_columns())
-        rows.append(c.select("model", "accuracy", "f1_binary"))
-    rc = j.select(L.flip(L.code_from_bits("pred_ie", "pred_ns", "pred_ft", "pred_jp")).alias("p"),
-                  L.flip(L.code_from_bits("b_ie", "b_ns", "b_ft", "b_jp")).alias("t"))
-    allr = rc.agg((F.avg((F.col("p") == F.col("t")).cast("double"))).alias("accuracy")) \
-        .select(F.lit("recombined").alias("model"), "accuracy", F.lit(None).cast("double").alias("f1_binary"))
-    out = rows[0]
-    for r in rows[1:] + [allr]:
-        out = out.unionByName(r)
-    return out
+    names = [a.lower() for a in L.AXES]
+    c = M.scope_cells(_axis_predictions(spark, d), [f"pred_{a}" for a in names], [f"b_{a}" for a in names])
+    tp, fp, fn = (F.sum(F.when((F.col("pred") == p) & (F.col("actual") == t), F.col("n")).otherwise(0)) for p, t in ((1, 1), (1, 0), (0, 1)))
+    right = F.sum(F.when(F.col("pred") == F.col("actual"), F.col("n")).otherwise(0))
+    g = c.groupBy("scope").agg((right / F.sum("n")).alias("accuracy"), F.coalesce(F.try_divide(tp * 2, tp * 2 + fp + fn), F.lit(0.0)).alias("f1_binary"))
+    every = F.col("scope") == "ALL"
+    return g.select(F.when(every, "recombined").otherwise(F.col("scope")).alias("model"), "accuracy",
+                    F.when(~every, F.col("f1_binary")).alias("f1_binary"))
+
+
+@query("model_axes_matrix")
+def model_axes_matrix(spark, d):
+    """The recombined 16 x 16 matrix of the four fitted axis models (rows: predicted)."""
+    from lexis.operators import metrics as M
+    names = [a.lower() for a in L.AXES]
+    codes = M.recombined(_axis_predictions(spark, d), "doc_id", [f"pred_{a}" for a in names], [f"b_{a}" for a in names])
+    return M.confusion_long(codes, "pred_code", "actual_code", 16)
+
+
+NGRAM_FEATURES = 1 << 11
 
 
 def _ngram_data(spark, d):
     a = V.axes(spark, d).select("doc_id", "text", "code", "b_ie")
-    v = FT.ngram_presence(a, "doc_id", "text", (2, 3, 4), 512)
-    x = v.join(a.select("doc_id", "code", "b_ie"), "doc_id")
-    sp = SP.split_stratified(x, "doc_id", "code", 0.15, 1).coalesce(spark.sparkContext.defaultParallelism).cache()
+    v = FT.ngram_presence(a, "doc_id", "text", (2, 3, 4), NGRAM_FEATURES)
+    sp = _split(v.join(a.select("doc_id", F.col("code").alias("label"), "code", "b_ie"), "doc_id"))
     return sp.where("split = 'train'"), sp.where("split = 'test'")
 
 
@@ -129,7 +173,7 @@ def model_mlp_axis(spark, d):
     tr, te = _ngram_data(spark, d)
     tr = tr.withColumn("label", F.col("b_ie").cast("double"))
     te = te.withColumn("label", F.col("b_ie").cast("double"))
-    return _out(MD.fit_predict(MD.mlp(3 * 512, 2, 16, 30), tr, te))
+    return _out(_fit(MD.mlp(3 * NGRAM_FEATURES, 2, 16, 50), tr, te))
 
 
 @query("model_mlp_16")
@@ -141,7 +185,7 @@ def model_mlp_16(spark, d):
     tr, te = _ngram_data(spark, d)
     tr = tr.withColumn("label", L.flip("code").cast("double"))
     te = te.withColumn("label", L.flip("code").cast("double"))
-    p = MD.fit_predict(MD.mlp(3 * 512, 16, 16, 30), tr, te)
+    p = _fit(MD.mlp(3 * NGRAM_FEATURES, 16, 16, 50), tr, te)
     p = p.withColumn("probs", vector_to_array("probability"))
     return M.confusion_soft(p, "label", "probs").select("actual", "class", F.round("p_sum", 6).alias("p_sum"))
 
@@ -153,12 +197,11 @@ def batch_score(spark, d):
     applied to each person's 300-word chunks; prediction + target per chunk."""
     from lexis.plans.q_chunk import _pack_person
     a = V.axes(spark, d).select("doc_id", "text", F.col("b_ie").cast("double").alias("label"))
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+    from pyspark.ml.feature import RegexTokenizer
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"(?U)\b\w\w+\b", gaps=False, toLowercase=True),
-        CountVectorizer(inputCol="tok", outputCol="features", vocabSize=2048),
-        MD.LogisticRegression(labelCol="label", maxIter=30)])
+        RegexTokenizer(inputCol="text", outputCol="tok", pattern=f"[{T.WORD}]{{2,}}", gaps=False, toLowercase=True),
+        HashingTF(inputCol="tok", outputCol="features", numFeatures=MD.HASH_FEATURES),
+        MD.LogisticRegression(labelCol="label", maxIter=100)])
     model = pipe.fit(a)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
@@ -169,7 +212,8 @@ def batch_score(spark, d):
                                        "target")
 
 
-@query("label_indexer")
+@query("label_indexer", S.with_(S.AXES_CTE) + """
+SELECT doc_id, type, CAST(dense_rank() OVER (ORDER BY type) - 1 AS INTEGER) AS label_alpha FROM axes""")
 def label_indexer(spark, d):
     """Alphabetical label index through Spark ML (StringIndexer, alphabetAsc)."""
     a = V.axes(spark, d).select("doc_id", "type")

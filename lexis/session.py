@@ -78,10 +78,20 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "lexis-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(base, "lexis-scratch", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete everything below ``lexis-scratch`` of the shared folder that this
+    application wrote.  Call it when the results are consumed: queries that
+    write and read back return frames over these files."""
+    sc = spark.sparkContext
+    base = os.path.join(ensure_checkpoint_dir(spark), "lexis-scratch", sc.applicationId)
+    path = sc._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

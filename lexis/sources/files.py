@@ -11,21 +11,33 @@ POSTS_SCHEMA = Ty.StructType([
     Ty.StructField("person_id", Ty.LongType()), Ty.StructField("type", Ty.StringType()),
     Ty.StructField("posts", Ty.StringType())])
 
+PACKED_SCHEMA = Ty.StructType([
+    Ty.StructField("code", Ty.IntegerType()), Ty.StructField("first_person_id", Ty.LongType()),
+    Ty.StructField("first_post_no", Ty.LongType()), Ty.StructField("token", Ty.StringType())])
+
 TOKENS_SCHEMA = Ty.StructType([
     Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("label", Ty.IntegerType()),
     Ty.StructField("token", Ty.StringType())])
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """CSV with quoted fields, embedded quotes doubled; an index is an explicit column."""
-    df.write.mode("overwrite").option("header", header).option("quote", '"').option("escape", '"') \
-        .option("quoteAll", True).csv(path)
+#: How a NULL is written in CSV; a text that consists of just these two characters is read as NULL.
+CSV_NULL = "\\N"
+
+
+def write_csv(df: DataFrame, path: str, header: bool = True, rows_per_file: int | None = None) -> None:
+    """CSV with quoted fields, embedded quotes doubled; an index is an explicit
+    column.  Empty texts and NULLs stay different.  A file with multi-line
+    fields is read by one task: ``rows_per_file`` bounds the files."""
+    w = df.write.mode("overwrite").option("header", header).option("quote", '"').option("escape", '"') \
+        .option("quoteAll", True).option("nullValue", CSV_NULL).option("emptyValue", "") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    (w.option("maxRecordsPerFile", rows_per_file) if rows_per_file else w).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: Ty.StructType, header: bool = True) -> DataFrame:
     """Quoted CSV with multi-line fields and an explicit schema (no inference)."""
     return spark.read.schema(schema).option("header", header).option("quote", '"').option("escape", '"') \
-        .option("multiLine", True).option("mode", "FAILFAST").csv(path)
+        .option("multiLine", True).option("mode", "FAILFAST").option("nullValue", CSV_NULL).option("emptyValue", "").csv(path)
 
 
 def parse_token_list(c) -> F.Column:

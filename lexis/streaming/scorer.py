@@ -72,13 +72,15 @@ def _labels_inline(y: DataFrame) -> DataFrame:
     return out.select("*", *[L.confidence(f"s_{ax.lower()}").alias(f"conf_{ax.lower()}") for ax in L.AXES])
 
 
-def write_requests(df: DataFrame, path: str, n_files: int = 8, mode: str = "overwrite") -> None:
-    """Drop requests as JSON-lines files (the producer side); ``mode='append'``
-    adds new files next to those already consumed."""
-    df.select(F.col("request_id").cast("long"), "text").repartition(n_files).write.mode(mode).json(path)
+def write_requests(df: DataFrame, path: str, rows_per_file: int | None = None, mode: str = "overwrite") -> None:
+    """Drop requests as JSON-lines files (the producer side), as many as the
+    input has partitions, each of at most ``rows_per_file`` rows if given;
+    ``mode='append'`` adds new files next to those already consumed."""
+    w = df.select(F.col("request_id").cast("long"), "text").write.mode(mode)
+    (w.option("maxRecordsPerFile", rows_per_file) if rows_per_file else w).json(path)
 
 
-def stream_scores(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, max_files: int = 2,
+def stream_scores(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, max_files: int = 1000,
                   clean_source: str = "off", **kw) -> None:
     """Run the request stream until every available file is consumed
     (``availableNow``), appending results as Parquet with exactly-once
@@ -94,14 +96,15 @@ def stream_scores(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
 # scoring with fitted Spark ML models (one pipeline, four axis heads)
 # ---------------------------------------------------------------------------
 def fit_axis_models(docs: DataFrame, text_col: str = "text", label_cols=("b_ie", "b_ns", "b_ft", "b_jp"),
-                    vocab_size: int = 4096, max_iter: int = 30):
-    """One pipeline: word tokens -> counts -> four logistic-regression heads,
-    one per axis (bit 1 = second letter).  Features are computed once."""
+                    num_features: int = 1 << 18, max_iter: int = 100):
+    """One pipeline: word tokens -> hashed counts (no vocabulary) -> four
+    logistic-regression heads, one per axis (bit 1 = second letter).  Features
+    are computed once."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
-    stages = [RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\b\w\w+\b", gaps=False),
-              CountVectorizer(inputCol="_tok", outputCol="_cv", vocabSize=vocab_size)]
+    from pyspark.ml.feature import HashingTF, RegexTokenizer
+    stages = [RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=f"[{T.WORD}]{{2,}}", gaps=False),
+              HashingTF(inputCol="_tok", outputCol="_cv", numFeatures=num_features)]
     for ax, lab in zip(L.AXES, label_cols):
         a = ax.lower()
         stages.append(LogisticRegression(featuresCol="_cv", labelCol=lab, maxIter=max_iter,
@@ -130,7 +133,7 @@ def score_requests_with_model(df: DataFrame, model, id_col: str = "request_id",
 
 
 def stream_scores_with_model(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, model,
-                             max_files: int = 2) -> None:
+                             max_files: int = 1000) -> None:
     """Streaming variant: every micro-batch is scored as a batch (the model
     works on chunk rows) and written to ``out_dir/epoch=<id>`` with overwrite,
     so a micro-batch replayed after a failure replaces its own output."""

@@ -17,11 +17,11 @@ def test_stream_restart_exactly_once(spark):
     second = req.where("request_id % 2 = 1")
     base = scratch_path(spark, "stream-test")
     inp, out, ck = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
-    ST.write_requests(first, inp, n_files=3)
+    ST.write_requests(first.repartition(3), inp)
     ST.stream_scores(spark, inp, out, ck, max_files=1)
     n1 = spark.read.parquet(out).count()
     assert n1 == first.count()
-    ST.write_requests(second, inp, n_files=3, mode="append")
+    ST.write_requests(second.repartition(3), inp, mode="append")
     ST.stream_scores(spark, inp, out, ck, max_files=1)        # restart: only new files
     res = spark.read.parquet(out)
     assert res.count() == req.count()
@@ -37,7 +37,7 @@ def test_model_stream_equals_batch(spark):
     req = V.posts(spark, SF001).select(F.col("person_id").alias("request_id"), F.col("posts").alias("text"))
     base = scratch_path(spark, "stream-model-test")
     inp, out, ck = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
-    ST.write_requests(req, inp, n_files=4)
+    ST.write_requests(req.repartition(4), inp)
     ST.stream_scores_with_model(spark, inp, out, ck, model, max_files=1)
     cols = ["request_id", "n_chunks", "type_pred", "s_ie", "s_ns", "s_ft", "s_jp"]
     got = sorted(map(tuple, spark.read.parquet(out).select(*cols).collect()))
