@@ -12,10 +12,10 @@ bounds that follow from the set sizes:
   ``n - ceil(percent * n / 100) + 1`` shingles as columns: two sets that link
   share one of these.  Very common shingles thus hardly ever form a column.
 * A block of the product is what one shuffle partition holds of the columns.
-  Overlap counts of the pairs met there are accumulated; a pair goes when its
-  sizes differ too much, when the shingle's positions in the two sets leave too
-  little to share, or when its count over all blocks plus the rest of the sets
-  stays below the overlap that the sizes ask for.
+  A pair is not even formed when its sizes differ too much, or when the
+  shingle's places in the two sets leave too few behind it; it goes when the
+  overlap of all its columns plus the rest of the sets stays below the overlap
+  that the sizes ask for.
 * In a first, linear round each class meets only the ``HEADS`` heads of each of
   its columns.  Columns whose classes the links of that round have joined are
   done, so large groups of near copies don't produce all their pairs; in the
@@ -208,18 +208,18 @@ class JaccardGroups:
         x = rows.where("NOT main").alias("x")
         y = rows.alias("y")
         xn, yn, xa, ya = F.col("x.n"), F.col("y.n"), F.col("x.at"), F.col("y.at")
-        room = F.least(xa, ya) + F.least(xn - xa, yn - ya)          # what the two can share, this shingle included
+        need = _needed(xn, yn, p)
+        # the first shingle that two linking sets share has at least need - 1 others behind it in both
         met = x.join(y, (F.col("x.t") == F.col("y.t")) & (F.col("x.comp") != F.col("y.comp"))
                      & (F.col("y.main") | (F.col("x.cid") < F.col("y.cid")))
-                     & _sizes_fit(xn, yn, p) & (room >= _needed(xn, yn, p)))
-        met = met.groupBy(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), xn.alias("na"), yn.alias("nb")) \
-            .agg(F.count(F.lit(1)).alias("c"))
-        # a class of the first component may meet another from either side of two columns: count both ways together
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                         F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                         F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"), "c") \
-            .groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-        return met.where(_enough(F.col("c"), F.col("na"), F.col("nb"), p)).select("a", "b")
+                     & _sizes_fit(xn, yn, p) & (xa <= xn - need) & (ya <= yn - need))
+        met = met.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+        # then the overlap of the two whole prefixes
+        pre = self.classes.select("cid", "n", "prefix")
+        one = pre.select(F.col("cid").alias("_a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
+        two = pre.select(F.col("cid").alias("_b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
+        met = self.stored.put(met).join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+        return met.where(_enough(F.size(F.array_intersect("pa", "pb")), F.col("na"), F.col("nb"), p)).select("a", "b")
 
     # ---- exact check
     def _links(self, pairs: DataFrame) -> DataFrame:
