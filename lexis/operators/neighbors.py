@@ -9,8 +9,10 @@ point within U when ``d(q, pivot) - radius <= U``; only those clusters are
 joined to q.  The result is exact; the pairs evaluated are the candidates.
 
 Candidate pairs are evaluated block by block — one block = one cluster (split
-into buckets of at most ``bucket_rows`` points when large) with the queries
-that may reach it — by numpy inside a cogrouped ``applyInPandas``.
+into buckets of about ``bucket_rows`` points) with the queries that may reach
+it (split into parts of about ``query_rows``) — by numpy inside a cogrouped
+``applyInPandas``, so neither side of a block grows with the table.  Pruning depends on the
+data: in many dimensions without clusters most blocks survive.
 """
 
 from __future__ import annotations
@@ -63,7 +65,8 @@ def _block_topk(k: int, max_cells: int = 4_000_000):
 
 
 def knn(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2, n_pivots: int = 32,
-        seed: int = 7, max_pivots: int = 4096, bucket_rows: int = 20_000) -> DataFrame:
+        seed: int = 7, max_pivots: int = 4096, bucket_rows: int = 20_000,
+        query_rows: int = 20_000) -> DataFrame:
     """(query_id, rank 0..k-1, neighbor_id, dist) for every test row."""
     if n_pivots > max_pivots:
         raise ValueError("the pivot list travels with every row; keep it bounded")
@@ -80,26 +83,23 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2
     tr = train.select(F.col(id_col).alias("nid"), F.col(vec_col).alias("nvec"))
     near = tr.select("nid", "nvec", pivots.alias("_piv")).select("nid", "nvec", F.array_min(dists("nvec")).alias("m"))
     assigned = near.select("nid", "nvec", F.col("m.pivot_id").alias("pivot_id"), F.col("m.d").alias("d_np"))
-    # per cluster: radius and the number of salt buckets (<= n_pivots rows)
-    stats = assigned.groupBy("pivot_id").agg(F.max("d_np").alias("radius"), F.count(F.lit(1)).alias("n"))
-    rad = stats.agg(F.map_from_entries(F.collect_list(F.struct("pivot_id", "radius")))).scalar()
-    nb = stats.agg(F.map_from_entries(F.collect_list(F.struct(
-        "pivot_id", F.ceil(F.col("n") / bucket_rows).cast("int"))))).scalar()
+    # per cluster: radius and number of buckets, one scalar subquery value (<= n_pivots entries)
+    stats = assigned.groupBy("pivot_id").agg(F.max("d_np").alias("radius"), F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int").alias("nb"))
+    clusters = stats.agg(F.map_from_entries(F.collect_list(F.struct("pivot_id", F.struct("radius", "nb"))))).scalar()
+    parts = test.agg(F.greatest(F.ceil(F.count(F.lit(1)) / query_rows), F.lit(1)).cast("int")).scalar()
     q = test.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("qvec"))
-    q = q.select("qid", "qvec", pivots.alias("_piv"), rad.alias("_rad"), nb.alias("_nb")) \
-        .select("qid", "qvec", "_rad", "_nb", dists("qvec").alias("dq"))
+    q = q.select("qid", "qvec", pivots.alias("_piv"), clusters.alias("_cl"), parts.alias("_np")) \
+        .select("qid", "qvec", "_cl", F.pmod(F.xxhash64("qid"), F.col("_np")).cast("int").alias("part"), dists("qvec").alias("dq"))
     q = q.withColumn("U", F.element_at(F.array_sort(F.transform("dq", lambda x: x["d"])), k))
-    cand = q.select("qid", "qvec", "_nb", F.explode(F.filter(
-        "dq", lambda x: x["d"] - F.element_at(F.col("_rad"), x["pivot_id"]) <= F.col("U") + F.lit(1e-9))).alias("c")) \
-        .select("qid", "qvec", F.col("c.pivot_id").alias("pivot_id"), "_nb")
-    # a big cluster is split into buckets of <= bucket_rows points; its
-    # candidate queries visit every bucket
-    cand = cand.select("qid", "qvec", "pivot_id", F.explode(F.sequence(
-        F.lit(0), F.element_at(F.col("_nb"), F.col("pivot_id")) - 1)).alias("bucket"))
-    pts = assigned.withColumn("_nb", nb.alias("_nb"))
-    pts = pts.select("nid", "nvec", "pivot_id", F.pmod(F.xxhash64("nid"), F.element_at(F.col("_nb"), F.col("pivot_id")))
-                     .cast("int").alias("bucket"))
-    blocks = cand.groupBy("pivot_id", "bucket").cogroup(pts.groupBy("pivot_id", "bucket")).applyInPandas(
+    near_enough = F.filter("dq", lambda x: x["d"] - F.element_at(F.col("_cl"), x["pivot_id"])["radius"] <= F.col("U") + F.lit(1e-9))
+    cand = q.select("qid", "qvec", "part", "_cl", F.explode(near_enough).alias("c")) \
+        .select("qid", "qvec", "part", F.col("c.pivot_id").alias("pivot_id"), F.element_at(F.col("_cl"), F.col("c.pivot_id"))["nb"].alias("nb"))
+    # a query visits every bucket of a cluster it may reach; a point meets every part of the queries
+    cand = cand.select("qid", "qvec", "part", "pivot_id", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bucket"))
+    pts = assigned.select("nid", "nvec", "pivot_id", clusters.alias("_cl"), parts.alias("_np"))
+    pts = pts.select("nid", "nvec", "pivot_id", F.pmod(F.xxhash64("nid"), F.element_at(F.col("_cl"), F.col("pivot_id"))["nb"]).cast("int").alias("bucket"),
+                     F.explode(F.sequence(F.lit(0), F.col("_np") - 1)).alias("part"))
+    blocks = cand.groupBy("pivot_id", "bucket", "part").cogroup(pts.groupBy("pivot_id", "bucket", "part")).applyInPandas(
         lambda q_, t_: _block_topk(k)(q_, t_), "qid long, nid long, dist double")
     # second level over <= candidate buckets * k rows per query
     w = Window.partitionBy("qid").orderBy("dist", "nid")

@@ -76,7 +76,9 @@ def vocab_topk(spark, d):
     return toks.groupBy("term").agg(F.count(F.lit(1)).alias("tf")).orderBy(F.desc("tf"), "term").limit(20)
 
 
-@query("tfidf_vectors")
+@query("tfidf_vectors", _TF_CTE + """
+SELECT d.doc_id, CAST(count(voc.term) AS INTEGER) AS n_terms, CAST(count(voc.term) > 0 AS DOUBLE) AS sq_norm
+FROM documents d LEFT JOIN tf ON tf.doc_id = d.doc_id LEFT JOIN voc ON voc.term = tf.term GROUP BY d.doc_id""")
 def tfidf_vectors(spark, d):
     """TF-IDF as Spark ML sparse vectors (CountVectorizerModel x idf x L2)."""
     from pyspark.ml.functions import vector_to_array
@@ -93,7 +95,7 @@ def tfidf_vectors(spark, d):
 def ngram_features(spark, d):
     """Hashed binary 2/3/4-gram presence features (Spark ML)."""
     from pyspark.ml.functions import vector_to_array
-    v = FT.ngram_presence(_docs(spark, d), "doc_id", "text", (2, 3, 4), 4096)
+    v = FT.ngram_presence(_docs(spark, d), "doc_id", "text", (2, 3, 4), 1 << 14)
     return v.select("doc_id", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("n_active"))
 
 

@@ -199,7 +199,8 @@ top AS (SELECT * FROM r WHERE rank < 2)
 
 def _knn(spark, d):
     v = V.vec(spark, d)
-    sp = SP.split_stratified(v, "vec_id", "label", 0.15, 1)
+    side = SP.split_stratified(v.select("vec_id", "label"), "vec_id", "label", 0.15, 1).select("vec_id", "split")
+    sp = v.join(side, "vec_id")                       # ids and labels are ranked, the vectors join the result
     test = sp.where("split = 'test'")
     train = sp.where("split = 'train'")
     return N.knn(train, test, "vec_id", "embedding", k=2), train

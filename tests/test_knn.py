@@ -11,7 +11,7 @@ def test_knn_exact_against_brute_force(spark):
     test = spark.createDataFrame(pts[250:], "id long, v array<double>")
     for piv, bucket in ((2, 20_000), (8, 7), (40, 1), (3, 50)):
         got = {(r["query_id"], r["rank"]): r["neighbor_id"]
-               for r in N.knn(train, test, "id", "v", 3, piv, bucket_rows=bucket).collect()}
+               for r in N.knn(train, test, "id", "v", 3, piv, bucket_rows=bucket, query_rows=17).collect()}
         for qi, qv in pts[250:]:
             ds = sorted((math.dist(qv, tv), ti) for ti, tv in pts[:250])[:3]
             for k, (_, ti) in enumerate(ds):
