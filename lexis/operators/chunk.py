@@ -22,6 +22,7 @@ from pyspark.sql import types as Ty
 
 from lexis.functions import text as T
 from lexis.operators.ranking import global_row_number
+from lexis.session import cut_lineage
 
 
 def _c(c) -> Column:
@@ -235,27 +236,68 @@ def _assign(budget: int):
     return fn
 
 
+_WHOLE = Ty.StructType(_ASSIGN.fields + [Ty.StructField("empty_first", Ty.BooleanType())])
+
+
+def _pack_whole(budget: int):
+    """Whole groups, many in one call: rows of (grp, seq, size) in seq order."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq")
+        grps, seqs, sizes = pdf["grp"].tolist(), pdf["seq"].tolist(), pdf["size"].tolist()
+        starts, trailing, empty = [], [], []
+        now, fill, open_, flushed, first_over, n = object(), 0, -1, False, False, 0
+
+        def close():
+            trailing.extend([open_ if flushed else -1] * n)
+            empty.extend([first_over] * n)
+        for g, q, s in zip(grps, seqs, sizes):
+            if g != now:
+                close()
+                now, fill, open_, flushed, first_over, n = g, 0, q, False, s > budget, 0
+            if fill + s <= budget:
+                fill += s
+            else:
+                open_, fill, flushed = q, s, True
+            starts.append(open_)
+            n += 1
+        close()
+        return pd.DataFrame({"grp": grps, "seq": seqs, "bin_start": starts, "trailing_start": trailing, "empty_first": empty})
+    return fn
+
+
 def pack_assign(items: DataFrame, group_col: str, order: list[str], size_col: str, budget: int = 1024,
-                segment_rows: int = 5_000_000) -> tuple[DataFrame, DataFrame]:
+                segment_rows: int = 5_000_000, call_rows: int = 20_000) -> tuple[DataFrame, DataFrame]:
     """Greedy order-preserving packing of every group's items into bins of at
     most ``budget`` (an over-long item is its own bin; the first bin of a group
     is empty when the first item alone overflows; the trailing open bin of a
     group is dropped when any bin was flushed before it).
 
     Returns (items + ``seq``, ``bin_start``, ``trailing_start``) and the per-group
-    empty-first-bin flags.  Exact for any group size: every step works on
-    segments of at most ``segment_rows`` rows; only the chaining step sees one
-    group at a time, and it reads segment summaries (a few rows per segment)."""
+    empty-first-bin flags.  Exact for any group size.  Items are numbered over
+    all groups; a group inside one segment of ``segment_rows`` numbers is packed
+    whole, many such groups in one call (groups that start within the same
+    ``call_rows`` numbers); only groups that reach over a segment's edge — at
+    most one for each edge — are summarised, chained and replayed in segments.
+    Two lineage cuts: the numbering, and the result (keys and numbers only).
+    Pass no texts in ``items``; join them to the result."""
     seqd = global_row_number(items.withColumn("grp", F.col(group_col).cast("string")),
                              ["grp", *order], "seq")
     seqd = seqd.withColumn("seg", F.floor(F.col("seq") / segment_rows).cast("bigint"))
     base = seqd.select("grp", "seg", "seq", F.col(size_col).cast("bigint").alias("size"))
-    summ = base.groupBy("grp", "seg").applyInPandas(_summaries(budget), _SUMMARY)
+    span = base.groupBy(F.col("grp").alias("_g")).agg(F.min("seg").alias("_a"), F.max("seg").alias("_b"), F.min("seq").alias("_first"))
+    marked = base.join(span, F.col("grp").eqNullSafe(F.col("_g"))).select(
+        "grp", "seg", "seq", "size", (F.col("_a") < F.col("_b")).alias("_over"), "_first")
+    whole = marked.where("NOT _over").withColumn("_call", F.floor(F.col("_first") / call_rows)) \
+        .select("_call", "grp", "seq", "size").groupBy("_call").applyInPandas(_pack_whole(budget), _WHOLE)
+    over = marked.where("_over").select("grp", "seg", "seq", "size")
+    summ = over.groupBy("grp", "seg").applyInPandas(_summaries(budget), _SUMMARY)
     entries = summ.groupBy("grp").applyInPandas(_chain(budget), _ENTRY)
-    assigned = base.join(entries.select("grp", "seg", "entry_fill", "open_start", "trailing_start"), ["grp", "seg"]) \
-        .groupBy("grp", "seg").applyInPandas(_assign(budget), _ASSIGN)
-    out = seqd.drop("seg").join(assigned, ["grp", "seq"])
-    return out, entries.select("grp", "empty_first").distinct()
+    replayed = over.join(entries.select("grp", "seg", "entry_fill", "open_start", "trailing_start"), ["grp", "seg"])
+    flags = entries.select("grp", "empty_first").distinct()
+    parts = replayed.groupBy("grp", "seg").applyInPandas(_assign(budget), _ASSIGN).join(flags, "grp")
+    done = cut_lineage(whole.unionByName(parts.select(*[f.name for f in _WHOLE.fields])))
+    out = seqd.drop("seg").join(done.select("seq", "bin_start", "trailing_start"), "seq")
+    return out, done.groupBy("grp").agg(F.max("empty_first").alias("empty_first"))
 
 
 def pack_by_group(items: DataFrame, group_col: str, order: list[str], size_col: str, budget: int = 1024,

@@ -82,7 +82,9 @@ def _pack_person(spark, d):
     (a bin holds at most 298 non-empty pieces)."""
     from lexis.operators.ranking import group_row_number
     s = _person_sentences(spark, d).withColumn("w", T.space_parts("ss") - 1)
-    assigned, empties = K.pack_assign(s, "person_id", ["post_no"], "w", 298)
+    sizes = s.select("person_id", "type", "post_no", "w")                 # the texts join the result
+    assigned, empties = K.pack_assign(sizes.drop("type"), "person_id", ["post_no"], "w", 298)
+    assigned = assigned.join(s.drop("w"), ["person_id", "post_no"])
     bins = assigned.groupBy("person_id", "type", "bin_start").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("ss") != "", F.struct("post_no", "ss")))),
                                  lambda x: x["ss"]), "").alias("chunk"))
