@@ -54,11 +54,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 class Stored:
     """Tables written once to the shared folder and read back: lineage ends
-    there, and a lost executor costs at most the tasks it was running."""
+    there, and a lost executor costs at most the tasks it was running.
+    ``lexis.session.clean_scratch`` deletes them when the results are consumed."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.base = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        app = spark.sparkContext.applicationId
+        self.base = f"{shared_folder(spark).rstrip('/')}/lexis-scratch/{app}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
 
     def put(self, df: DataFrame) -> DataFrame:
