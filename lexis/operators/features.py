@@ -60,13 +60,14 @@ def df_limited_vocabulary(tf_long: DataFrame, n_docs: Column | int, min_df: floa
 def tfidf_long(tf_long: DataFrame, vocab: DataFrame, n_docs: Column | int, id_col: str = "doc_id") -> DataFrame:
     """Smoothed TF-IDF with rows L2-normalised:
     idf = ln((1 + n) / (1 + df)) + 1; value = tf * idf / ||tf * idf||_2.
-    ``vocab`` is bounded by ``max_features``, so it is broadcast."""
+    A vocabulary limited by ``max_features`` is broadcast by its known size; an
+    unlimited one is joined by shuffle."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     v = vocab.select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    x = tf_long.join(F.broadcast(v), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    # the tf rows of a document are already clustered by document (the tf
-    # aggregate is keyed on it), so the norm window adds no exchange and no
-    # second pass over the tokens; a window group is one document's terms
+    x = tf_long.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    # a window group is one document's terms; where the table was spread by
+    # document (tables.load on small inputs) the tf rows are clustered by it
+    # already, elsewhere the norm costs one more shuffle of (id, term, tf) rows
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return x.select(id_col, "term", "tf", (F.col("w") / norm).alias("tfidf"))
 

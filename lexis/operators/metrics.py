@@ -133,9 +133,10 @@ def scope_cells(df: DataFrame, pred_cols: list[str], target_cols: list[str]) ->
     return cells(df.select(F.inline(F.array(*parts))), "pred", "actual", ["scope"])
 
 
-def recombine_axes(long_df: DataFrame, id_col: str, value_col: str) -> DataFrame:
-    """Per row: pivot the four axis values and combine them into code B
-    (alphabetical index) = ((8*ie + 4*ns + 2*ft + jp) + 8) % 16."""
-    w = long_df.groupBy(id_col).pivot("axis", L.AXES).agg(F.first(value_col))
-    code_a = L.code_from_bits(*[F.col(a) for a in L.AXES])
-    return w.select(id_col, L.flip(code_a).alias("code"))
+def recombine_axes(long_df: DataFrame, id_col: str, values: dict[str, str]) -> DataFrame:
+    """Per row of a long (id, axis, ...) table: the bits of each value column
+    combined into code B (alphabetical index) = ((8*ie + 4*ns + 2*ft + jp) + 8) % 16,
+    in one aggregate.  ``values`` maps value columns to the names of their codes."""
+    weight = F.element_at(F.create_map(*[F.lit(x) for i, a in enumerate(L.AXES) for x in (a, 8 >> i)]), F.col("axis"))
+    g = long_df.groupBy(id_col).agg(*[F.sum(F.col(v) * weight).cast("int").alias(name) for v, name in values.items()])
+    return g.select(id_col, *[L.flip(name).alias(name) for name in values.values()])

@@ -99,9 +99,8 @@ def log_recombine(spark, d):
     16-class code and count (rows = actual, columns = predicted)."""
     p = parsed_prediction_logs(spark, d)
     long = p.select(F.col("pos").alias("row_id"), "axis", "pred", "target")
-    pc = M.recombine_axes(long, "row_id", "pred").withColumnRenamed("code", "pred_code")
-    tc = M.recombine_axes(long, "row_id", "target").withColumnRenamed("code", "actual_code")
-    return M.confusion_long(pc.join(tc, "row_id"), "pred_code", "actual_code", 16, rows="actual")
+    codes = M.recombine_axes(long, "row_id", {"pred": "pred_code", "target": "actual_code"})
+    return M.confusion_long(codes, "pred_code", "actual_code", 16, rows="actual")
 
 
 # --------------------------------------------------------------------------

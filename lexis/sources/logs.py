@@ -2,8 +2,8 @@
 line numbers, and parse prediction, epoch-metric and training logs.
 
 Line numbers are exact without a single-task scan: lines are ordered by
-(file, block start, position inside the block) and numbered with the
-distributed ``group_row_number`` (range partitions + per-partition offsets).
+(file, block start, position inside the block): a line's number is the offset
+of its file split (a prefix sum over one count per split) plus its position.
 """
 
 from __future__ import annotations
