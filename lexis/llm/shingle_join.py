@@ -88,24 +88,21 @@ def _classes(width: int, percent: int, levels: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, f1, f2, prefix = [], [], [], []
-            for w in word_slices(b.column(2), lower=True):
+            for w in word_slices(b.column(2), lower=True):          # a batch out for each slice: little is held at once
+                n, f1, f2, prefix = [], [], [], []
                 for d in range(w.n_docs):
                     s = shingle_set(w.hash[w.at[d]:w.at[d + 1]], width)
                     n.append(len(s))
                     with np.errstate(over="ignore"):
                         f1.append(mix64(s, 11).sum(dtype=np.uint64))
                         f2.append(mix64(s, 12).sum(dtype=np.uint64))
-                    if len(s):
-                        lev = levels[(s >> shift).astype(np.int64)]
-                        order = np.argsort(lev, kind="stable")        # s is sorted: ties by hash
-                        prefix.append(s[order[:prefix_length(len(s), percent)]].view(np.int64))
-                    else:
-                        prefix.append([])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int32()), pa.array(np.array(f1, np.uint64).view(np.int64)),
-                 pa.array(np.array(f2, np.uint64).view(np.int64)), pa.array(prefix, pa.list_(pa.int64()))],
-                ["doc_id", "key", "n", "f1", "f2", "prefix"])
+                    lev = levels[(s >> shift).astype(np.int64)]
+                    order = np.argsort(lev, kind="stable")            # s is sorted: ties by hash
+                    prefix.append(s[order[:prefix_length(len(s), percent) if len(s) else 0]].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(w.first, w.n_docs), b.column(1).slice(w.first, w.n_docs), pa.array(n, pa.int32()),
+                     pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)),
+                     pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "key", "n", "f1", "f2", "prefix"])
     return run
 
 
@@ -113,24 +110,9 @@ def _sets(width: int):
     """cid, text -> cid, set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
             for w in word_slices(b.column(1), lower=True):
-                out += [shingle_set(w.hash[w.at[d]:w.at[d + 1]], width).view(np.int64) for d in range(w.n_docs)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], ["cid", "set"])
-    return run
-
-
-def _linked(percent: int):
-    """a, b, sa, sb -> a, b of the pairs whose whole sets link."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            keep = []
-            for i in range(batch.num_rows):
-                x, y = np.asarray(left[i].values), np.asarray(right[i].values)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                out = [shingle_set(w.hash[w.at[d]:w.at[d + 1]], width).view(np.int64) for d in range(w.n_docs)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(w.first, w.n_docs), pa.array(out, pa.list_(pa.int64()))], ["cid", "set"])
     return run
 
 
@@ -231,7 +213,9 @@ class JaccardGroups:
         sets = self.stored.put(texts.mapInArrow(_sets(self.width), "cid long, set array<long>"))
         got = pairs.join(sets.select(F.col("cid").alias("_a"), F.col("set").alias("sa")), F.col("a") == F.col("_a")) \
             .join(sets.select(F.col("cid").alias("_b"), F.col("set").alias("sb")), F.col("b") == F.col("_b"))
-        return self.stored.put(got.select("a", "b", "sa", "sb").mapInArrow(_linked(self.percent), "a long, b long"))
+        both = F.size(F.array_intersect("sa", "sb"))
+        linked = both * 100 >= (F.size("sa") + F.size("sb") - both) * self.percent
+        return self.stored.put(got.where(linked).select("a", "b"))
 
     def labels(self) -> DataFrame:
         """``v, c`` for the classes that link with another one."""
