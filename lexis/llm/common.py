@@ -44,7 +44,7 @@ def let(value: Column, body) -> Column:
 
 def words(text: Column) -> Column:
     """The array of words (null text: empty array), JVM-side."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -37,12 +37,9 @@ def _word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _buckets_of(h: Column, buckets: int) -> Column:
-    """Buckets of the 1- and 2-grams of a text, from its word hashes."""
-    one = F.transform(h, lambda x: F.pmod(x, F.lit(buckets)))
-    two = F.transform(F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))),
-                      lambda x, i: F.pmod(F.xxhash64(F.get(h, i), x), F.lit(buckets)))
-    return F.concat(one, two)
+def _pairs(h: Column) -> Column:
+    """Hashes of neighbouring words, from the word hashes."""
+    return F.transform(F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda x, i: F.xxhash64(F.get(h, i), x))
 
 
 def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
@@ -59,8 +56,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoo
     raw probability in millionths (all 0 if there is no trusted text)."""
     mark = F.broadcast(trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_t")))   # at most max_trusted ids
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_x")).join(mark, "_id", "left")
-    grams = src.select("_t", F.explode(let(_word_hashes(F.col("_x")), lambda h: _buckets_of(h, buckets))).alias("b"))
-    counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("_t").alias("target"))
+    grams = src.select("_t", F.explode(let(_word_hashes(F.col("_x")), lambda h: F.concat(h, _pairs(h)))).alias("g"))
+    counts = grams.groupBy(F.pmod("g", F.lit(buckets)).alias("b")).agg(F.count(F.lit(1)).alias("raw"), F.count("_t").alias("target"))
     every = docs.sparkSession.range(buckets).select(F.col("id").alias("b")).join(counts, "b", "left").na.fill(0)
     one = every.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "target"))).alias("c"),
                     F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
@@ -73,11 +70,12 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoo
     return one.select(F.when(F.col("n_target") > 0, log).otherwise(F.array_repeat(F.lit(0).cast("long"), buckets)).alias("ratios"))
 
 
-def _repeat_words(h: Column) -> Column:
-    """Number of words inside windows of five words that occur twice or more."""
+def _repeat_words(h: Column, pairs: Column) -> Column:
+    """Number of words inside windows of five words that occur twice or more
+    (a window is hashed from two pairs and a word)."""
     windows = F.when(F.size(h) >= WINDOW, F.transform(
-        F.sequence(F.lit(0), F.size(h) - WINDOW),
-        lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<long>"))
+        F.slice(h, WINDOW, F.greatest(F.size(h) - WINDOW + 1, F.lit(0))),
+        lambda x, i: F.xxhash64(F.get(pairs, i), F.get(pairs, i + 2), x))).otherwise(F.array().cast("array<long>"))
 
     def covered(w: Column) -> Column:
         in_order = F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -101,23 +99,26 @@ def _row(text: Column, ratios: Column, buckets: int, shrink: int, threshold: flo
     dup = let(F.filter(F.split(x, "\n"), lambda ln: ln.rlike(r"[^\x20\x09-\x0D]")),
               lambda ls: F.size(ls) - F.size(F.array_distinct(ls)))
     base = F.struct(
-        F.length(F.regexp_replace(x, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
-        (F.length(x) - F.length(F.translate(x, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        (F.length(x) - F.length(F.regexp_replace(x, r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         dup.cast("long").alias("n_dup_lines"),
-        _word_hashes(x).alias("h"), ratios.alias("r"))
+        words(x).alias("w"), ratios.alias("r"))
 
     def with_base(b: Column) -> Column:
-        h, r = b["h"], b["r"]
-        total = let(_buckets_of(h, buckets), lambda g: F.struct(
-            F.size(g).alias("n"),
-            F.aggregate(g, F.lit(0).cast("long"), lambda acc, k: acc + F.get(r, k.cast("int"))).alias("s")))
-        return let(F.struct(F.size(h).cast("long").alias("n_words"), _repeat_words(h).alias("rep"), total.alias("t")),
-                   lambda c: verdict(b, c))
+        return let(F.transform(b["w"], lambda w: F.xxhash64(w)), lambda h: let(_pairs(h), lambda p: with_hashes(b, h, p)))
+
+    def with_hashes(b: Column, h: Column, p: Column) -> Column:
+        r, zero = b["r"], F.lit(0).cast("long")
+
+        def total(grams: Column) -> Column:
+            return F.aggregate(grams, zero, lambda acc, g: acc + F.get(r, F.pmod(g, F.lit(buckets)).cast("int")))
+        return let(F.struct(F.size(h).cast("long").alias("n_words"), _repeat_words(h, p).alias("rep"),
+                            (F.size(h) + F.size(p)).alias("n"), (total(h) + total(p)).alias("s")), lambda c: verdict(b, c))
 
     def verdict(b: Column, c: Column) -> Column:
         failed = (c["n_words"] < 10) | (c["rep"] * 100 > c["n_words"] * 20)
-        llr = c["t"]["s"] / F.lit(float(UNIT)) / (c["t"]["n"] + shrink)
-        return F.struct(c["n_words"].alias("n_words"), b["word_chars"].alias("word_chars"), b["n_symbols"].alias("n_symbols"),
+        llr = c["s"] / F.lit(float(UNIT)) / (c["n"] + shrink)
+        chars = F.length(F.array_join(b["w"], "")).cast("long")
+        return F.struct(c["n_words"].alias("n_words"), chars.alias("word_chars"), b["n_symbols"].alias("n_symbols"),
                         b["n_dup_lines"].alias("n_dup_lines"), c["rep"].alias("n_repeat_words"),
                         failed.alias("base_failed"), (~failed & (llr >= threshold)).alias("kept"), llr.alias("llr"))
 
