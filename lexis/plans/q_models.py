@@ -54,6 +54,16 @@ def _fit(est, train, test, features_col: str = "features"):
         train.unpersist()
 
 
+def _fit_each_class(est, train, test, features_col: str = "features"):
+    """One binary model for each class seen in training: their codes are numbered
+    without gaps for the fit and put back into the predictions."""
+    codes = [int(r["label"]) for r in train.select("label").distinct().orderBy("label").collect()]      # at most 16
+    known = F.array(*[F.lit(c) for c in codes])
+    numbered = train.withColumn("label", (F.array_position(known, F.col("label").cast("int")) - 1).cast("double"))
+    pred = _fit(est, numbered, test, features_col)
+    return pred.withColumn("prediction", F.element_at(known, F.col("prediction").cast("int") + 1).cast("double"))
+
+
 def _out(pred):
     return pred.select("doc_id", F.col("label").cast("int").alias("label"),
                        F.col("prediction").cast("int").alias("prediction"))
@@ -86,14 +96,14 @@ def model_rf(spark, d):
 def model_gbt(spark, d):
     """Boosted trees one-vs-rest (query: 10 rounds a class, see the README; library default 200)."""
     tr, te = _data(spark, d, MD.TREE_FEATURES)
-    return _out(_fit(MD.boosted_trees(10), tr, te))
+    return _out(_fit_each_class(MD.boosted_trees(10), tr, te))
 
 
 @query("model_linear_svc")
 def model_linear_svc(spark, d):
     """Hinge-loss linear model, 10 iterations, one-vs-rest."""
     tr, te = _data(spark, d)
-    return _out(_fit(MD.linear_svc(10), tr, te))
+    return _out(_fit_each_class(MD.linear_svc(10), tr, te))
 
 
 @query("model_logreg")
@@ -109,20 +119,24 @@ def model_rff_svm(spark, d):
     """RBF-kernel SVM approximated by random Fourier features + linear SVC."""
     x = _cleaned(spark, d).withColumn("tok", T.remove_stop_words(T.word_tokens("text")))
     sp = _split(MD.random_fourier_features(x, "tok", 1 << 15, 128, gamma=0.01))
-    return _out(_fit(MD.linear_svc(10), sp.where("split = 'train'"), sp.where("split = 'test'"), "rff"))
+    return _out(_fit_each_class(MD.linear_svc(10), sp.where("split = 'train'"), sp.where("split = 'test'"), "rff"))
+
+
+AXIS_FEATURES = 1 << 16
 
 
 def _axis_predictions(spark, d):
-    """Four binary heads on TF-IDF of the bag-of-words clean: one chained projection of the test rows."""
+    """Four binary heads on TF-IDF of the bag-of-words clean (at most AXIS_FEATURES hash
+    buckets): one chained projection of the test rows."""
     x = _cleaned(spark, d, C.clean_bow_col)
-    tf = MD.count_features(x, "text", out_col="tf")
+    tf = MD.count_features(x, "text", AXIS_FEATURES, out_col="tf")
     sp = _split(tf)
     tr, te = sp.where("split = 'train'").persist(), sp.where("split = 'test'")
     try:
         stages = [IDF(inputCol="tf", outputCol="w"), Normalizer(p=2.0, inputCol="w", outputCol="features")]
         for a in (x.lower() for x in L.AXES):
             stages.append(MD.LogisticRegression(labelCol=f"b_{a}", featuresCol="features", predictionCol=f"pred_{a}",
-                                                probabilityCol=f"prob_{a}", rawPredictionCol=f"raw_{a}", maxIter=100))
+                                                probabilityCol=f"prob_{a}", rawPredictionCol=f"raw_{a}", maxIter=50))
         bits = {f"b_{a.lower()}": F.col(f"b_{a.lower()}").cast("double") for a in L.AXES}
         model = Pipeline(stages=stages).fit(tr.withColumns(bits))
     finally:
