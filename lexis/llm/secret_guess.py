@@ -29,13 +29,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: JVM-side test: a text in which it finds nothing has no span of any kind.
 MAY_HOLD = (r"(?i:password|passwd|secret|token|api_?key|passphrase|passcode|pwd|bearer|credential|auth)"
-            r"|AKIA[A-Z0-9]{12}|[0-9a-f]{32}|://[^\s/@]{1,256}:[^\s/@]{1,256}@")
+            r"|AKIA[A-Z0-9]{12}|[0-9a-f]{32}|://[^\s/:@]++:[^\s/@]++@")
 
-#: Wider contexts; group 1 is the value.
+#: Wider contexts; group 1 is the value, whole at any length (possessive, so matching stays linear).
 CONTEXT = [
-    re.compile(r"""(?ai:passphrase|passcode|passwd|password|pwd|credentials?|secret|token|api_?key|auth)["']?\x20*(?::=|=>|[:=]|\bis\b)\x20*["']?([!-&(-~]{4,256})"""),
-    re.compile(r"(?ai:bearer)\x20+([A-Za-z0-9+/_.=~-]{8,512})"),
-    re.compile(r"://[^\s/:@]{1,256}:([^\s/@]{4,256})@"),
+    re.compile(r"""(?ai:passphrase|passcode|passwd|password|pwd|credentials?|secret|token|api_?key|auth)["']?\x20*(?::=|=>|[:=]|\bis\b)\x20*["']?([!-&(-~]{4,}+)"""),
+    re.compile(r"(?ai:bearer)\x20+([A-Za-z0-9+/_.=~-]{8,}+)"),
+    re.compile(r"://[^\s/:@]++:([^\s/@]{4,}+)@"),
 ]
 
 # Words that guessers try first, best known first.
@@ -72,8 +72,9 @@ def _pool(c: str) -> int:
     return 33
 
 
-def guess_log10(value: str, ranked: dict[str, int] | None = None) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` takes (0 for the empty value)."""
+def guess_log10(value: str, ranked: dict[str, int] | None = None, enough: float = math.inf) -> float:
+    """log10 of the guesses that the cheapest segmentation of ``value`` takes (0 for the empty value);
+    where that is ``enough`` or more, a lower bound that is also ``enough`` or more."""
     ranked = _RANKED if ranked is None else ranked
     n, low = len(value), value.lower()
     plain = low.translate(LEET)
@@ -96,6 +97,8 @@ def guess_log10(value: str, ranked: dict[str, int] | None = None) -> float:
                 if m:
                     dates[m.end()].append(a)
     open_span = math.inf
+    period = [0] * 9                                   # how many of the last characters equal the one ``size`` before
+    look = 64
     for j in range(1, n + 1):
         open_span = min(open_span, best[j - 1] + PART_COST) + brute[j - 1]
         cost = open_span
@@ -116,13 +119,19 @@ def guess_log10(value: str, ranked: dict[str, int] | None = None) -> float:
             if length >= 3:
                 cost = min(cost, best[j - length] + PART_COST + math.log10(base * length))
         for size in range(2, 9):                       # a block that is repeated: its own cost, times the repetitions
-            if j >= 2 * size and value[j - size:j] == value[j - 2 * size:j - size]:
-                times = 2
-                while j >= (times + 1) * size and value[j - (times + 1) * size:j - times * size] == value[j - size:j]:
-                    times += 1
+            period[size] = period[size] + 1 if j > size and value[j - 1] == value[j - 1 - size] else 0
+            if period[size] >= size:
+                times = period[size] // size + 1
                 block = sum(brute[j - size:j])
                 cost = min(cost, best[j - times * size] + PART_COST + block + math.log10(times))
         best[j] = cost
+        if j == look:
+            look *= 2
+            # every segmentation has a part over place j, or one that ends there: it starts at most so far before
+            back = max(MAX_PART, same[j - 1], step[j - 1], *(period[size] + size for size in range(2, 9)))
+            least = min(open_span, *best[max(0, j - back):j + 1])
+            if least >= enough:
+                return least
     return best[n]
 
 
@@ -147,7 +156,7 @@ def spans(text: str, min_log10_guesses: float = 10.0, ranked: dict[str, int] | N
         for m in pattern.finditer(text):
             value = m[1].rstrip("\"',.;)")
             at = (m.start(1), m.start(1) + len(value))
-            if at not in seen and guess_log10(value, ranked) >= min_log10_guesses:
+            if at not in seen and guess_log10(value, ranked, min_log10_guesses) >= min_log10_guesses:
                 seen.add(at)
                 out.append(("guess", *at))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
