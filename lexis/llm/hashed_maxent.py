@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from lexis.llm.common import Stored, Words, mix64, word_slices
 
 HEAD = 1 << 18
-CLUSTERED = 1 << 15
+CLUSTERED = 1 << 16
 ANCHORS = 32
 CLASSES = 32
 FEATURES = 3
