@@ -122,23 +122,23 @@ def model_rff_svm(spark, d):
     return _out(_fit_each_class(MD.linear_svc(10), sp.where("split = 'train'"), sp.where("split = 'test'"), "rff"))
 
 
-AXIS_FEATURES = 1 << 16
+def _axis_stages():
+    stages = [IDF(inputCol="tf", outputCol="w"), Normalizer(p=2.0, inputCol="w", outputCol="features")]
+    for a in (x.lower() for x in L.AXES):
+        stages.append(MD.LogisticRegression(labelCol=f"b_{a}", featuresCol="features", predictionCol=f"pred_{a}",
+                                            probabilityCol=f"prob_{a}", rawPredictionCol=f"raw_{a}", maxIter=100))
+    return stages
 
 
 def _axis_predictions(spark, d):
-    """Four binary heads on TF-IDF of the bag-of-words clean (at most AXIS_FEATURES hash
-    buckets): one chained projection of the test rows."""
+    """Four binary heads on TF-IDF of the bag-of-words clean: one chained projection of the test rows."""
     x = _cleaned(spark, d, C.clean_bow_col)
-    tf = MD.count_features(x, "text", AXIS_FEATURES, out_col="tf")
+    tf = MD.count_features(x, "text", out_col="tf")
     sp = _split(tf)
     tr, te = sp.where("split = 'train'").persist(), sp.where("split = 'test'")
     try:
-        stages = [IDF(inputCol="tf", outputCol="w"), Normalizer(p=2.0, inputCol="w", outputCol="features")]
-        for a in (x.lower() for x in L.AXES):
-            stages.append(MD.LogisticRegression(labelCol=f"b_{a}", featuresCol="features", predictionCol=f"pred_{a}",
-                                                probabilityCol=f"prob_{a}", rawPredictionCol=f"raw_{a}", maxIter=50))
         bits = {f"b_{a.lower()}": F.col(f"b_{a.lower()}").cast("double") for a in L.AXES}
-        model = Pipeline(stages=stages).fit(tr.withColumns(bits))
+        model = Pipeline(stages=_axis_stages()).fit(tr.withColumns(bits))
     finally:
         tr.unpersist()
     names = [x.lower() for x in L.AXES]
