@@ -69,13 +69,33 @@ def op10_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(common.table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.fill_middle import fill_digests
+    return fill_digests(common.table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.filter_audit import filter_audit
+    return filter_audit(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexis.llm.chat_format import chat_digests, with_control_case
+    return chat_digests(with_control_case(common.table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_token_counts, op2_quality_llr, op3_source_mix, op4_secret_guess, op5_line_windows,
                                     op6_cover_topk, op7_shingle_join, op8_piece_codec,
-                                    op9_hashed_maxent, op10_window_doubling)}
+                                    op9_hashed_maxent, op10_window_doubling,
+                                    op11_fill_middle, op12_filter_audit, op13_chat_format)}
 
 
 def oracles() -> dict[str, str]:
     from lexis.llm.line_windows import ORACLE as lines
     from lexis.llm.cover_topk import ORACLE as top
-    return {"op5_line_windows": lines, "op6_cover_topk": top}
+    from lexis.llm.chat_format import ORACLE as chats
+    from lexis.llm.fill_middle import ORACLE as fills
+    from lexis.llm.filter_audit import ORACLE as audits
+    return {"op5_line_windows": lines, "op6_cover_topk": top, "op11_fill_middle": fills, "op12_filter_audit": audits,
+            "op13_chat_format": chats}
