@@ -69,6 +69,11 @@ class Stored:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, df: DataFrame) -> None:
+        """Delete a stored table that nothing will read any more."""
+        for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 

@@ -147,28 +147,28 @@ class JaccardGroups:
         levels = frequency_levels(docs, width, bits, text_col)
         one = self.stored.put(self.src.mapInArrow(
             _classes(width, percent, levels), f"doc_id {id_type}, key long, n int, f1 long, f2 long, prefix array<long>"))
-        self.one = one.drop("prefix")
         first = one.where("n > 0").groupBy("f1", "f2").agg(
             F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min(F.struct("doc_id", "key")).alias("lead"),
             F.min("doc_id").alias("least"))
         self.classes = self.stored.put(first.withColumn("cid", F.monotonically_increasing_id()))   # unique once written
+        self.one = self.stored.put(one.drop("prefix"))
+        self.stored.drop(one)
 
     # ---- candidates
     def _columns(self) -> tuple[DataFrame, DataFrame]:
         """The entries of columns with two classes or more (t, cid, n, at), and up to
-        HEADS heads of each (t, first, first_n, rank): of every part of its classes the
-        one with the fewest rarer shingles, in a group of near copies one near to all."""
+        HEADS heads of each (t, first, first_n, is_main): of every part of its classes
+        the one with the fewest rarer shingles, in a group of near copies one near to
+        all.  Nearly all columns have one class; they go before anything is stored."""
         rows = self.classes.select("cid", "n", F.posexplode("prefix").alias("at", "t"))
+        several = rows.groupBy("t").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a < b").select(F.col("t").alias("_t"))
+        cols = self.stored.put(rows.join(self.stored.put(several), F.col("t") == F.col("_t")).select("t", "cid", "n", "at"))
         part = F.pmod(F.xxhash64("cid"), F.lit(HEADS))
-        some = rows.groupBy("t", part.alias("part")).agg(F.min(F.struct("at", "cid", "n")).alias("lo"),
-                                                           F.min("cid").alias("a"), F.max("cid").alias("b"))
-        some = self.stored.put(some)
-        several = some.groupBy("t").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("lo").alias("lo")) \
-            .where("a < b").select(F.col("t").alias("_t"), F.col("lo.cid").alias("main"))
-        several = self.stored.put(several)
-        heads = some.join(several, F.col("t") == F.col("_t")).select(
+        some = self.stored.put(cols.groupBy("t", part.alias("part")).agg(F.min(F.struct("at", "cid", "n")).alias("lo")))
+        main = some.groupBy("t").agg(F.min("lo").alias("lo")).select(F.col("t").alias("_t"), F.col("lo.cid").alias("main"))
+        heads = some.join(main, F.col("t") == F.col("_t")).select(
             "t", F.col("lo.cid").alias("first"), F.col("lo.n").alias("first_n"), (F.col("lo.cid") == F.col("main")).alias("is_main"))
-        return self.stored.put(rows.join(several, F.col("t") == F.col("_t")).drop("_t", "main")), self.stored.put(heads)
+        return cols, self.stored.put(heads)
 
     def _first_pairs(self, cols: DataFrame, heads: DataFrame) -> DataFrame:
         p = self.percent
