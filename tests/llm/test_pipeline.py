@@ -17,7 +17,7 @@ sentencepiece = pytest.importorskip("sentencepiece")
 import corpus_pipeline  # noqa: E402
 from lexis.llm import common, quality_llr, source_mix as sm  # noqa: E402
 from lexis.llm.queries import tokenizer  # noqa: E402
-import test_jaccard  # noqa: E402
+from test_near_stage import groups  # noqa: E402
 import test_quality_and_mix as tq  # noqa: E402
 from test_dedup import WORD  # noqa: E402
 
@@ -113,9 +113,9 @@ def test_pipeline_equals_brute_force(spark, monkeypatch):
     assert step("quality_rules") == sorted(tuple(r[c] for c in key) for r in rows)
     rows = cut_lines(rows)
     assert step("line_dedup") == sorted(tuple(r[c] for c in key) for r in rows)
-    comp, _, sets = test_jaccard.brute([(r["doc_id"], r["text"]) for r in rows])
-    keep = {d for d, n, c in comp if n == 0 or d == c}
-    rows = [r for r in rows if r["doc_id"] in keep]
+    rows = sorted(rows, key=lambda r: r["doc_id"])
+    sets, root = groups([r["text"] for r in rows])
+    rows = [r for i, r in enumerate(rows) if not sets[i] or root[i] == i]
     assert step("near_duplicates") == sorted(tuple(r[c] for c in key) for r in rows)
     new = mix(rows, monkeypatch)
     rows = [r | {"text": new[r["doc_id"]], "n_chars": len(new[r["doc_id"]])} for r in rows if r["doc_id"] in new]
