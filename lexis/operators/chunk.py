@@ -3,26 +3,18 @@
 * row generators (posts, sentences) are ``posexplode`` of built-in splits;
 * per-document packing (one text -> chunks) is a higher-order ``aggregate``
   inside the row: no shuffle at all;
-* per-class packing (all posts of a class, in order, into token budgets) is
-  an order-dependent scan over arbitrarily large groups.  It runs exactly and
-  in parallel: rows are numbered globally, cut into fixed-size segments, each
-  segment summarises how it maps an entry fill to an exit fill (a handful of
-  candidates, because only the first flush depends on the entry), the small
-  summaries are chained per class, and every segment is then replayed with its
-  true entry state.  No group ever lands in a single task.
+* per-class packing (all posts of a class, in order, into token budgets) is an
+  order-dependent scan over arbitrarily large groups, run exactly and in parallel
+  by ``scan.segmented_scan`` with the fill of the open bin as its state.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as Ty
 
 from lexis.functions import text as T
-from lexis.operators.ranking import global_row_number
-from lexis.session import cut_lineage
+from lexis.operators.scan import Packing, segmented_scan
 
 
 def _c(c) -> Column:
@@ -102,220 +94,35 @@ def attention_mask(ids) -> Column:
 # ---------------------------------------------------------------------------
 # exact parallel per-group packing
 # ---------------------------------------------------------------------------
-_SUMMARY = Ty.StructType([
-    Ty.StructField("grp", Ty.StringType()), Ty.StructField("seg", Ty.LongType()),
-    Ty.StructField("first_seq", Ty.LongType()), Ty.StructField("lo", Ty.LongType()),
-    Ty.StructField("hi", Ty.LongType()), Ty.StructField("flush_seq", Ty.LongType()),
-    Ty.StructField("exit_fill", Ty.LongType()), Ty.StructField("last_flush_seq", Ty.LongType()),
-    Ty.StructField("total", Ty.LongType())])
-
-_ENTRY = Ty.StructType([
-    Ty.StructField("grp", Ty.StringType()), Ty.StructField("seg", Ty.LongType()),
-    Ty.StructField("entry_fill", Ty.LongType()), Ty.StructField("open_start", Ty.LongType()),
-    Ty.StructField("trailing_start", Ty.LongType()), Ty.StructField("empty_first", Ty.BooleanType())])
-
-_ASSIGN = Ty.StructType([
-    Ty.StructField("grp", Ty.StringType()), Ty.StructField("seq", Ty.LongType()),
-    Ty.StructField("bin_start", Ty.LongType()), Ty.StructField("trailing_start", Ty.LongType())])
-
-
-def _next_flush(P: np.ndarray, Pm1: np.ndarray, t: int, budget: int) -> int:
-    """Index of the item that closes the bin started by item t (len(P) if none):
-    items j > t fit while P[j] <= P[t-1] + budget."""
-    return max(t + 1, int(np.searchsorted(P, Pm1[t] + budget, side="right")))
-
-
-def _summaries(budget: int):
-    over = budget + 1
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        seqs = pdf["seq"].to_numpy()
-        sizes = pdf["size"].to_numpy().astype(np.int64)
-        m = len(sizes)
-        P = np.cumsum(sizes)
-        Pm1 = np.concatenate(([0], P[:-1]))
-        memo: dict[int, tuple[int, int]] = {}
-
-        def after_flush(j: int) -> tuple[int, int]:
-            """Exit fill and last flush index when item j starts a bin; jumps
-            from bin to bin and stops where an earlier trajectory was seen."""
-            path = []
-            t = j
-            while True:
-                if t in memo:
-                    res = memo[t]
-                    break
-                path.append(t)
-                nxt = _next_flush(P, Pm1, t, budget)
-                if nxt >= m:
-                    res = (min(int(P[m - 1] - Pm1[t]), over), t)
-                    break
-                t = nxt
-            for x in path:
-                memo[x] = res
-            return res
-
-        rows = []
-        g, sg = pdf["grp"].iat[0], int(pdf["seg"].iat[0])
-        total = int(P[-1])
-        if total <= budget:
-            rows.append((g, sg, int(seqs[0]), 0, budget - total, -1, -1, -1, total))
-        # candidate first flushes: item j closes the entry bin when
-        # budget - P[j] < f <= budget - P[j-1]  (f = entry fill, f = budget+1 means over-full)
-        cands = []
-        prev = 0
-        for j in range(m):
-            hi = over if j == 0 else budget - prev
-            if hi < 0:
-                break
-            lo = max(0, budget - int(P[j]) + 1)
-            if lo <= hi:
-                cands.append((j, lo, hi))
-            prev = int(P[j])
-        for j, lo, hi in reversed(cands):
-            ex, last = after_flush(j)
-            rows.append((g, sg, int(seqs[0]), lo, hi, int(seqs[j]), ex, int(seqs[last]), total))
-        return pd.DataFrame(rows, columns=[f.name for f in _SUMMARY.fields])
-    return fn
-
-
-def _chain(budget: int):
-    over = budget + 1
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["seg", "lo"])
-        g = pdf["grp"].iat[0]
-        f = 0
-        open_start = None
-        any_flush = False
-        empty_first = False
-        out = []
-        first_seg = True
-        for sg, part in pdf.groupby("seg", sort=True):
-            first_seq = int(part["first_seq"].iat[0])
-            if open_start is None:
-                open_start = first_seq
-            hit = part[(part["lo"] <= f) & (part["hi"] >= f)]
-            r = hit.iloc[0]
-            out.append((g, int(sg), f, open_start))
-            if int(r["flush_seq"]) < 0:
-                f = min(f + int(r["total"]), over)
-            else:
-                if first_seg and f == 0 and int(r["flush_seq"]) == first_seq:
-                    empty_first = True
-                any_flush = True
-                f = int(r["exit_fill"])
-                open_start = int(r["last_flush_seq"])
-            first_seg = False
-        trailing = open_start if any_flush else -1
-        return pd.DataFrame([(a, b, c, d, trailing, empty_first) for a, b, c, d in out],
-                            columns=[x.name for x in _ENTRY.fields])
-    return fn
-
-
-def _assign(budget: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        sizes = pdf["size"].to_numpy().astype(np.int64)
-        seqs = pdf["seq"].to_numpy()
-        m = len(sizes)
-        P = np.cumsum(sizes)
-        Pm1 = np.concatenate(([0], P[:-1]))
-        f = int(pdf["entry_fill"].iat[0])
-        out = np.empty(m, dtype=np.int64)
-        # items that still fit the bin open at entry
-        t = int(np.searchsorted(P, budget - f, side="right")) if f <= budget else 0
-        out[:t] = int(pdf["open_start"].iat[0])
-        while t < m:                      # one step per bin, not per item
-            nxt = _next_flush(P, Pm1, t, budget)
-            out[t:nxt] = seqs[t]
-            t = nxt
-        return pd.DataFrame({"grp": pdf["grp"].to_numpy(), "seq": seqs, "bin_start": out,
-                             "trailing_start": pdf["trailing_start"].to_numpy()})
-    return fn
-
-
-_WHOLE = Ty.StructType(_ASSIGN.fields + [Ty.StructField("empty_first", Ty.BooleanType())])
-
-
-def _pack_whole(budget: int):
-    """Whole groups, many in one call: rows of (grp, seq, size) in seq order."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        grps, seqs, sizes = pdf["grp"].tolist(), pdf["seq"].tolist(), pdf["size"].tolist()
-        starts, trailing, empty = [], [], []
-        now, fill, open_, flushed, first_over, n = object(), 0, -1, False, False, 0
-
-        def close():
-            trailing.extend([open_ if flushed else -1] * n)
-            empty.extend([first_over] * n)
-        for g, q, s in zip(grps, seqs, sizes):
-            if g != now:
-                close()
-                now, fill, open_, flushed, first_over, n = g, 0, q, False, s > budget, 0
-            if fill + s <= budget:
-                fill += s
-            else:
-                open_, fill, flushed = q, s, True
-            starts.append(open_)
-            n += 1
-        close()
-        return pd.DataFrame({"grp": grps, "seq": seqs, "bin_start": starts, "trailing_start": trailing, "empty_first": empty})
-    return fn
-
-
 def pack_assign(items: DataFrame, group_col: str, order: list[str], size_col: str, budget: int = 1024,
-                segment_rows: int = 5_000_000, call_rows: int = 20_000) -> tuple[DataFrame, DataFrame]:
-    """Greedy order-preserving packing of every group's items into bins of at
-    most ``budget`` (an over-long item is its own bin; the first bin of a group
-    is empty when the first item alone overflows; the trailing open bin of a
-    group is dropped when any bin was flushed before it).
-
-    Returns (items + ``seq``, ``bin_start``, ``trailing_start``) and the per-group
-    empty-first-bin flags.  Exact for any group size.  Items are numbered over
-    all groups; a group inside one segment of ``segment_rows`` numbers is packed
-    whole, many such groups in one call (groups that start within the same
-    ``call_rows`` numbers); only groups that reach over a segment's edge — at
-    most one for each edge — are summarised, chained and replayed in segments.
-    Two lineage cuts: the numbering, and the result (keys and numbers only).
-    Pass no texts in ``items``; join them to the result."""
-    seqd = global_row_number(items.withColumn("grp", F.col(group_col).cast("string")),
-                             ["grp", *order], "seq")
-    seqd = seqd.withColumn("seg", F.floor(F.col("seq") / segment_rows).cast("bigint"))
-    base = seqd.select("grp", "seg", "seq", F.col(size_col).cast("bigint").alias("size"))
-    span = base.groupBy(F.col("grp").alias("_g")).agg(F.min("seg").alias("_a"), F.max("seg").alias("_b"), F.min("seq").alias("_first"))
-    marked = base.join(span, F.col("grp").eqNullSafe(F.col("_g"))).select(
-        "grp", "seg", "seq", "size", (F.col("_a") < F.col("_b")).alias("_over"), "_first")
-    whole = marked.where("NOT _over").withColumn("_call", F.floor(F.col("_first") / call_rows)) \
-        .select("_call", "grp", "seq", "size").groupBy("_call").applyInPandas(_pack_whole(budget), _WHOLE)
-    over = marked.where("_over").select("grp", "seg", "seq", "size")
-    summ = over.groupBy("grp", "seg").applyInPandas(_summaries(budget), _SUMMARY)
-    entries = summ.groupBy("grp").applyInPandas(_chain(budget), _ENTRY)
-    replayed = over.join(entries.select("grp", "seg", "entry_fill", "open_start", "trailing_start"), ["grp", "seg"])
-    flags = entries.select("grp", "empty_first").distinct()
-    parts = replayed.groupBy("grp", "seg").applyInPandas(_assign(budget), _ASSIGN).join(flags, "grp")
-    done = cut_lineage(whole.unionByName(parts.select(*[f.name for f in _WHOLE.fields])))
-    out = seqd.drop("seg").join(done.select("seq", "bin_start", "trailing_start"), "seq")
-    return out, done.groupBy("grp").agg(F.max("empty_first").alias("empty_first"))
+                segment_rows: int = 1 << 20, n_parts: int | None = None) -> DataFrame:
+    """Greedy order-preserving packing of every group's items into bins of at most
+    ``budget``: ``items`` with ``pos`` (place in the group), ``bin`` (both from 0) and
+    ``ends`` (the group's last item).
+
+    An over-long item is its own bin; bin 0 is empty when the first item alone
+    overflows.  Exact for any group size (see ``scan.segmented_scan``); pass no
+    texts in ``items``, join them to the result.  Null sizes count 0."""
+    sized = items.withColumn("_size", F.coalesce(F.col(size_col).cast("long"), F.lit(0)))
+    return segmented_scan(sized, group_col, order, Packing("_size", budget), "ends", n_parts, segment_rows).drop("_size")
 
 
 def pack_by_group(items: DataFrame, group_col: str, order: list[str], size_col: str, budget: int = 1024,
-                  segment_rows: int = 5_000_000, keep_trailing: bool = False) -> DataFrame:
+                  segment_rows: int = 1 << 20, keep_trailing: bool = False, n_parts: int | None = None) -> DataFrame:
     """One row per kept bin: group, the order columns of its first item
-    (``first_<col>``), ``n_items`` and ``n_tokens``.  Bins are bounded by the
-    budget, so assembling them is a bounded group-by.  ``keep_trailing`` keeps
-    the last open bin of a group even after earlier flushes."""
-    assigned, empties = pack_assign(items, group_col, order, size_col, budget, segment_rows)
-    kept = assigned if keep_trailing else assigned.where(F.col("bin_start") != F.col("trailing_start"))
-    firsts = F.min_by(F.struct(*order), F.col("seq"))
-    bins = kept.groupBy(group_col, "bin_start").agg(
-        firsts.alias("_first"), F.count(F.lit(1)).alias("n_items"), F.sum(size_col).alias("n_tokens"))
-    bins = bins.select(group_col, *[F.col("_first")[c].alias(f"first_{c}") for c in order],
-                       "n_items", F.col("n_tokens").cast("bigint").alias("n_tokens"))
+    (``first_<col>``), ``n_items`` and ``n_tokens``.  The last open bin of a group
+    that closed one before is dropped unless ``keep_trailing``; an empty bin 0 has no
+    first item.  Bins are bounded by the budget, so assembling them is a bounded group-by."""
+    assigned = pack_assign(items, group_col, order, size_col, budget, segment_rows, n_parts)
+    size = F.coalesce(F.col(size_col).cast("bigint"), F.lit(0))
+    empty = (F.col("pos") == 0) & (F.col("bin") == 1)              # the first item left bin 0 empty
+    bins = assigned.groupBy(group_col, "bin").agg(
+        F.min_by(F.struct(*order), F.col("pos")).alias("_first"), F.count(F.lit(1)).alias("n_items"), F.sum(size).alias("n_tokens"),
+        F.max("ends").alias("_ends"), F.max(empty).alias("_empty"))
+    own = F.struct(*[F.col("_first")[c].alias(f"first_{c}") for c in order], "n_items", "n_tokens",
+                   (~F.col("_ends") | (F.col("bin") == 0) | F.lit(keep_trailing)).alias("_kept"))
     types = {f.name: f.dataType for f in items.schema.fields}
-    empty = empties.where("empty_first").select(
-        F.col("grp").cast(types[group_col]).alias(group_col),
-        *[F.lit(None).cast(types[c]).alias(f"first_{c}") for c in order],
-        F.lit(0).cast("bigint").alias("n_items"), F.lit(0).cast("bigint").alias("n_tokens"))
-    return bins.unionByName(empty)
+    none = F.struct(*[F.lit(None).cast(types[c]).alias(f"first_{c}") for c in order], F.lit(0).cast("bigint").alias("n_items"),
+                    F.lit(0).cast("bigint").alias("n_tokens"), F.lit(True).alias("_kept"))
+    rows = bins.select(group_col, F.inline(F.when(F.col("_empty"), F.array(none, own)).otherwise(F.array(own))))
+    return rows.where("_kept").drop("_kept")

@@ -15,9 +15,9 @@ separator is safe unless the URL state is still open at the end of the post
 before it.  That state follows ``open(j) = unterminated_url(j) or
 (open(j-1) and no [\\s+] in post j)``: it equals "the last post that has a
 URL start after its last whitespace/plus, or any whitespace/plus at all,
-is of the first kind" — a running max over (person, post) order.  Block
-numbers are a running count of safe separators.  Both are distributed
-running aggregates over small per-post flags; a block is collected (it is
+is of the first kind".  Block numbers are a running count of safe
+separators.  Both come from one segmented scan (``scan.Automaton``) over
+small per-post flags; a block is collected (it is
 bounded by the chain of posts a single URL runs through), cleaned as one
 string, trimmed at the person's first and last block, and split again.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions import text as T
-from lexis.operators.ranking import global_running, group_row_number
+from lexis.operators.scan import Automaton, RunningSums, segmented_scan
 
 _SEP = "|||"
 
@@ -48,22 +48,17 @@ def post_blocks(post_rows: DataFrame) -> DataFrame:
     low = F.lower(F.col("post"))
     unterminated = low.rlike(T.U + r"htt(?:ps|p)?://[^\s+]*$")
     closes = low.rlike(T.U + r"[\s+]")
-    f = post_rows.select("person_id", "post_no", unterminated.alias("_u"), closes.alias("_c"))
-    last = F.when(F.col("_u") | F.col("_c"), F.struct(F.col("person_id").alias("p"), F.col("post_no").alias("n"),
-                                                     F.col("_u").cast("int").alias("u")))
-    g = global_running(f, ["person_id", "post_no"], maxes={"_last": last})
-    is_open = (F.col("_last.p") == F.col("person_id")) & (F.col("_last.u") == 1)
-    g = g.select("person_id", "post_no", F.coalesce(~is_open, F.lit(True)).cast("int").alias("_safe"))
-    g = global_running(g, ["person_id", "post_no"], sums={"_cs": F.col("_safe")})
-    base = g.groupBy("person_id").agg(F.min(F.col("_cs") - F.col("_safe")).alias("_b0"))
-    g = g.join(base, "person_id")
-    return g.select("person_id", "post_no", (F.col("_cs") - F.col("_safe") - F.col("_b0")).alias("block"))
+    flags = post_rows.select("person_id", "post_no", unterminated.cast("int").alias("_from_closed"),
+                             F.when(unterminated, 1).when(closes, 0).otherwise(1).alias("_from_open"))
+    flags = flags.withColumns({"_safe_closed": 1 - F.col("_from_closed"), "_safe_open": 1 - F.col("_from_open")})
+    scan = Automaton(["_from_closed", "_from_open"], ["_safe_closed", "_safe_open"], "_state", "block")
+    return segmented_scan(flags, "person_id", ["post_no"], scan).select("person_id", "post_no", "block")
 
 
-def masked_lower_posts(post_rows: DataFrame) -> DataFrame:
-    """The masked lower-case clean of every person's joined posts, returned
-    as the pieces between the surviving separators:
-    (person_id, piece_no, post) with piece_no 0-based per person."""
+def masked_lower_pieces(post_rows: DataFrame) -> DataFrame:
+    """The masked lower-case clean of every person's joined posts, split at the
+    separators that survive: (person_id, block, k, post), the pieces of a person
+    in the order of block and k."""
     blocks = post_blocks(post_rows)
     x = post_rows.select("person_id", "post_no", "post").join(blocks, ["person_id", "post_no"])
     b = x.groupBy("person_id", "block").agg(F.array_join(F.transform(
@@ -77,17 +72,21 @@ def masked_lower_posts(post_rows: DataFrame) -> DataFrame:
     b = b.join(per, "person_id")
     # an empty last block: the trim removes a separator character instead, so
     # it travels with the block before it
-    merge = F.col("_q") & F.col("_last_empty") & (F.col("_last") > 0) & (F.col("block") == F.col("_last"))
-    b = b.withColumn("_ob", F.col("block")).withColumn("_lastb", F.when(F.col("_q") & F.col("_last_empty") & (
-        F.col("_last") > 0), F.col("_last") - 1).otherwise(F.col("_last")))
-    b = b.withColumn("block", F.when(merge, F.col("block") - 1).otherwise(F.col("block")))
-    b = b.groupBy("person_id", "block", "_q", "_lastb").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_ob", "t"))), lambda s: s["t"]), _SEP)
-        .alias("t"))
-    t = F.col("t")
+    late = F.col("_q") & F.col("_last_empty") & (F.col("_last") > 0)
+    last_text = F.when(late, F.col("_last") - 1).otherwise(F.col("_last"))
+    b = b.where(~(late & (F.col("block") == F.col("_last")))).withColumn("_lastb", last_text)
+    t = F.when(late & (F.col("block") == F.col("_lastb")), F.concat("t", F.lit(_SEP))).otherwise(F.col("t"))
     t = F.when(F.col("_q") & (F.col("block") == 0), F.substring(t, F.lit(2), F.length(t))).otherwise(t)
     t = F.when(F.col("_q") & (F.col("block") == F.col("_lastb")),
                F.substring(t, F.lit(1), F.greatest(F.length(t) - 1, F.lit(0)))).otherwise(t)
     t = T.label_words_to(t, "*", upper=False, lower=True)
-    pieces = b.select("person_id", "block", F.posexplode(F.split(t, r"\|\|\|", -1)).alias("k", "post"))
-    return group_row_number(pieces, ["person_id"], ["block", "k"], "piece_no").select("person_id", "piece_no", "post")
+    return b.select("person_id", "block", F.posexplode(F.split(t, r"\|\|\|", -1)).alias("k", "post"))
+
+
+def masked_lower_posts(post_rows: DataFrame) -> DataFrame:
+    """``masked_lower_pieces`` numbered: (person_id, piece_no, post), piece_no 0-based per person."""
+    pieces = masked_lower_pieces(post_rows)
+    counts = pieces.groupBy("person_id", "block").agg(F.count(F.lit(1)).alias("_n"))
+    at = segmented_scan(counts, "person_id", ["block"], RunningSums({"_upto": "_n"})) \
+        .select("person_id", "block", (F.col("_upto") - F.col("_n")).alias("_before"))
+    return pieces.join(at, ["person_id", "block"]).select("person_id", (F.col("_before") + F.col("k")).alias("piece_no"), "post")

@@ -78,22 +78,22 @@ def _pack_person(spark, d):
     ``len(a.split(' ')) + len(b.split(' ')) <= 300`` with the joined length
     ``len(a.split(' ')) + len(b.split(' ')) - 1`` is next-fit with weight
     ``words - 1`` and budget 298 that keeps its trailing chunk, so it runs as
-    the exact parallel ``pack_by_group``; chunk texts are assembled per bin
-    (a bin holds at most 298 non-empty pieces)."""
-    from lexis.operators.ranking import group_row_number
-    s = _person_sentences(spark, d).withColumn("w", T.space_parts("ss") - 1)
-    sizes = s.select("person_id", "type", "post_no", "w")                 # the texts join the result
-    assigned, empties = K.pack_assign(sizes.drop("type"), "person_id", ["post_no"], "w", 298)
-    assigned = assigned.join(s.drop("w"), ["person_id", "post_no"])
-    bins = assigned.groupBy("person_id", "type", "bin_start").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("ss") != "", F.struct("post_no", "ss")))),
-                                 lambda x: x["ss"]), "").alias("chunk"))
-    types = s.select("person_id", "type").distinct()
-    empty = empties.where("empty_first").select(F.col("grp").cast("long").alias("person_id")).join(types, "person_id") \
-        .select("person_id", "type", F.lit(-1).cast("long").alias("bin_start"), F.lit("").alias("chunk"))
-    allb = bins.unionByName(empty)
-    out = group_row_number(allb, ["person_id"], ["bin_start"], "chunk_no")
-    return out.select("person_id", "type", F.col("chunk_no").cast("int").alias("chunk_no"), "chunk")
+    the exact parallel packing: one scan groups posts into blocks, one packs
+    the weights of their pieces; the texts join its result once (a bin holds at
+    most 298 non-empty pieces).  A bin's number is its chunk's."""
+    from lexis.operators import person as PR
+    pieces = PR.masked_lower_pieces(V.post_rows(spark, d, with_type=False))
+    s = pieces.select("person_id", "block", "k", K.sentence_filter_col("post").alias("ss"))
+    sizes = s.select("person_id", "block", "k", (T.space_parts("ss") - 1).alias("w"))
+    assigned = K.pack_assign(sizes, "person_id", ["block", "k"], "w", 298)
+    bins = assigned.drop("w").join(s, ["person_id", "block", "k"]).groupBy("person_id", "bin").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("ss") != "", F.struct("pos", "ss")))),
+                                 lambda x: x["ss"]), "").alias("chunk"), F.min("pos").alias("_pos"))
+    one = F.struct(F.col("bin").cast("int").alias("chunk_no"), "chunk")
+    none = F.struct(F.lit(0).alias("chunk_no"), F.lit("").alias("chunk"))          # before an over-long first piece
+    out = bins.select("person_id", F.inline(F.when((F.col("_pos") == 0) & (F.col("bin") == 1), F.array(none, one)).otherwise(F.array(one))))
+    lab = V.axes(spark, d).select(F.col("doc_id").alias("person_id"), "type")
+    return out.join(lab, "person_id", "left").select("person_id", "type", "chunk_no", "chunk")
 
 
 @query("pack_by_person", _PACK_PERSON_SQL + """
@@ -280,7 +280,7 @@ SELECT code, CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 A
 UNION ALL
 SELECT CAST(g AS INTEGER), CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM range(16) t(g)
 WHERE g NOT IN (SELECT code FROM items)""")
-def pack_by_class(spark, d, segment_rows: int = 5_000_000):
+def pack_by_class(spark, d, segment_rows: int = 1 << 20):
     """Usable clean posts of each class packed in (person, post) order into
     rows of at most 1024 tokens (exact, parallel; see ``pack_by_group``); a
     class without posts has one empty row."""
@@ -332,16 +332,16 @@ def packed_tokens(spark, d):
     item = F.struct("person_id", "post_no").alias("item")
     toks = posts.select(item, F.posexplode("toks").alias("pos", "term"))
     ids = FT.encode(toks, cut_lineage(FT.build_vocabulary(toks)), "item")
-    assigned, empties = K.pack_assign(items, "code", ["person_id", "post_no"], "n_tok", 1024)
-    kept = assigned.where(F.col("bin_start") != F.col("trailing_start")).withColumn("item", F.struct("person_id", "post_no"))
+    assigned = K.pack_assign(items, "code", ["person_id", "post_no"], "n_tok", 1024)
+    kept = assigned.withColumn("item", F.struct("person_id", "post_no"))
     parts = kept.join(ids, "item", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<int>")))
-    # a bin holds at most 1024 tokens, or one post
-    rows = parts.groupBy("code", "bin_start").agg(
-        F.min_by(F.struct("person_id", "post_no"), "seq").alias("f"),
-        F.sort_array(F.collect_list(F.struct("seq", "tokens"))).alias("x"))
+    # a bin holds at most 1024 tokens, or one post; the last open one goes if another was closed before it
+    rows = parts.groupBy("code", "bin").agg(
+        F.min_by(F.struct("person_id", "post_no"), "pos").alias("f"), F.max("ends").alias("last"),
+        F.sort_array(F.collect_list(F.struct("pos", "tokens"))).alias("x")).where("NOT last OR bin = 0")
     rows = rows.select("code", F.col("f.person_id").alias("first_person_id"), F.col("f.post_no").alias("first_post_no"),
                        F.flatten(F.transform("x", lambda s: s["tokens"])).alias("tokens"))
-    none = empties.where("empty_first").select(F.col("grp").cast("int").alias("code")).union(_empty_classes(spark, items))
+    none = assigned.where("pos = 0 AND bin = 1").select("code").union(_empty_classes(spark, items))
     rows = rows.unionByName(none.select("code", *[F.lit(-1).cast("bigint").alias(f"first_{c}") for c in ("person_id", "post_no")],
                                         F.array().cast("array<int>").alias("tokens")))
     path = scratch_path(spark, "packed-csv")

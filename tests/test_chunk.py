@@ -141,14 +141,14 @@ def test_person_packing_parallel_equals_row_rule(spark):
     rows = [(p, i, rnd.choice(choices)) for p in range(40) for i in range(rnd.randint(1, 12))]
     df = spark.createDataFrame(rows, "person_id long, post_no int, ss string").withColumn("w", T.space_parts("ss") - 1)
     for seg in (3, 1000):
-        assigned, empties = K.pack_assign(df, "person_id", ["post_no"], "w", 298, seg)
-        bins = assigned.groupBy("person_id", "bin_start").agg(F.array_join(F.transform(F.array_sort(
+        assigned = K.pack_assign(df, "person_id", ["post_no"], "w", 298, seg)
+        bins = assigned.groupBy("person_id", "bin").agg(F.array_join(F.transform(F.array_sort(
             F.collect_list(F.when(F.col("ss") != "", F.struct("post_no", "ss")))), lambda x: x["ss"]), "").alias("c"))
         got = {}
         for r in bins.collect():
-            got.setdefault(r["person_id"], []).append((r["bin_start"], r["c"]))
-        for r in empties.where("empty_first").collect():
-            got.setdefault(int(r["grp"]), []).append((-1, ""))
+            got.setdefault(r["person_id"], []).append((r["bin"], r["c"]))
+        for r in assigned.where("pos = 0 AND bin = 1").collect():
+            got.setdefault(r["person_id"], []).append((-1, ""))
         got = {p: [c for _, c in sorted(v)] for p, v in got.items()}
         want = {}
         for p in {r[0] for r in rows}:
