@@ -15,7 +15,7 @@ separator is safe unless the URL state is still open at the end of the post
 before it.  That state follows ``open(j) = unterminated_url(j) or
 (open(j-1) and no [\\s+] in post j)``: it equals "the last post that has a
 URL start after its last whitespace/plus, or any whitespace/plus at all,
-is of the first kind".  Block numbers are a running count of safe
+is of the first kind".  A post may itself hold separators or end in ``|``.  Block numbers are a running count of safe
 separators.  Both come from one segmented scan (``scan.Automaton``) over
 small per-post flags; a block is collected (it is
 bounded by the chain of posts a single URL runs through), cleaned as one
@@ -44,25 +44,40 @@ def _pre_trim(c):
 
 
 def post_blocks(post_rows: DataFrame) -> DataFrame:
-    """(person_id, post_no, block) for every post."""
-    low = F.lower(F.col("post"))
-    unterminated = low.rlike(T.U + r"htt(?:ps|p)?://[^\s+]*$")
-    closes = low.rlike(T.U + r"[\s+]")
-    flags = post_rows.select("person_id", "post_no", unterminated.cast("int").alias("_from_closed"),
-                             F.when(unterminated, 1).when(closes, 0).otherwise(1).alias("_from_open"))
-    flags = flags.withColumns({"_safe_closed": 1 - F.col("_from_closed"), "_safe_open": 1 - F.col("_from_open")})
-    scan = Automaton(["_from_closed", "_from_open"], ["_safe_closed", "_safe_open"], "_state", "block")
-    return segmented_scan(flags, "person_id", ["post_no"], scan).select("person_id", "post_no", "block")
+    """(person_id, post_no, block, left, ends) for every post: its block, how many ``|``
+    that ended the posts before were left over by the separators found there, and
+    whether it is the person's last.
+
+    The state of the scan is both: 3 * (inside a URL) + left over."""
+    post, n = F.col("post"), F.length("post")
+    low = F.lower(post)
+    head, tail = n - F.length(F.ltrim(post, F.lit("|"))), n - F.length(F.rtrim(post, F.lit("|")))
+    flags = post_rows.select("person_id", "post_no", low.rlike(T.U + r"htt(?:ps|p)?://[^\s+]*$").alias("_u"),
+                             low.rlike(T.U + r"[\s+]").alias("_c"), n.alias("_n"), head.alias("_head"), tail.alias("_tail"))
+    to_open = [F.when(F.col("_u"), 1).when(F.col("_c"), 0).otherwise(o) for o in (0, 1)]
+    to_left = [F.when(F.col("_head") == F.col("_n"), (F.col("_n") + r) % 3).otherwise(F.col("_tail") % 3) for r in range(3)]
+    states = [(o, r) for o in (0, 1) for r in range(3)]
+    flags = flags.select("person_id", "post_no", *[(3 * to_open[o] + to_left[r]).alias(f"_to{3 * o + r}") for o, r in states],
+                         *[(1 - to_open[o]).alias(f"_safe{3 * o + r}") for o, r in states])
+    scan = Automaton([f"_to{i}" for i in range(6)], [f"_safe{i}" for i in range(6)], "_state", "block")
+    got = segmented_scan(flags, "person_id", ["post_no"], scan)
+    return got.select("person_id", "post_no", "block", (F.col("_state") % 3).cast("int").alias("left"), "ends")
 
 
 def masked_lower_pieces(post_rows: DataFrame) -> DataFrame:
     """The masked lower-case clean of every person's joined posts, split at the
     separators that survive: (person_id, block, k, post), the pieces of a person
-    in the order of block and k."""
+    in the order of block and k.  Posts may hold separators themselves; a null post
+    is none; a person's post numbers must differ."""
+    post_rows = post_rows.where(F.col("post").isNotNull())
     blocks = post_blocks(post_rows)
     x = post_rows.select("person_id", "post_no", "post").join(blocks, ["person_id", "post_no"])
     b = x.groupBy("person_id", "block").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("post_no", "post"))), lambda s: s["post"]), _SEP).alias("raw"))
+        F.array_sort(F.collect_list(F.struct("post_no", "post"))), lambda s: s["post"]), _SEP).alias("raw"),
+        F.min_by("left", "post_no").alias("_left"), F.max("ends").alias("_ends"))
+    b = b.withColumn("raw", F.concat(F.repeat(F.lit("|"), F.col("_left")), "raw"))
+    over = (F.length("raw") - F.length(F.rtrim("raw", F.lit("|")))) % 3                 # goes to the front of the next block
+    b = b.withColumn("raw", F.when(F.col("_ends"), F.col("raw")).otherwise(F.substring(F.col("raw"), F.lit(1), F.length("raw") - over)))
     b = b.select("person_id", "block", _pre_trim(F.col("raw")).alias("t"))
     # person facts: number of blocks, first text starts with a quote, last text empty (small, one row per person)
     per = b.groupBy("person_id").agg(

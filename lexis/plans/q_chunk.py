@@ -46,7 +46,7 @@ def _person_sentences(spark, d):
     """Masked lower-case clean of each person's posts, computed post-level
     (``person.masked_lower_posts``), then the sentence filter per piece."""
     from lexis.operators import person as PR
-    pieces = PR.masked_lower_posts(V.post_rows(spark, d, with_type=False))
+    pieces = PR.masked_lower_posts(V.turn_rows(spark, d))
     lab = V.axes(spark, d).select(F.col("doc_id").alias("person_id"), "type")
     x = pieces.join(lab, "person_id", "left")
     return x.select("person_id", "type", F.col("piece_no").cast("int").alias("post_no"),
@@ -82,7 +82,7 @@ def _pack_person(spark, d):
     the weights of their pieces; the texts join its result once (a bin holds at
     most 298 non-empty pieces).  A bin's number is its chunk's."""
     from lexis.operators import person as PR
-    pieces = PR.masked_lower_pieces(V.post_rows(spark, d, with_type=False))
+    pieces = PR.masked_lower_pieces(V.turn_rows(spark, d))
     s = pieces.select("person_id", "block", "k", K.sentence_filter_col("post").alias("ss"))
     sizes = s.select("person_id", "block", "k", (T.space_parts("ss") - 1).alias("w"))
     assigned = K.pack_assign(sizes, "person_id", ["block", "k"], "w", 298)
@@ -131,7 +131,7 @@ def min_words_filter(spark, d):
     """Persons with >= 20 words after the profile clean, counted from the
     posts (no joined person text; see ``profile.person_clean_word_counts``)."""
     from lexis.operators import profile as P
-    c = P.person_clean_word_counts(V.post_rows(spark, d, with_type=False))
+    c = P.person_clean_word_counts(V.turn_rows(spark, d))
     return c.select("person_id", F.col("n_words").cast("int").alias("n_words")).where(F.col("n_words") >= 20)
 
 

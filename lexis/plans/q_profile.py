@@ -39,7 +39,7 @@ def hist_before_after_df(spark, d):
     computed from post rows: no person text is joined (see
     ``profile.person_clean_word_counts``); the oracle joins and cleans the
     person texts the reference way."""
-    return P.hist_before_after_posts(V.post_rows(spark, d, with_type=False), 50)
+    return P.hist_before_after_posts(V.turn_rows(spark, d), 50)
 
 
 @query("hist_before_after_text", HIST_BEFORE_AFTER_SQL)
@@ -58,7 +58,7 @@ agg AS (SELECT {_bucket_sql(S.space_parts('posts'), 50)} AS bucket, count(*) AS
 SELECT g.bucket, g.post_length, CAST(coalesce(a.cnt, 0) AS BIGINT) AS count
 FROM grid g LEFT JOIN agg a ON g.bucket = a.bucket""")
 def hist_person(spark, d):
-    return P.histogram(P.person_word_counts(V.post_rows(spark, d, with_type=False)), "n_words", 50)
+    return P.histogram(P.person_word_counts(V.turn_rows(spark, d)), "n_words", 50)
 
 
 @query("hist_post", S.with_(S.POSTS_CTE, _grid_sql(5), f"""
@@ -67,7 +67,7 @@ SELECT g.bucket, g.post_length, CAST(coalesce(a.cnt, 0) AS BIGINT) AS count
 FROM grid g LEFT JOIN agg a ON g.bucket = a.bucket""")
 def hist_post(spark, d):
     from lexis.functions import text as T
-    pr = V.post_rows(spark, d, with_type=False).select(T.space_parts("post").alias("n"))
+    pr = V.split_turns(V.turn_rows(spark, d)).select(T.space_parts("post").alias("n"))
     return P.histogram(pr, "n", 5)
 
 

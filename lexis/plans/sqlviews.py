@@ -37,8 +37,8 @@ posts AS (
   SELECT p.conv_id AS person_id, a.type, p.posts, p.n_posts
   FROM posts0 p LEFT JOIN axes a ON p.conv_id = a.doc_id),
 post_rows AS (
-  SELECT c.conv_id AS person_id, c.turn AS post_no, c.text AS post, a.type
-  FROM conversations c LEFT JOIN axes a ON c.conv_id = a.doc_id)"""
+  SELECT person_id, type, unnest(range(len(string_split(posts, '|||')))) AS post_no, unnest(string_split(posts, '|||')) AS post
+  FROM posts)"""
 
 URL_DOCS_CTE = """
 url_docs AS (SELECT page_id AS doc_id, concat_ws(' ', url, html) AS text FROM pages)"""

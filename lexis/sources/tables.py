@@ -82,21 +82,49 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("person_id"), "type", "posts", "n_posts")
 
 
-def post_rows(spark: SparkSession, sf_dir: str, with_type: bool = True) -> DataFrame:
-    """One row per post: (person_id, post_no, post, type) straight from the turns.
-
-    Equal to ``posexplode(split(posts, '|||'))`` of the person view as long as
-    no turn contains ``|||`` (true for the driver tables), without building the
-    per-person string: nothing is grouped, nothing skews.
-    """
-    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    if not with_type:
-        return conv.select(F.col("conv_id").alias("person_id"), F.col("turn").alias("post_no"),
-                           F.col("text").alias("post"))
-    lab = axes(spark, sf_dir).select(F.col("doc_id").alias("conv_id"), "type")
-    return conv.join(lab, "conv_id", "left").select(
-        F.col("conv_id").alias("person_id"), F.col("turn").alias("post_no"),
-        F.col("text").alias("post"), "type")
+def turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per turn: (person_id, post_no, post), the turn's number and text.  The
+    texts of a person joined by ``|||`` are the person's text, so whatever works on
+    that text may read these rows; a turn that holds separators is several posts."""
+    conv = load(spark, sf_dir, "conversations")
+    return conv.select(F.col("conv_id").alias("person_id"), F.col("turn").alias("post_no"), F.col("text").alias("post"))
+
+
+def split_turns(turns: DataFrame) -> DataFrame:
+    """``person_id, post_no, post``: the posts of turns (same columns, ``post_no`` their
+    order), equal to ``posexplode(split(posts, '|||'))`` of the joined person text.
+
+    A turn is split in its row.  Separators are found from the left, so up to two
+    ``|`` that end a turn and are left over go to the front of the next post; how many,
+    and how many posts there are before a turn, comes from one segmented scan over
+    small numbers of each turn.  A null text is no post; a person's turn numbers must
+    differ."""
+    from lexis.operators.scan import Automaton, segmented_scan
+    turns = turns.where(F.col("post").isNotNull())
+    post, n = F.col("post"), F.length("post")
+    head, tail = n - F.length(F.ltrim(post, F.lit("|"))), n - F.length(F.rtrim(post, F.lit("|")))
+    inside = F.size(F.split(post, r"\|\|\|", -1)) - 1
+    stats = turns.select("person_id", "post_no", n.alias("_n"), head.alias("_head"), tail.alias("_tail"), inside.alias("_in"))
+    rows = stats.select("person_id", "post_no", *[
+        F.when(F.col("_head") == F.col("_n"), (F.col("_head") + r) % 3).otherwise(F.col("_tail") % 3).alias(f"_to{r}") for r in range(3)], *[
+        (F.col("_in") + 1 + F.floor((F.col("_head") + r) / 3) - F.floor(F.col("_head") / 3)).alias(f"_add{r}") for r in range(3)])
+    scan = Automaton([f"_to{r}" for r in range(3)], [f"_add{r}" for r in range(3)], "_left", "_before")
+    at = segmented_scan(rows, "person_id", ["post_no"], scan, "_ends").select("person_id", "post_no", "_left", "_before", "_ends")
+    x = turns.join(at, ["person_id", "post_no"])
+    whole = F.concat(F.repeat(F.lit("|"), F.col("_left").cast("int")), "post")
+    x = x.select("person_id", "_before", "_ends", F.split(whole, r"\|\|\|", -1).alias("_p"))
+    x = x.select("person_id", "_before", "_ends", F.size("_p").alias("_k"), F.posexplode("_p").alias("k", "post"))
+    over = (F.col("k") == F.col("_k") - 1) & ~F.col("_ends")
+    return x.select("person_id", (F.col("_before") + F.col("k")).alias("post_no"),
+                    F.when(over, F.rtrim("post", F.lit("|"))).otherwise(F.col("post")).alias("post"))
+
+
+def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per post: (person_id, post_no, post, type), equal to
+    ``posexplode(split(posts, '|||'))`` of the person view without building the
+    person's text (see ``split_turns``)."""
+    lab = axes(spark, sf_dir).select(F.col("doc_id").alias("person_id"), "type")
+    return split_turns(turn_rows(spark, sf_dir)).join(lab, "person_id", "left")
 
 
 def url_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def test_person_counts_edge_cases(spark):
 
 
 def test_person_counts_on_tables(spark):
-    pr = V.post_rows(spark, SF01, with_type=False)
+    pr = V.turn_rows(spark, SF01)
     a = P.person_clean_word_counts(pr)
     b = V.posts(spark, SF01).select("person_id", T.space_parts("posts").alias("nb"),
                                      T.space_parts(C.clean_profile_col(F.col("posts"))).alias("na"))
