@@ -1,26 +1,37 @@
-"""Exact k-nearest neighbours without an all-pairs join.
-
-Pivot pruning: ``n_pivots`` training points (lowest seeded hash, a bounded
-number) become cluster centres; every training point joins its nearest pivot
-and each cluster records its radius.  For a query q the pivots are themselves
-training points, so the k-th smallest distance to a pivot bounds the k-th
-neighbour distance U.  By the triangle inequality a cluster can only hold a
-point within U when ``d(q, pivot) - radius <= U``; only those clusters are
-joined to q.  The result is exact; the pairs evaluated are the candidates.
-
-Candidate pairs are evaluated block by block — one block = one cluster (split
-into buckets of about ``bucket_rows`` points) with the queries that may reach
-it (split into parts of about ``query_rows``) — by numpy inside a cogrouped
-``applyInPandas``, so neither side of a block grows with the table.  Pruning depends on the
-data: in many dimensions without clusters most blocks survive.
+"""Exact k-nearest neighbours by a metric tree, without an all-pairs join.
+
+1. A ball tree is fitted to a bounded sample of the training rows (``sample_rows``,
+   chosen by a hash of the id below a cut-off that the row count gives).
+2. Every training row descends to a leaf, the nearer centre at each fork; one pass
+   without a shuffle measures each node's radius and row count over all rows.
+3. The k-th nearest sample point bounds a query's k-th distance.  The queries of an
+   Arrow batch that lie in one leaf form a group; the tree is walked for the whole
+   group: a pair of group and node goes when their centres' distance less both radii
+   exceeds the group's worst bound, at a leaf then query by query.
+4. Training rows are shuffled once, to the buckets of their leaf (about
+   ``bucket_rows`` each); a query goes to the buckets of the leaves that are left.  A
+   bucket's rows come first in its sorted partition and are held, its queries stream
+   past them: memory follows the bucket, not the number of queries.
+5. The best k of each bucket meet in a second top-k for each query.
+
+The result is exact: the triangle inequality only drops what can't be among the k.
+How much it drops depends on the data (see PLANS.md): little in many dimensions
+without clusters.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexis.operators.split import seeded_key
+#: relative slack of a bound against rounding
+SLACK = 1e-9
 
 
 def sq_dist(a, b) -> Column:
@@ -30,83 +41,285 @@ def sq_dist(a, b) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _block_topk(k: int, max_cells: int = 4_000_000):
-    """Exact top-k of one (cluster, bucket) block with numpy: squared
-    differences summed per pair, ties broken by neighbour id."""
-    import numpy as np
-    import pandas as pd
-
-    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(t) == 0:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "nid": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
-        Q = np.stack(q["qvec"].to_numpy()).astype(np.float64)
-        X = np.stack(t["nvec"].to_numpy()).astype(np.float64)
-        nids = t["nid"].to_numpy()
-        qids = q["qid"].to_numpy()
-        step = max(1, max_cells // max(1, X.shape[0] * X.shape[1]))
-        out_q, out_n, out_d = [], [], []
-        kk = min(k, len(nids))
-        for s in range(0, len(Q), step):
-            diff = Q[s:s + step, None, :] - X[None, :, :]
-            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            for r in range(d.shape[0]):
-                row = d[r]
-                cut = np.partition(row, kk - 1)[kk - 1]
-                idx = np.nonzero(row <= cut)[0]           # every tie at the k-th distance
-                order = np.lexsort((nids[idx], row[idx]))[:kk]
-                sel = idx[order]
-                out_q.append(np.full(len(sel), qids[s + r]))
-                out_n.append(nids[sel])
-                out_d.append(row[sel])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "nid": np.concatenate(out_n),
-                             "dist": np.concatenate(out_d)})
-    return fn
-
-
-def knn(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2, n_pivots: int = 32,
-        seed: int = 7, max_pivots: int = 4096, bucket_rows: int = 20_000,
-        query_rows: int = 20_000) -> DataFrame:
-    """(query_id, rank 0..k-1, neighbor_id, dist) for every test row."""
-    if n_pivots > max_pivots:
-        raise ValueError("the pivot list travels with every row; keep it bounded")
-    n_pivots = max(n_pivots, k)
-    piv = train.select(F.col(id_col).alias("pivot_id"), F.col(vec_col).alias("pvec"),
-                       seeded_key(id_col, seed).alias("_h")).orderBy("_h", "pivot_id").limit(n_pivots)
-    # at most n_pivots pivots, read by every row as one scalar subquery value
-    pivots = piv.agg(F.collect_list(F.struct("pivot_id", "pvec")).alias("pivots")).scalar()
-
-    def dists(vec: str):
-        return F.transform("_piv", lambda p: F.struct(F.sqrt(sq_dist(vec, p["pvec"])).alias("d"),
-                                                      p["pivot_id"].alias("pivot_id")))
-
-    tr = train.select(F.col(id_col).alias("nid"), F.col(vec_col).alias("nvec"))
-    near = tr.select("nid", "nvec", pivots.alias("_piv")).select("nid", "nvec", F.array_min(dists("nvec")).alias("m"))
-    assigned = near.select("nid", "nvec", F.col("m.pivot_id").alias("pivot_id"), F.col("m.d").alias("d_np"))
-    # per cluster: radius and number of buckets, one scalar subquery value (<= n_pivots entries)
-    stats = assigned.groupBy("pivot_id").agg(F.max("d_np").alias("radius"), F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int").alias("nb"))
-    clusters = stats.agg(F.map_from_entries(F.collect_list(F.struct("pivot_id", F.struct("radius", "nb"))))).scalar()
-    parts = test.agg(F.greatest(F.ceil(F.count(F.lit(1)) / query_rows), F.lit(1)).cast("int")).scalar()
-    q = test.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("qvec"))
-    q = q.select("qid", "qvec", pivots.alias("_piv"), clusters.alias("_cl"), parts.alias("_np")) \
-        .select("qid", "qvec", "_cl", F.pmod(F.xxhash64("qid"), F.col("_np")).cast("int").alias("part"), dists("qvec").alias("dq"))
-    q = q.withColumn("U", F.element_at(F.array_sort(F.transform("dq", lambda x: x["d"])), k))
-    near_enough = F.filter("dq", lambda x: x["d"] - F.element_at(F.col("_cl"), x["pivot_id"])["radius"] <= F.col("U") + F.lit(1e-9))
-    cand = q.select("qid", "qvec", "part", "_cl", F.explode(near_enough).alias("c")) \
-        .select("qid", "qvec", "part", F.col("c.pivot_id").alias("pivot_id"), F.element_at(F.col("_cl"), F.col("c.pivot_id"))["nb"].alias("nb"))
-    # a query visits every bucket of a cluster it may reach; a point meets every part of the queries
-    cand = cand.select("qid", "qvec", "part", "pivot_id", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bucket"))
-    pts = assigned.select("nid", "nvec", "pivot_id", clusters.alias("_cl"), parts.alias("_np"))
-    pts = pts.select("nid", "nvec", "pivot_id", F.pmod(F.xxhash64("nid"), F.element_at(F.col("_cl"), F.col("pivot_id"))["nb"]).cast("int").alias("bucket"),
-                     F.explode(F.sequence(F.lit(0), F.col("_np") - 1)).alias("part"))
-    blocks = cand.groupBy("pivot_id", "bucket", "part").cogroup(pts.groupBy("pivot_id", "bucket", "part")).applyInPandas(
-        lambda q_, t_: _block_topk(k)(q_, t_), "qid long, nid long, dist double")
-    # second level over <= candidate buckets * k rows per query
-    w = Window.partitionBy("qid").orderBy("dist", "nid")
-    return blocks.withColumn("rank", F.row_number().over(w) - 1).where(F.col("rank") < k) \
+def _dist(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """All distances between the rows of two matrices (rounded; for bounds, with SLACK)."""
+    sq = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T)
+    return np.sqrt(np.maximum(sq, 0))
+
+
+@dataclass
+class BallTree:
+    """Nodes in rows: centre, the two children (-1: a leaf), parent; leaves are numbered."""
+
+    centre: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    leaf: np.ndarray                    # number of a leaf's node, -1 for a fork
+
+    @property
+    def n_leaves(self) -> int:
+        return int(self.leaf.max()) + 1
+
+    @classmethod
+    def fit(cls, points: np.ndarray, n_leaves: int) -> BallTree:
+        """The node with most points is split in two by a few rounds of 2-means that
+        start from two far points, until there are ``n_leaves``."""
+        centre, left, right = [points.mean(0)], [-1], [-1]
+        heap = [(-len(points), 0, np.arange(len(points)))]
+        count = 1
+        while heap and count < n_leaves:
+            _, node, rows = heapq.heappop(heap)
+            x = points[rows]
+            a = x[np.argmax(((x - centre[node]) ** 2).sum(1))]
+            b = x[np.argmax(((x - a) ** 2).sum(1))]
+            for _ in range(4):
+                near = ((x - a) ** 2).sum(1) <= ((x - b) ** 2).sum(1)
+                if near.all() or not near.any():
+                    break
+                a, b = x[near].mean(0), x[~near].mean(0)
+            near = ((x - a) ** 2).sum(1) <= ((x - b) ** 2).sum(1)
+            if near.all() or not near.any():
+                continue                                   # equal points stay one leaf
+            for part, side in ((near, left), (~near, right)):
+                side[node] = len(centre)
+                heapq.heappush(heap, (-int(part.sum()), len(centre), rows[part]))
+                centre.append(x[part].mean(0))
+                left.append(-1)
+                right.append(-1)
+            count += 1
+        left, right = np.array(left), np.array(right)
+        leaf = np.where(left < 0, np.cumsum(left < 0) - 1, -1)
+        return cls(np.array(centre), left, right, leaf)
+
+    def visit(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``node, rows, distances`` for each node and the rows of ``x`` that descend through it."""
+        todo = [(0, np.arange(len(x)))]
+        while todo:
+            node, rows = todo.pop()
+            if len(rows) == 0:
+                continue
+            d = np.sqrt(((x[rows] - self.centre[node]) ** 2).sum(1))
+            yield node, rows, d
+            if self.left[node] >= 0:
+                two = [((x[rows] - self.centre[c]) ** 2).sum(1) for c in (self.left[node], self.right[node])]
+                first = two[0] <= two[1]
+                todo += [(int(self.left[node]), rows[first]), (int(self.right[node]), rows[~first])]
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        out = np.empty(len(x), np.int64)
+        for node, rows, _ in self.visit(x):
+            if self.leaf[node] >= 0:
+                out[rows] = self.leaf[node]
+        return out
+
+
+def _matrix(col: pa.Array) -> np.ndarray:
+    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(col), -1)
+
+
+def _radii(tree: BallTree):
+    """node, radius, n over the rows of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        radius, n = np.zeros(len(tree.centre)), np.zeros(len(tree.centre), np.int64)
+        for b in batches:
+            if b.num_rows:
+                for node, rows, d in tree.visit(_matrix(b.column(0))):
+                    radius[node] = max(radius[node], d.max())
+                    n[node] += len(rows)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(radius[some]), pa.array(n[some])], ["node", "radius", "n"])
+    return run
+
+
+@dataclass
+class Index:
+    """A fitted tree with what was measured over all training rows."""
+
+    tree: BallTree
+    sample: np.ndarray
+    radius: np.ndarray
+    rows: np.ndarray
+    buckets: np.ndarray                 # number of buckets of each leaf
+
+    def route(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For queries ``x``: pairs (query, leaf) that are left, and each query's bound."""
+        tree = self.tree
+        bound = np.full(len(x), np.inf)
+        if len(self.sample) >= k:
+            step = max(1, (4 << 20) // len(self.sample))
+            for s in range(0, len(x), step):
+                bound[s:s + step] = np.partition(_dist(x[s:s + step], self.sample), k - 1, axis=1)[:, k - 1]
+        bound = bound * (1 + 1e-6) + 1e-6                  # above the rounding of _dist
+        own = tree.leaves(x)
+        queries, leaves = [], []
+        for g in np.unique(own):
+            rows = np.flatnonzero(own == g)
+            centre = x[rows].mean(0)
+            spread, worst = np.sqrt(((x[rows] - centre) ** 2).sum(1)).max(), bound[rows].max()
+            todo = [0]
+            while todo:
+                node = todo.pop()
+                if self.rows[node] == 0:
+                    continue
+                gap = np.sqrt(((centre - tree.centre[node]) ** 2).sum()) - spread - self.radius[node]
+                if gap > worst * (1 + SLACK):
+                    continue
+                if tree.left[node] >= 0:
+                    todo += [int(tree.left[node]), int(tree.right[node])]
+                    continue
+                d = np.sqrt(((x[rows] - tree.centre[node]) ** 2).sum(1))
+                kept = rows[d - self.radius[node] <= bound[rows] * (1 + SLACK)]
+                queries.append(kept)
+                leaves.append(np.full(len(kept), tree.leaf[node]))
+        if not queries:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), bound
+        return np.concatenate(queries), np.concatenate(leaves), bound
+
+
+def fit_index(train: DataFrame, id_col: str, vec_col: str, n_leaves: int | None = None, sample_rows: int = 4096,
+              bucket_rows: int = 4096, seed: int = 7, max_leaves: int = 1024) -> Index | None:
+    """The tree over ``train``; None for an empty table.  ``n_leaves``: by default one for 512 rows, at most ``max_leaves``."""
+    n = train.count()
+    if n == 0:
+        return None
+    part = min(1.0, sample_rows / n)
+    hashed = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30))
+    picked = train.where(hashed < int(part * (1 << 30)) + 1).select(vec_col).limit(2 * sample_rows).toArrow()   # bounded
+    sample = _matrix((picked if picked.num_rows else train.select(vec_col).limit(1).toArrow()).column(0).combine_chunks())
+    tree = BallTree.fit(sample, n_leaves or max(1, min(max_leaves, n // 512, len(sample) // 4)))
+    found = train.select(vec_col).mapInArrow(_radii(tree), "node int, radius double, n long") \
+        .groupBy("node").agg(F.max("radius").alias("radius"), F.sum("n").alias("n")).toArrow()        # a row for each node
+    radius, rows = np.zeros(len(tree.centre)), np.zeros(len(tree.centre), np.int64)
+    at = found["node"].to_numpy()
+    radius[at], rows[at] = found["radius"].to_numpy(), found["n"].to_numpy()
+    per_leaf = rows[tree.leaf >= 0]
+    return Index(tree, sample, radius * (1 + SLACK), rows, np.maximum(-(-per_leaf // bucket_rows), 1))
+
+
+_BLOCK = "leaf int, bucket int, is_query int, id long, vec array<double>, bound double"
+
+
+def _place(index: Index):
+    """Training rows (id, vec) to their leaf's buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            x, ids = _matrix(b.column(1)), b.column(0).to_numpy(zero_copy_only=False)
+            leaf = index.tree.leaves(x)
+            with np.errstate(over="ignore"):
+                salt = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            bucket = salt.astype(np.int64) % index.buckets[leaf]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(leaf, pa.int32()), pa.array(bucket, pa.int32()), pa.array(np.zeros(len(x)), pa.int32()), b.column(0),
+                 pa.array(list(x), pa.list_(pa.float64())), pa.array(np.zeros(len(x)))],
+                ["leaf", "bucket", "is_query", "id", "vec", "bound"])
+    return run
+
+
+def _route(index: Index, k: int, step: int = 1 << 14):
+    """Queries (id, vec) to the buckets of the leaves that may hold a neighbour."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            x = _matrix(b.column(1))
+            q, leaf, bound = index.route(x, k)
+            n = index.buckets[leaf]
+            q, leaf = np.repeat(q, n), np.repeat(leaf, n)
+            bucket = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)
+            for s in range(0, len(q), step):
+                i = q[s:s + step]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf[s:s + step], pa.int32()), pa.array(bucket[s:s + step], pa.int32()), pa.array(np.ones(len(i)), pa.int32()),
+                     b.column(0).take(pa.array(i)), pa.array(list(x[i]), pa.list_(pa.float64())), pa.array(bound[i])],
+                    ["leaf", "bucket", "is_query", "id", "vec", "bound"])
+    return run
+
+
+def _best(queries: np.ndarray, bound: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, cells: int = 1 << 22) -> tuple:
+    """(query row, id, distance) of the k nearest rows within the bound; ties to the smaller id."""
+    out_q, out_n, out_d = [], [], []
+    step = max(1, cells // max(1, len(x)))
+    for s in range(0, len(queries), step):
+        near = _dist(queries[s:s + step], x)
+        slack = 1e-6 * (1 + near)
+        kth = np.partition(near + slack, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
+        i, j = np.nonzero(near - slack <= np.minimum(kth, bound[s:s + step])[:, None])
+        diff = queries[s + i] - x[j]
+        d = np.sqrt(np.einsum("ij,ij->i", diff, diff))     # exact for those that are left
+        order = np.lexsort((ids[j], d, i))
+        i, j, d = i[order], j[order], d[order]
+        first = np.searchsorted(i, i)                      # place of the query's first pair
+        top = np.arange(len(i)) - first < k
+        out_q.append(s + i[top])
+        out_n.append(ids[j[top]])
+        out_d.append(d[top])
+    return np.concatenate(out_q), np.concatenate(out_n), np.concatenate(out_d)
+
+
+def _meet(k: int):
+    """Sorted blocks (leaf, bucket; training rows first): the block's rows are held, its queries stream past."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, vecs, x = None, [], [], None
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            key = np.stack([b.column(i).to_numpy() for i in range(3)], 1).astype(np.int64)
+            cuts = [0, *(np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1).tolist(), b.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                part = b.slice(i, j - i)
+                now = tuple(key[i, :2])
+                if now != block:
+                    block, ids, vecs, x = now, [], [], None
+                if key[i, 2] == 0:
+                    ids.append(part.column(3).to_numpy())
+                    vecs.append(_matrix(part.column(4)))
+                elif ids:
+                    x = (np.concatenate(vecs), np.concatenate(ids)) if x is None else x
+                    q, n, d = _best(_matrix(part.column(4)), part.column(5).to_numpy(), *x, k)
+                    yield pa.RecordBatch.from_arrays([part.column(3).take(pa.array(q)), pa.array(n, pa.int64()), pa.array(d)], ["qid", "nid", "dist"])
+    return run
+
+
+def knn(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2, n_leaves: int | None = None,
+        sample_rows: int = 4096, bucket_rows: int = 4096, seed: int = 7) -> DataFrame:
+    """(query_id, rank 0..k-1, neighbor_id, dist) for every test row; fewer ranks if there
+    are fewer training rows.  Ids are whole numbers, vectors equally long; rows without
+    an id, and vectors that are null or hold a null or non-finite number, take no part."""
+    def rows(df):
+        df = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+        return df.where(F.col("id").isNotNull() & F.forall("vec", lambda x: F.abs(x) <= 1e150))
+    train, test = rows(train), rows(test)
+    index = fit_index(train, "id", "vec", n_leaves, sample_rows, bucket_rows, seed)
+    if index is None:
+        return test.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("neighbor_id"), F.lit(0.0).alias("dist")).limit(0)
+    blocks = train.mapInArrow(_place(index), _BLOCK).union(test.mapInArrow(_route(index, k), _BLOCK))
+    blocks = blocks.repartition("leaf", "bucket").sortWithinPartitions("leaf", "bucket", "is_query")
+    got = blocks.mapInArrow(_meet(k), "qid long, nid long, dist double")
+    w = Window.partitionBy("qid").orderBy("dist", "nid")   # at most k rows for each bucket a query went to
+    return got.withColumn("rank", F.row_number().over(w) - 1).where(F.col("rank") < k) \
         .select(F.col("qid").alias("query_id"), "rank", F.col("nid").alias("neighbor_id"), "dist")
 
 
+def routed_share(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k: int = 2, **options) -> DataFrame:
+    """One row: queries, leaves, the (query, leaf) pairs that are left, and the share of
+    all (query, training row) pairs that is evaluated."""
+    index = fit_index(train, id_col, vec_col, **options)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per_leaf = index.rows[index.tree.leaf >= 0]
+        for b in batches:
+            if b.num_rows:
+                _, leaf, _ = index.route(_matrix(b.column(0)), k)
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([len(leaf)]), pa.array([int(per_leaf[leaf].sum())])], ["q", "p", "r"])
+    got = test.select(F.col(vec_col).cast("array<double>")).mapInArrow(run, "q long, p long, r long")
+    total = int(index.rows[0])
+    return got.agg(F.sum("q").alias("queries"), F.lit(index.tree.n_leaves).alias("leaves"), F.sum("p").alias("pairs"),
+                   (F.sum("r") / (F.sum("q") * total)).alias("evaluated_share"))
+
+
 def knn_predict(neigh: DataFrame, train_labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     """Majority vote of the neighbours; ties go to the smallest label."""
     j = neigh.join(train_labels.select(F.col(id_col).alias("neighbor_id"), F.col(label_col).alias("nl")), "neighbor_id")
