@@ -87,6 +87,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once below the shared folder and read back: lineage ends there
+    and nothing is computed twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete everything below ``lexis-scratch`` of the shared folder that this
     application wrote.  Call it when the results are consumed: queries that
