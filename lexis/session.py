@@ -87,11 +87,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame, name: str = "table") -> DataFrame:
+def store(df: DataFrame, name: str = "table", compression: str = "snappy") -> DataFrame:
     """``df`` written once below the shared folder and read back: lineage ends there
     and nothing is computed twice."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

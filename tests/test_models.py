@@ -6,7 +6,7 @@ from conftest import SF001, SF01
 from lexis.plans.registry import queries
 
 
-@pytest.mark.parametrize("name,margin", [("model_rf", 0.1), ("model_rff_svm", 0.02)])
+@pytest.mark.parametrize("name,margin", [("model_rf", 0.1), ("model_rff_svm", 0.02), ("model_linear_svc", 0.02)])
 def test_model_beats_the_majority_class(spark, name, margin):
     p = queries()[name](spark, SF01).select("doc_id", "label", "prediction").toPandas()
     split = queries()["model_split"](spark, SF01).where("split = 'test'").toPandas()

@@ -1,34 +1,39 @@
 """The axis models at their full size, and the logistic regression, against the majority class."""
 
-from conftest import SF01
-from lexis.operators import models as MD
+import pytest
+
+from conftest import SF001, SF01
 from lexis.plans import q_models
 from lexis.plans.registry import queries
 
 
-def test_axis_models_have_all_buckets_and_iterations(spark, monkeypatch):
-    seen, real = [], MD.count_features
-
-    def features(df, text_col="text", num_features=MD.HASH_FEATURES, **options):
-        seen.append(num_features)
-        return real(df, text_col, num_features, **options)
+def test_linear_models_have_all_buckets_and_iterations(spark, monkeypatch):
+    seen = []
 
     class Stop(Exception):
         pass
 
-    class Fit:
-        def __init__(self, stages):
-            seen.extend(s.getMaxIter() for s in stages if isinstance(s, MD.LogisticRegression))
-
-        def fit(self, df):
-            raise Stop
-    monkeypatch.setattr(MD, "count_features", features)
-    monkeypatch.setattr(q_models, "Pipeline", Fit)
-    try:
-        q_models._axis_predictions(spark, SF01)
-    except Stop:
-        pass
-    assert seen == [1 << 18] + [100] * 4
+    def fit(data, heads, n_features, loss, **options):
+        seen.append((heads, n_features, loss, options["max_iter"]))
+        raise Stop
+    monkeypatch.setattr(q_models.LN, "fit", fit)
+    for name in ("model_axes", "model_logreg", "model_linear_svc"):
+        with pytest.raises(Stop):
+            queries()[name](spark, SF001)
+    assert seen == [(4, 1 << 18, "sigmoid", 100), (16, 1 << 18, "softmax", 100), (16, 1 << 18, "hinge", 10)]
+
+
+def test_batch_scores_follow_the_texts(spark):
+    """Axis IE says whether a document is English.  Persons' chunks (a person's label comes
+    from another text) are judged by a model that saw none of them."""
+    p = queries()["batch_score"](spark, SF01).toPandas()
+    assert p[["person_id", "chunk_no"]].drop_duplicates().shape[0] == len(p)
+    texts = queries()["pack_by_person"](spark, SF01).toPandas()
+    both = p.merge(texts, on=["person_id", "chunk_no"])
+    assert len(both) == len(texts) == len(p)
+    long = both[both.chunk.str.len() > 200]
+    english = long.chunk.str.contains(r"\b(?:the|and|of)\b").astype(int)
+    assert 0.1 < english.mean() < 0.9 and (long.pred_ie == english).mean() > 0.9
 
 
 def test_axis_models_on_a_larger_table(spark):
