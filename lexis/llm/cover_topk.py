@@ -119,10 +119,11 @@ def fit_tree(sample: np.ndarray, leaf_rows: int = LEAF_SHARE) -> Tree:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows."""
-    if a.size and b.size and float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2.0 ** 53:
+    """Inner products of integer rows: exact, and held at -LARGEST or LARGEST beyond 64 bits."""
+    if not a.size or not b.size or float(np.abs(a.astype(np.float64)).max()) * float(np.abs(b.astype(np.float64)).max()) * a.shape[1] < 2.0 ** 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return (a.astype(object) @ b.astype(object).T).astype(np.int64)
+    whole = a.astype(object) @ b.astype(object).T
+    return np.minimum(np.maximum(whole, -LARGEST), LARGEST).astype(np.int64)
 
 
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -180,14 +181,17 @@ def _top(ids_q, ids_d, score, bound, k):
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
 
 
+#: what stands for "no score yet"; scores lie between -LARGEST and LARGEST
 LOWEST = np.iinfo(np.int64).min
+LARGEST = np.iinfo(np.int64).max
 
 
 class TopK:
     """See the module's text.  Vectors that are null or hold null or non-finite
     components take no part; shorter vectors count as filled with 0; null ids
     take no part; of rows with the same id each is a candidate of its own (a
-    query is the first of its id by vector).  An empty table gives an empty result."""
+    query is the first of its id by vector).  Components and scores beyond 64 bits are
+    held at the ends of their range.  An empty table gives an empty result."""
 
     def __init__(self, vectors: DataFrame, queries_where, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
                  block_rows: int = BLOCK_ROWS, sample: int = SAMPLE):
@@ -315,7 +319,7 @@ class TopK:
         worst = np.full(len(self.tree.centre), np.inf)
         for r in bounds.groupBy("leaf").agg(F.min("bound").alias("m")).collect():                   # one row a leaf
             for node in self.tree.path(r["leaf"]):
-                worst[node] = min(worst[node], -np.inf if r["m"] == LOWEST else float(r["m"]))
+                worst[node] = min(worst[node], -np.inf if r["m"] <= -LARGEST else float(r["m"]))
 
         pairs = set(walk(self.tree, self.rq, self.rd, worst, self.has_q, self.has_d))
         q = self._blocks(bounds.repartitionByRange("leaf", "id"), "q")

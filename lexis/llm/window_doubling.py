@@ -2,21 +2,26 @@
 
 A window is ``window`` consecutive words of one document.  A word goes if a
 window over it has the word sequence of a window of a document with a smaller
-id.  Repeated windows are found level by level, at half the length first:
+id.  Repeated windows are found level by level, each of twice the length of the
+one before (13, 25, 50 words for a window of 50; 13, 25, 50, 100, 200 for 200):
 
-1. Windows of ``window / 2`` words.  Each full window names one of the half
-   windows inside it, the one with the smallest hash, so equal full windows
-   name equal half windows, and only about one position in thirteen is named.
-   A named half window that no other document names is not repeated.
-2. Only full windows whose named half window is repeated are hashed (128 bits)
-   and compared; no other candidate survives.
+* At each level a full window names one of the windows of the level's length
+  inside it, the one with the smallest hash, so equal full windows name equal
+  ones, and only a part of all positions is named (one in twenty at 13 words).
+* A name that no other document has is not repeated, and no window that names it
+  is; the others alone are extended to twice the length.
+* It ends when no candidate survives, or at the full length, where windows are
+  compared by 128 bits.
+
+The first level reads all documents; the surviving positions go on as stored
+tables of keys and hashes, one for each level.
 
 Documents with equal word sequences are found first by a digest of the whole
 sequence: only the one with the smallest id takes part in the levels (it has
 every window of the others), the others lose all words that lie in a window.
 
 Hashes shuffle, texts don't, but for one join that fetches the documents that
-hold a repeated half window.  Counts per hash are combined on the map side;
+hold a repeated name of the first level.  Counts per hash are combined on the map side;
 joins on a hash are plain joins of two stored tables, whose skewed partitions
 adaptive execution splits, so a passage that a third of all documents share is
 many tasks' work.  No group is gathered: what a task collects is bounded by
@@ -36,6 +41,8 @@ from pyspark.sql import functions as F
 from lexis.llm.common import Stored, window_hash, word_slices
 
 WINDOW = 50
+#: the first level's length is at least half of this, and no more
+SHORTEST = 24
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -50,10 +57,17 @@ def sliding(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
     return op(y[:m], y[width - k:width - k + m])
 
 
-def named_half(h: np.ndarray, window: int) -> np.ndarray:
-    """For each full window the hash of the half window that it names."""
-    half = window // 2
-    return sliding(window_hash(h, half), window - half + 1, np.minimum)
+def lengths(window: int) -> list[int]:
+    """The levels' lengths: each is half the next one (rounded up), the last is ``window``."""
+    out = [window]
+    while out[0] > SHORTEST or len(out) == 1:
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
+def named(h: np.ndarray, window: int, width: int) -> np.ndarray:
+    """For each full window the hash of the window of ``width`` words that it names."""
+    return sliding(window_hash(h, width), window - width + 1, np.minimum)
 
 
 def _kept(data: np.ndarray, start: np.ndarray, end: np.ndarray, keep: np.ndarray | None = None) -> str:
@@ -63,43 +77,48 @@ def _kept(data: np.ndarray, start: np.ndarray, end: np.ndarray, keep: np.ndarray
 
 
 def _summaries(window: int):
-    """doc_id, key, text -> doc_id, key, n_words, sha (of all words), named (half windows)."""
+    """doc_id, key, text -> doc_id, key, n_words, sha (of all words), named (at the first level)."""
+    width = lengths(window)[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n_words, shas, named = [], [], []
+            n_words, shas, names = [], [], []
             for w in word_slices(b.column(2)):
                 raw = w.data.tobytes()
                 for d in range(w.n_docs):
                     i, j = w.at[d], w.at[d + 1]
                     n_words.append(int(j - i))
                     shas.append(hashlib.sha256(b" ".join(raw[w.offsets[d]:w.offsets[d + 1]].split())).hexdigest())
-                    named.append(np.unique(named_half(w.hash[i:j], window)).view(np.int64) if j - i >= window else [])
+                    names.append(np.unique(named(w.hash[i:j], window, width)).view(np.int64) if j - i >= window else [])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(shas, pa.string()),
-                 pa.array(named, pa.list_(pa.int64()))], ["doc_id", "key", "n_words", "sha", "named"])
+                 pa.array(names, pa.list_(pa.int64()))], ["doc_id", "key", "n_words", "sha", "named"])
     return run
 
 
-def _full_windows(window: int):
-    """doc_id, key, text, named (repeated ones) -> doc_id, key, a, b (hash), at (first word)."""
+def _extended(window: int):
+    """doc_id, key, text, named (repeated at the first level) -> for each full window that
+    names one of them: doc_id, key, at (first word), g1 .. (its names at the next levels), a, b (its hash)."""
+    first, *middle, _ = lengths(window)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)
             for w in word_slices(batch.column(2)):
-                doc, a, b, at = [], [], [], []
+                doc, at, hashes = [], [], [[] for _ in range(len(middle) + 2)]
                 for d in range(w.n_docs):
                     h = w.hash[w.at[d]:w.at[d + 1]]
                     alive = np.asarray(lists[w.first + d].values).view(np.uint64)
-                    ok = np.flatnonzero(np.isin(named_half(h, window), alive))
+                    ok = np.flatnonzero(np.isin(named(h, window, first), alive))
                     doc.append(np.full(len(ok), w.first + d))
                     at.append(ok)
-                    a.append(window_hash(h, window)[ok].view(np.int64))
-                    b.append(window_hash(h, window, 1)[ok].view(np.int64))
+                    for out, x in zip(hashes, [*[named(h, window, m) for m in middle], window_hash(h, window), window_hash(h, window, 1)]):
+                        out.append(x[ok].view(np.int64))
                 rows = pa.array(np.concatenate(doc))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate(a)),
-                     pa.array(np.concatenate(b)), pa.array(np.concatenate(at).astype(np.int32))],
-                    ["doc_id", "key", "a", "b", "at"])
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate(at).astype(np.int32)),
+                     *[pa.array(np.concatenate(x)) for x in hashes]],
+                    ["doc_id", "key", "at", *[f"g{i + 1}" for i in range(len(middle))], "a", "b"])
     return run
 
 
@@ -158,21 +177,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                         .where("doc_id > lead").select("doc_id", "key").distinct())
     lone = long.select("doc_id", "key", "named").join(copies, ["doc_id", "key"], "left_anti")
 
-    # half windows that two documents name
-    named = stored.put(lone.select("doc_id", "key", F.explode("named").alias("g")))
-    again = stored.put(named.groupBy("g").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                       .where("lo < hi").select(F.col("g").alias("_g")))
-    alive = named.join(again, F.col("g") == F.col("_g")).groupBy("doc_id", "key").agg(F.collect_set("g").alias("named"))
+    def repeated(rows: DataFrame, *by: str) -> DataFrame:
+        """The values of ``by`` that two documents have, with the smaller id."""
+        found = rows.groupBy(*by).agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
+        return stored.put(found.select(*[F.col(c).alias(f"_{c}") for c in by], "lead"))
+
+    # first level: names of all documents
+    names = stored.put(lone.select("doc_id", "key", F.explode("named").alias("g")))
+    alive = names.join(repeated(names, "g"), F.col("g") == F.col("_g")).groupBy("doc_id", "key").agg(F.collect_set("g").alias("named"))
     alive = stored.put(alive)
     texts = src.where(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "_d").withColumnRenamed("key", "_k")
     some = texts.join(alive, (F.col("_d") == F.col("doc_id")) & (F.col("_k") == F.col("key"))) \
         .select("doc_id", "key", "text", "named").dropDuplicates(["doc_id", "key"])
     some = stored.put(some)
 
-    # full windows over them
-    full = stored.put(some.mapInArrow(_full_windows(window), f"doc_id {id_type}, key long, a long, b long, at int"))
-    first = stored.put(full.groupBy("a", "b").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
-                       .where("lead < last").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "lead"))
+    # the next levels: full windows whose names were repeated so far
+    between = [f"g{i + 1}" for i in range(len(lengths(window)) - 2)]
+    full = stored.put(some.mapInArrow(_extended(window), f"doc_id {id_type}, key long, at int, " + "".join(f"{g} long, " for g in between) + "a long, b long"))
+    for g in between:
+        if full.limit(1).count() == 0:
+            break                                          # no candidate survives
+        full = stored.put(full.join(repeated(full, g), F.col(g) == F.col(f"_{g}")).drop(g, f"_{g}", "lead"))
+    first = repeated(full, "a", "b")
     gone = full.join(first, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))).where("doc_id > lead") \
         .groupBy("doc_id", "key").agg(F.collect_set("at").alias("at"))
     gone = stored.put(gone).withColumnRenamed("doc_id", "_d").withColumnRenamed("key", "_k")

@@ -90,6 +90,32 @@ def test_repeated_windows(spark):
     assert wd.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_levels_double_and_prune(spark, monkeypatch):
+    """A window of 200 words takes five levels; shorter repeats are dropped on the way."""
+    assert wd.lengths(50) == [13, 25, 50] and wd.lengths(200) == [13, 25, 50, 100, 200] and wd.lengths(2) == [1, 2]
+    word = iter(range(10 ** 6))
+
+    def fresh(n):
+        return [f"w{next(word)}" for _ in range(n)]
+    long, medium, short = fresh(230), fresh(120), fresh(30)
+    rows = [(i, " ".join(fresh(20) + long + fresh(7) + medium + fresh(90) + short + fresh(i))) for i in range(4)]
+    rows += [(9, " ".join(medium + fresh(100))), (10, " ".join(short + fresh(200))), (11, " ".join(long[:199] + fresh(50))), (12, " ".join(fresh(300)))]
+    seen, real = [], wd.Stored.put
+
+    def put(self, df):
+        out = real(self, df)
+        if "at" in df.columns and "a" in df.columns:
+            seen.append((len([c for c in df.columns if c.startswith("g")]), out.count(), out.select("doc_id").distinct().count()))
+        return out
+    monkeypatch.setattr(wd.Stored, "put", put)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r)[:4] for r in wd.remove_repeats(df.repartition(3), window=200).collect()), key=str)
+    assert got == brute_words(rows, 200)
+    assert sorted(r[2] for r in got) == [0] * 5 + [230] * 3
+    assert [s[0] for s in seen] == [3, 2, 1, 0]                         # names left after each level
+    assert all(x[1] >= y[1] for x, y in zip(seen, seen[1:])) and seen[0][1] > seen[-1][1] and seen[0][2] > seen[-1][2]
+
+
 def test_repeated_windows_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     got = sorted(map(tuple, queries()["op10_window_doubling"](spark, SF001).collect()), key=str)

@@ -54,6 +54,22 @@ def test_top_k(spark):
     assert sorted(map(tuple, ct.top_k(few, lambda i: i % 10 == 0).collect())) == brute([r for r in rows if r[0] in (20, 21, 30)], 10)
 
 
+def test_huge_components_and_scores(spark):
+    """Components and scores beyond 64 bits are held at the ends of the range, ties to the smaller id."""
+    top = 2 ** 63 - 1
+    rows = [(i, [float(i), -1.0]) for i in range(1, 30)]
+    rows += [(100, [1e17, 0.0]), (101, [1e300, 1e300]), (102, [-1e300, 3.0]), (110, [-1e17, -1e300]), (103, [1e8, 1e8]), (104, [1e8, 1e8])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [max(-top - 1, min(top, math.floor(256 * x))) for x in v]) for i, v in rows]
+    want = []
+    for i, v in whole:
+        if i % 10 == 0:
+            s = sorted((-max(-top, min(top, sum(a * b for a, b in zip(v, w)))), j) for j, w in whole if j != i)[:5]
+            want += [(i, r + 1, j, -x) for r, (x, j) in enumerate(s)]
+    for opt in ({}, {"block_rows": 4, "sample": 9}):
+        assert sorted(map(tuple, ct.top_k(df.repartition(3), lambda i: i % 10 == 0, **opt).collect())) == sorted(want)
+
+
 def test_walk_prunes_and_is_exact():
     rnd = np.random.default_rng(3)
     x = np.concatenate([rnd.normal(size=(200, 4)) * 5 + c for c in ([300, 0, 0, 0], [-300, 0, 0, 0], [0, 300, 0, 0], [0, 0, 300, 0])])
