@@ -81,10 +81,12 @@ def write_requests(df: DataFrame, path: str, rows_per_file: int | None = None, m
 
 
 def stream_scores(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, max_files: int = 1000,
-                  clean_source: str = "off", **kw) -> None:
+                  clean_source: str = "delete", **kw) -> None:
     """Run the request stream until every available file is consumed
     (``availableNow``), appending results as Parquet with exactly-once
-    file-sink semantics."""
+    file-sink semantics.  A consumed request leaves the source once its batch is
+    committed (``clean_source``: ``delete``, ``archive`` or ``off``; the files of the
+    last batch go at the latest with the next run)."""
     src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files) \
         .option("cleanSource", clean_source).json(in_dir)
     q = request_pipeline(src, **kw).writeStream.format("parquet").outputMode("append") \
@@ -133,17 +135,19 @@ def score_requests_with_model(df: DataFrame, model, id_col: str = "request_id",
 
 
 def stream_scores_with_model(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, model,
-                             max_files: int = 1000) -> None:
+                             max_files: int = 1000, clean_source: str = "delete") -> None:
     """Streaming variant: every micro-batch is scored as a batch (the model
     works on chunk rows) and written to ``out_dir/epoch=<id>`` with overwrite,
-    so a micro-batch replayed after a failure replaces its own output."""
+    so a micro-batch replayed after a failure replaces its own output.  Consumed
+    requests leave the source as in ``stream_scores``."""
     import os
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         score_requests_with_model(batch, model).write.mode("overwrite") \
             .parquet(os.path.join(out_dir, f"epoch={epoch_id}"))
 
-    src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files).json(in_dir)
+    src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files) \
+        .option("cleanSource", clean_source).json(in_dir)
     q = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
