@@ -94,6 +94,13 @@ def tfidf_vectors(docs: DataFrame, vocab: DataFrame, n_docs: int, id_col: str =
     return PipelineModel(stages=[cv, ep, nm]).transform(base).select(id_col, "features")
 
 
+def ngram_sets(tokens, n: int) -> Column:
+    """The distinct n-grams of a token array, words joined by a space."""
+    t = F.col(tokens) if isinstance(tokens, str) else tokens
+    places = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice(t, i, n), " ")))
+
+
 def ngram_presence(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    ns=(2, 3, 4), num_features: int = 1 << 18) -> DataFrame:
     """Binary hashed n-gram presence features for n in ``ns`` (Spark ML NGram +
@@ -148,14 +155,44 @@ def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col:
 # ---------------------------------------------------------------------------
 # lemmas
 # ---------------------------------------------------------------------------
+# Irregular English forms and their base forms.
+LEMMA_EXCEPTIONS = {
+    "children": "child", "men": "man", "women": "woman", "people": "person", "feet": "foot", "teeth": "tooth", "geese": "goose",
+    "mice": "mouse", "oxen": "ox", "dice": "die", "wolves": "wolf", "leaves": "leaf", "criteria": "criterion", "phenomena": "phenomenon",
+    "analyses": "analysis", "crises": "crisis", "indices": "index", "vertices": "vertex", "news": "news", "series": "series",
+    "species": "species", "better": "good", "best": "good", "worse": "bad", "worst": "bad", "was": "be", "were": "be", "been": "be",
+    "went": "go", "gone": "go", "had": "have", "has": "have", "did": "do", "done": "do", "said": "say", "made": "make", "took": "take",
+    "taken": "take", "came": "come", "saw": "see", "seen": "see", "knew": "know", "known": "know", "got": "get", "gave": "give",
+    "given": "give", "thought": "think", "told": "tell", "felt": "feel", "left": "leave", "kept": "keep", "began": "begin", "wrote": "write"}
+
+# Suffixes and what replaces them, the longest suffix first; of equal ones the likelier.
+LEMMA_RULES = [("ches", "ch"), ("shes", "sh"), ("sses", "ss"), ("xes", "x"), ("zes", "z"), ("oes", "o"), ("ves", "ve"), ("ves", "f"),
+               ("ves", "fe"), ("ies", "y"), ("ies", "ie"), ("ied", "y"), ("men", "man"), ("ing", ""), ("ing", "e"), ("es", "e"), ("es", ""),
+               ("ed", "e"), ("ed", ""), ("s", "")]
+
+
+def lemma_candidates(word) -> Column:
+    """The base forms that the rules propose for a word of more than three letters, in
+    the rules' order (null where a rule does not apply); a word in -ss, -us or -is is no plural."""
+    w = F.col(word) if isinstance(word, str) else word
+    plain = (F.length(w) > 3) & ~w.endswith("ss") & ~w.endswith("us") & ~w.endswith("is")
+    forms = []
+    for suffix, new in LEMMA_RULES:
+        stem = F.concat(F.substring(w, F.lit(1), F.length(w) - len(suffix)), F.lit(new))
+        forms.append(F.when(plain & w.endswith(suffix) & (F.length(stem) > 1), stem))
+    return F.array(*forms)
+
+
 def lemma_table(words: DataFrame, word_col: str = "word") -> DataFrame:
-    """A plural -> singular lemma table derived from a corpus vocabulary: a word
-    longer than 3 letters ending in a single ``s`` maps to its stem when the
-    stem is itself a word of the corpus."""
-    vocab = words.select(F.col(word_col).alias("word")).distinct()
-    cand = vocab.where((F.length("word") > 3) & F.col("word").endswith("s") & ~F.col("word").endswith("ss")) \
-        .withColumn("stem", F.expr("substring(word, 1, length(word) - 1)"))
-    return cand.join(vocab.select(F.col("word").alias("stem")), "stem").select("word", F.col("stem").alias("lemma"))
+    """``word, lemma`` for the words of a corpus: an irregular form's base form, or else the
+    first form proposed by the longest suffix that is itself a word of the corpus.
+    Other words, and null ones, have no row."""
+    vocab = words.select(F.col(word_col).alias("word")).where(F.col(word_col).isNotNull()).distinct()
+    known = F.create_map(*[F.lit(x) for pair in LEMMA_EXCEPTIONS.items() for x in pair])
+    odd = vocab.select("word", F.try_element_at(known, "word").alias("lemma"))
+    forms = odd.where("lemma IS NULL").select("word", F.posexplode(lemma_candidates("word")).alias("rank", "stem")).where("stem IS NOT NULL")
+    hits = forms.join(vocab.select(F.col("word").alias("stem")), "stem").groupBy("word").agg(F.min_by("stem", "rank").alias("lemma"))
+    return odd.where("lemma IS NOT NULL").unionByName(hits)
 
 
 def apply_lemmas(word_rows: DataFrame, lemmas: DataFrame, word_col: str = "word") -> DataFrame:

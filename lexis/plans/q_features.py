@@ -91,12 +91,18 @@ def tfidf_vectors(spark, d):
                     F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
 
 
-@query("ngram_features")
+@query("ngram_features", f"""
+WITH x AS (SELECT doc_id, regexp_extract_all(lower(text), '{TOK}') AS toks FROM documents),
+t AS (SELECT doc_id, unnest(range(len(toks))) AS pos, unnest(toks) AS a FROM x),
+l AS (SELECT doc_id, a, lead(a) OVER w AS b, lead(a, 2) OVER w AS c, lead(a, 3) OVER w AS e FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+n AS (SELECT doc_id, count(DISTINCT a || ' ' || b) AS n_2, count(DISTINCT a || ' ' || b || ' ' || c) AS n_3,
+             count(DISTINCT a || ' ' || b || ' ' || c || ' ' || e) AS n_4 FROM l GROUP BY doc_id)
+SELECT x.doc_id, """ + ", ".join(f"CAST(coalesce(n_{n}, 0) AS INTEGER) AS n_{n}" for n in (2, 3, 4)) + """ FROM x LEFT JOIN n ON n.doc_id = x.doc_id""")
 def ngram_features(spark, d):
-    """Hashed binary 2/3/4-gram presence features (Spark ML)."""
-    from pyspark.ml.functions import vector_to_array
-    v = FT.ngram_presence(_docs(spark, d), "doc_id", "text", (2, 3, 4), 1 << 14)
-    return v.select("doc_id", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("n_active"))
+    """2/3/4-gram presence of each document: how many distinct n-grams are present,
+    counted in the row (the networks hash the same sets, see ``features.ngram_presence``)."""
+    toks = _docs(spark, d).select("doc_id", T.word_tokens("text").alias("toks"))
+    return toks.select("doc_id", *[F.size(FT.ngram_sets("toks", n)).alias(f"n_{n}") for n in (2, 3, 4)])
 
 
 @query("stopwords_anti_join", f"""

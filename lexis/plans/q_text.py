@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions import text as T
 from lexis.operators import clean as C
-from lexis.operators.features import lemma_table
+from lexis.operators.features import LEMMA_EXCEPTIONS, LEMMA_RULES, lemma_table
 from lexis.plans import sqlviews as S
 from lexis.plans.registry import query
 from lexis.sources import tables as V
@@ -184,13 +184,22 @@ def clean_long(spark, d):
     return V.tagged_docs(spark, d).select("doc_id", C.clean_long_col(F.col("text")).alias("clean"))
 
 
-# lemma-table bag-of-words clean: lemma table derived from the corpus itself
+# lemma-table bag-of-words clean: forms by suffix rules, checked against the corpus's own words
+def _lemma_sql() -> str:
+    forms = ", ".join(f"CASE WHEN word LIKE '%{x}' THEN left(word, length(word) - {len(x)}) || '{y}' END" for x, y in LEMMA_RULES)
+    odd = ", ".join(f"('{k}', '{v}')" for k, v in LEMMA_EXCEPTIONS.items())
+    return f"""
+vocab AS (SELECT DISTINCT word FROM x),
+odd AS (SELECT * FROM (VALUES {odd}) t(word, lemma)),
+c AS (SELECT word, unnest([{forms}]) AS stem, unnest(range({len(LEMMA_RULES)})) AS k FROM vocab
+      WHERE length(word) > 3 AND NOT regexp_matches(word, '(ss|us|is)$') AND word NOT IN (SELECT word FROM odd)),
+lem AS (SELECT c.word, arg_min(c.stem, c.k) AS lemma FROM c JOIN vocab v ON v.word = c.stem WHERE length(c.stem) > 1 GROUP BY c.word
+        UNION ALL SELECT v.word, o.lemma FROM vocab v JOIN odd o ON o.word = v.word)"""
+
+
 @query("txt_lemma_join", S.with_(S.TAGGED_CTE, f"""
 w AS (SELECT doc_id, {S.clean_bow_words('text')} AS ws FROM tagged),
-x AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS pos FROM w),
-vocab AS (SELECT DISTINCT word FROM x),
-lem AS (SELECT v.word, s.word AS lemma FROM vocab v JOIN vocab s
-        ON length(v.word) > 3 AND v.word LIKE '%s' AND NOT v.word LIKE '%ss' AND s.word = left(v.word, length(v.word) - 1)),
+x AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS pos FROM w),""" + _lemma_sql() + f""",
 y AS (SELECT x.doc_id, x.pos, coalesce(lem.lemma, x.word) AS word FROM x LEFT JOIN lem ON x.word = lem.word),
 z AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS s FROM y GROUP BY doc_id)""") + f"""
 SELECT t.doc_id, {S.strip_label_words("coalesce(z.s, '')")} AS clean FROM tagged t LEFT JOIN z ON t.doc_id = z.doc_id""")
