@@ -95,6 +95,14 @@ def store(df: DataFrame, name: str = "table", compression: str = "snappy") -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstore(df: DataFrame) -> None:
+    """Delete a table that ``store`` wrote and that nothing will read any more."""
+    sc = df.sparkSession.sparkContext
+    for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete everything below ``lexis-scratch`` of the shared folder that this
     application wrote.  Call it when the results are consumed: queries that
