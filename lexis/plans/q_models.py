@@ -122,7 +122,7 @@ def model_gbt(spark, d):
     """Boosted trees: 200 rounds of one tree for each of the 16 classes, depth 6, on 2^18 hashed counts."""
     sp = store(_split(_tokens(_cleaned(spark, d))), "sides")
     rows = sp.select("split", F.col("doc_id").alias("id"), F.col("label").cast("int").alias("y"), LN.hashed("tok", MD.HASH_FEATURES).alias("buckets"))
-    model = BO.fit(rows.where("split = 'train'"), 16, rounds=200)
+    model = BO.fit(rows.where("split = 'train'"), 16, MD.HASH_FEATURES, rounds=200)
     z = model.scores(rows.where("split = 'test'"))
     return z.select(F.col("id").alias("doc_id"), F.col("y").alias("label"), LN.argmax("z").alias("prediction"))
 
