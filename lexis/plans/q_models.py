@@ -106,7 +106,7 @@ SELECT r.doc_id, r.label, CASE WHEN r.rk < sz.n_test THEN 'test' ELSE 'train' EN
 @query("model_split", _SPLIT_SQL)
 def model_split(spark, d):
     """The side and class of every usable document, as all count models see them."""
-    return _split(_cleaned(spark, d).select("doc_id", "label", "text")).select(
+    return _split(store(_cleaned(spark, d).select("doc_id", "label"), "usable")).select(
         "doc_id", F.col("label").cast("int").alias("label"), "split")
 
 

@@ -20,3 +20,8 @@ def test_class_probabilities_read_the_text_once(spark):
     assert abs(sum(got[1]) - 1) < 1e-9 and abs(sum(got[2]) - 1) < 1e-9 and got[3] == [None] * 16
     assert s.columns == ["id", "text", *[f"{c}_{a}" for a in ("ie", "ns", "ft", "jp") for c in ("logit", "p", "pred")]]
     assert plan(queries()["confusion_soft"](spark, SF001)).count("regexp_extract_all") == 1
+
+
+def test_split_of_the_models_cleans_once(spark):
+    r = queries()["model_split"](spark, SF001)
+    assert "regexp_replace" not in plan(r) and r.where(F.col("split") == "test").count() > 0
