@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from lexis.functions import text as T
 from lexis.operators import clean as C
 from lexis.operators.features import LEMMA_EXCEPTIONS, LEMMA_RULES, lemma_table
+from lexis.operators.ranking import bounded_broadcast
 from lexis.plans import sqlviews as S
 from lexis.plans.registry import query
+from lexis.session import store
 from lexis.sources import tables as V
 
 
@@ -205,7 +207,7 @@ z AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS s FROM y GROUP BY doc
 SELECT t.doc_id, {S.strip_label_words("coalesce(z.s, '')")} AS clean FROM tagged t LEFT JOIN z ON t.doc_id = z.doc_id""")
 def txt_lemma_join(spark, d):
     t = V.tagged_docs(spark, d).select("doc_id", "text")
-    words = t.select(F.explode(C.clean_bow_words("text")).alias("word"))
-    lem = lemma_table(words)
-    out = C.clean_bow(t, "text", lemmas=lem)
-    return out.select("doc_id", F.coalesce("clean", F.lit("")).alias("clean"))
+    w = store(t.select("doc_id", C.clean_bow_words("text").alias("words")), "words")      # the cleaned chain runs once
+    lem = bounded_broadcast(store(lemma_table(w.select(F.explode("words").alias("word"))), "lemmas"))
+    out = w.select("doc_id").join(C.lemmatised(w, lem), "doc_id", "left")
+    return out.select("doc_id", F.coalesce(T.strip_label_words("clean"), F.lit("")).alias("clean"))

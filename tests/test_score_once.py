@@ -25,3 +25,8 @@ def test_class_probabilities_read_the_text_once(spark):
 def test_split_of_the_models_cleans_once(spark):
     r = queries()["model_split"](spark, SF001)
     assert "regexp_replace" not in plan(r) and r.where(F.col("split") == "test").count() > 0
+
+
+def test_lemma_join_cleans_once(spark):
+    r = queries()["txt_lemma_join"](spark, SF001)
+    assert "\\.[^a-zA-Z]" not in plan(r) and "http" not in plan(r)
