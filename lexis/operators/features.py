@@ -7,8 +7,14 @@ joins, aggregates and oracles use; ML vectors are built at the edge.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from lexis.functions import text as T
 from lexis.operators.ranking import bounded_broadcast, global_dense_rank, global_row_number
@@ -81,9 +87,10 @@ def tfidf_vectors(docs: DataFrame, vocab: DataFrame, n_docs: int, id_col: str =
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
     from pyspark.ml.linalg import Vectors
-    if vocab.count() > max_terms:
+    rows = vocab.select("term", "df").limit(max_terms + 1).collect()        # read once: counting it first would make it twice
+    if len(rows) > max_terms:
         raise ValueError(f"vocabulary larger than {max_terms} terms; use the long form")
-    rows = vocab.orderBy("term").select("term", "df").collect()
+    rows.sort(key=lambda r: r["term"])
     terms = [r["term"] for r in rows]
     import math
     idf = Vectors.dense([math.log((1 + n_docs) / (1 + r["df"])) + 1 for r in rows])
@@ -134,19 +141,42 @@ def encode(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataF
     """Token rows (id, pos, term) -> one id array per document in position order;
     unknown terms -> UNK_ID.  The vocabulary is broadcast when its counted size
     is bounded (no shuffle of the token stream by term, so frequent terms do
-    not skew); a shuffled join otherwise."""
+    not skew); a shuffled join otherwise.  Position and id travel as one whole
+    number, position first."""
     j = tokens.join(bounded_broadcast(vocab.select("term", "id")), "term", "left") \
-        .select(id_col, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
+        .select(id_col, (F.shiftleft(F.col("pos").cast("long"), 32) + F.coalesce("id", F.lit(UNK_ID))).alias("_at"))
     return j.groupBy(id_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias("tokens"))
-
-
-def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
-    """Id arrays -> text (inverse join, re-assembled in position order)."""
+        F.transform(F.sort_array(F.collect_list("_at")), lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("tokens"))
+
+
+def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", max_terms: int = 1_000_000) -> DataFrame:
+    """Id arrays -> text (inverse lookup in position order).
+
+    A vocabulary of at most ``max_terms`` terms whose ids run from ``FIRST_ID`` without
+    gaps is one array of terms that every task holds: an id is a place in it, so
+    no token leaves its row (one row for each id, as from ``encode``).  Others are joined
+    and the rows re-assembled.  An id without tokens has no row."""
+    terms = vocab.select("term", "id")
+    n, low, high, known = terms.agg(F.count(F.lit(1)), F.min("id"), F.max("id"), F.count_distinct("id")).first()
+    special = lambda i: F.when(i == PAD_ID, F.lit("[PAD]")).otherwise(F.lit("[UNK]"))
+    if 0 < n <= max_terms and n == known and (low, high) == (FIRST_ID, FIRST_ID + n - 1):
+        held = terms.toArrow().sort_by("id")["term"].to_pylist()
+        held = pa.array(["[PAD]", "[UNK]", *held], pa.large_string())
+
+        def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                lists = b.column(tokens_col)
+                at = pc.fill_null(lists.flatten(), UNK_ID)
+                at = pc.if_else(pc.and_(pc.greater_equal(at, PAD_ID), pc.less(at, len(held))), at, UNK_ID)
+                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
+                text = pc.binary_join(pa.LargeListArray.from_arrays(bounds, held.take(at)), pa.scalar(" ", pa.large_string()))
+                yield pa.RecordBatch.from_arrays([b.column(id_col), text.cast(pa.string())], [id_col, "text"])
+        schema = Ty.StructType([ids.schema[id_col], Ty.StructField("text", Ty.StringType())])
+        return ids.where(F.size(tokens_col) > 0).select(id_col, tokens_col).mapInArrow(words, schema)
     x = ids.select(id_col, F.posexplode(tokens_col).alias("pos", "id"))
-    j = x.join(bounded_broadcast(vocab.select("term", "id")), "id", "left") \
-        .select(id_col, "pos", F.coalesce("term", F.when(F.col("id") == PAD_ID, F.lit("[PAD]"))
-                                          .otherwise(F.lit("[UNK]"))).alias("term"))
+    j = x.join(bounded_broadcast(terms), "id", "left") \
+        .select(id_col, "pos", F.coalesce("term", special(F.col("id"))).alias("term"))
     return j.groupBy(id_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda s: s["term"]), " ")
         .alias("text"))
@@ -197,7 +227,7 @@ def lemma_table(words: DataFrame, word_col: str = "word") -> DataFrame:
 
 def apply_lemmas(word_rows: DataFrame, lemmas: DataFrame, word_col: str = "word") -> DataFrame:
     """Replace each word by its lemma when the table has one (left join)."""
-    j = word_rows.join(lemmas.withColumnRenamed("word", "_w"), F.col(word_col) == F.col("_w"), "left")
+    j = word_rows.join(lemmas.select(F.col("word").alias("_w"), "lemma"), F.col(word_col) == F.col("_w"), "left")
     return j.withColumn(word_col, F.coalesce("lemma", word_col)).drop("_w", "lemma")
 
 

@@ -22,12 +22,12 @@ voc AS (SELECT st.term, st.tf, st.df FROM st, n WHERE st.df >= n.n * 0.1 AND st.
 """
 
 
-def _docs(spark, d):
-    return V.load(spark, d, "documents").select("doc_id", "text")
+def _docs(spark, d, by_key=False):
+    return V.load(spark, d, "documents", by_key).select("doc_id", "text")
 
 
 def _tf(spark, d, stop=None):
-    return FT.term_counts(FT.tokens_long(_docs(spark, d), "doc_id", "text", stop))
+    return FT.term_counts(FT.tokens_long(_docs(spark, d, True), "doc_id", "text", stop))
 
 
 @query("term_stats", _TF_CTE + "SELECT term, CAST(tf AS BIGINT) AS tf, df FROM st")
@@ -43,7 +43,7 @@ tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term)
 SELECT doc_id, term, tf, dense_rank() OVER (ORDER BY term) - 1 AS term_index FROM tf""")
 def count_vectors(spark, d):
     """Count vectors (stop words removed) in long form, term index = alphabetical."""
-    return FT.count_vectors_long(_docs(spark, d), "doc_id", "text", T.STOP_WORDS) \
+    return FT.count_vectors_long(_docs(spark, d, True), "doc_id", "text", T.STOP_WORDS) \
         .select("doc_id", "term", "tf", "term_index")
 
 
