@@ -118,6 +118,11 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1)
 
 
+def _lists_of(x: np.ndarray) -> pa.ListArray:
+    n, width = x.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(x.ravel()))
+
+
 def _radii(tree: BallTree):
     """node, radius, n over the rows of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,17 +147,20 @@ class Index:
     rows: np.ndarray
     buckets: np.ndarray                 # number of buckets of each leaf
 
-    def route(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For queries ``x``: pairs (query, leaf) that are left, and each query's bound."""
-        tree = self.tree
+    def bounds(self, x: np.ndarray, k: int) -> np.ndarray:
+        """For each query no less than the distance of its k-th nearest training row."""
         bound = np.full(len(x), np.inf)
         if len(self.sample) >= k:
-            step = max(1, (4 << 20) // len(self.sample))
+            step = max(1, (1 << 20) // len(self.sample))
             for s in range(0, len(x), step):
                 bound[s:s + step] = np.partition(_dist(x[s:s + step], self.sample), k - 1, axis=1)[:, k - 1]
-        bound = bound * (1 + 1e-6) + 1e-6                  # above the rounding of _dist
+        return bound * (1 + 1e-6) + 1e-6                   # above the rounding of _dist
+
+    def route(self, x: np.ndarray, bound: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """For queries ``x`` and their bounds: ``queries, leaf``, the rows of one group that
+        may have a neighbour in a leaf; pairs that are left are never held together."""
+        tree = self.tree
         own = tree.leaves(x)
-        queries, leaves = [], []
         for g in np.unique(own):
             rows = np.flatnonzero(own == g)
             centre = x[rows].mean(0)
@@ -170,11 +178,8 @@ class Index:
                     continue
                 d = np.sqrt(((x[rows] - tree.centre[node]) ** 2).sum(1))
                 kept = rows[d - self.radius[node] <= bound[rows] * (1 + SLACK)]
-                queries.append(kept)
-                leaves.append(np.full(len(kept), tree.leaf[node]))
-        if not queries:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), bound
-        return np.concatenate(queries), np.concatenate(leaves), bound
+                if len(kept):
+                    yield kept, int(tree.leaf[node])
 
 
 def fit_index(train: DataFrame, id_col: str, vec_col: str, n_leaves: int | None = None, sample_rows: int = 4096,
@@ -213,7 +218,7 @@ def _place(index: Index):
             bucket = salt.astype(np.int64) % index.buckets[leaf]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(leaf, pa.int32()), pa.array(bucket, pa.int32()), pa.array(np.zeros(len(x)), pa.int32()), b.column(0),
-                 pa.array(list(x), pa.list_(pa.float64())), pa.array(np.zeros(len(x)))],
+                 _lists_of(x), pa.array(np.zeros(len(x)))],
                 ["leaf", "bucket", "is_query", "id", "vec", "bound"])
     return run
 
@@ -225,20 +230,29 @@ def _route(index: Index, k: int, step: int = 1 << 14):
             if b.num_rows == 0:
                 continue
             x = _matrix(b.column(1))
-            q, leaf, bound = index.route(x, k)
-            n = index.buckets[leaf]
-            q, leaf = np.repeat(q, n), np.repeat(leaf, n)
-            bucket = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)
-            for s in range(0, len(q), step):
-                i = q[s:s + step]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf[s:s + step], pa.int32()), pa.array(bucket[s:s + step], pa.int32()), pa.array(np.ones(len(i)), pa.int32()),
-                     b.column(0).take(pa.array(i)), pa.array(list(x[i]), pa.list_(pa.float64())), pa.array(bound[i])],
+            bound = index.bounds(x, k)
+
+            def out(parts):
+                i, leaf, bucket = (np.concatenate(p) for p in zip(*parts))
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(leaf, pa.int32()), pa.array(bucket, pa.int32()), pa.array(np.ones(len(i)), pa.int32()),
+                     b.column(0).take(pa.array(i)), _lists_of(x[i]), pa.array(bound[i])],
                     ["leaf", "bucket", "is_query", "id", "vec", "bound"])
+            parts, held = [], 0
+            for rows, leaf in index.route(x, bound):
+                for bucket in range(index.buckets[leaf]):
+                    for s in range(0, len(rows), step):
+                        i = rows[s:s + step]
+                        parts, held = [*parts, (i, np.full(len(i), leaf), np.full(len(i), bucket))], held + len(i)
+                        if held >= step:
+                            yield out(parts)
+                            parts, held = [], 0
+            if parts:
+                yield out(parts)
     return run
 
 
-def _best(queries: np.ndarray, bound: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, cells: int = 1 << 22) -> tuple:
+def _best(queries: np.ndarray, bound: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, cells: int = 1 << 20) -> tuple:
     """(query row, id, distance) of the k nearest rows within the bound; ties to the smaller id."""
     out_q, out_n, out_d = [], [], []
     step = max(1, cells // max(1, len(x)))
@@ -247,8 +261,10 @@ def _best(queries: np.ndarray, bound: np.ndarray, x: np.ndarray, ids: np.ndarray
         slack = 1e-6 * (1 + near)
         kth = np.partition(near + slack, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
         i, j = np.nonzero(near - slack <= np.minimum(kth, bound[s:s + step])[:, None])
-        diff = queries[s + i] - x[j]
-        d = np.sqrt(np.einsum("ij,ij->i", diff, diff))     # exact for those that are left
+        d = np.empty(len(i))
+        for a in range(0, len(i), 1 << 16):                # many rows may be equally near
+            diff = queries[s + i[a:a + (1 << 16)]] - x[j[a:a + (1 << 16)]]
+            d[a:a + (1 << 16)] = np.sqrt(np.einsum("ij,ij->i", diff, diff))     # exact for those that are left
         order = np.lexsort((ids[j], d, i))
         i, j, d = i[order], j[order], d[order]
         first = np.searchsorted(i, i)                      # place of the query's first pair
@@ -312,8 +328,10 @@ def routed_share(train: DataFrame, test: DataFrame, id_col: str, vec_col: str, k
         per_leaf = index.rows[index.tree.leaf >= 0]
         for b in batches:
             if b.num_rows:
-                _, leaf, _ = index.route(_matrix(b.column(0)), k)
-                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([len(leaf)]), pa.array([int(per_leaf[leaf].sum())])], ["q", "p", "r"])
+                x, pairs, evaluated = _matrix(b.column(0)), 0, 0
+                for rows, leaf in index.route(x, index.bounds(x, k)):
+                    pairs, evaluated = pairs + len(rows), evaluated + len(rows) * int(per_leaf[leaf])
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([pairs]), pa.array([evaluated])], ["q", "p", "r"])
     got = test.select(F.col(vec_col).cast("array<double>")).mapInArrow(run, "q long, p long, r long")
     total = int(index.rows[0])
     return got.agg(F.sum("q").alias("queries"), F.lit(index.tree.n_leaves).alias("leaves"), F.sum("p").alias("pairs"),
