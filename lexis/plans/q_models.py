@@ -145,8 +145,8 @@ def model_logreg(spark, d):
 @query("model_rff_svm")
 def model_rff_svm(spark, d):
     """RBF-kernel SVM approximated by random Fourier features + linear SVC."""
-    x = _cleaned(spark, d).withColumn("tok", T.remove_stop_words(T.word_tokens("text")))
-    sp = _split(MD.random_fourier_features(x, "tok", 1 << 15, 128, gamma=0.01))
+    x = MD.random_fourier_features(_tokens(_cleaned(spark, d)), "tok", 1 << 15, 128, gamma=0.01)
+    sp = store(_split(x.select("doc_id", "label", "rff")), "sides")
     return _out(_fit_each_class(MD.linear_svc(10), sp.where("split = 'train'"), sp.where("split = 'test'"), "rff"))
 
 
