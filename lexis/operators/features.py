@@ -109,13 +109,13 @@ def ngram_sets(tokens, n: int) -> Column:
 
 
 def ngram_presence(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   ns=(2, 3, 4), num_features: int = 1 << 18) -> DataFrame:
+                   ns=(2, 3, 4), num_features: int = 1 << 18, keep: tuple[str, ...] = ()) -> DataFrame:
     """Binary hashed n-gram presence features for n in ``ns`` (Spark ML NGram +
     HashingTF + VectorAssembler): the column-parallel stand-in for a bank of
-    2/3/4-wide convolutions with max pooling."""
+    2/3/4-wide convolutions with max pooling.  Columns in ``keep`` stay beside them."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
-    base = df.select(id_col, T.word_tokens(text_col).alias("_tok"))
+    base = df.select(id_col, *keep, T.word_tokens(text_col).alias("_tok"))
     stages, outs = [], []
     for n in ns:
         stages.append(NGram(n=n, inputCol="_tok", outputCol=f"_ng{n}"))
@@ -123,7 +123,7 @@ def ngram_presence(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         outs.append(f"_h{n}")
     stages.append(VectorAssembler(inputCols=outs, outputCol="features"))
     model = Pipeline(stages=stages).fit(base)
-    return model.transform(base).select(id_col, "features")
+    return model.transform(base).select(id_col, *keep, "features")
 
 
 # ---------------------------------------------------------------------------

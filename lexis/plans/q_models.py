@@ -19,6 +19,7 @@ from lexis.operators import clean as C
 from lexis.operators import features as FT
 from lexis.operators import linear as LN
 from lexis.operators import models as MD
+from lexis.operators import perceptron as PC
 from lexis.operators import split as SP
 from lexis.plans import sqlviews as S
 from lexis.plans.registry import query
@@ -189,10 +190,12 @@ NGRAM_FEATURES = 1 << 11
 
 
 def _ngram_data(spark, d):
+    """Training and test rows with their features; rows are split with their texts, so that
+    the features of a side are made for its rows alone."""
     a = V.axes(spark, d).select("doc_id", "text", "code", "b_ie")
-    v = FT.ngram_presence(a, "doc_id", "text", (2, 3, 4), NGRAM_FEATURES)
-    sp = _split(v.join(a.select("doc_id", F.col("code").alias("label"), "code", "b_ie"), "doc_id"))
-    return sp.where("split = 'train'"), sp.where("split = 'test'")
+    sp = _split(a.select("doc_id", "text").join(a.select("doc_id", F.col("code").alias("label"), "code", "b_ie"), "doc_id"))
+    return tuple(FT.ngram_presence(sp.where(F.col("split") == side), "doc_id", "text", (2, 3, 4), NGRAM_FEATURES, ("label", "code", "b_ie", "split"))
+                 for side in ("train", "test"))
 
 
 @query("model_mlp_axis")
@@ -201,7 +204,7 @@ def model_mlp_axis(spark, d):
     tr, te = _ngram_data(spark, d)
     tr = tr.withColumn("label", F.col("b_ie").cast("double"))
     te = te.withColumn("label", F.col("b_ie").cast("double"))
-    return _out(_fit(MD.mlp(3 * NGRAM_FEATURES, 2, 16, 50), tr, te))
+    return _out(PC.fit(MD.mlp(3 * NGRAM_FEATURES, 2, 16, 50), tr).transform(te))
 
 
 @query("model_mlp_16")
@@ -213,7 +216,7 @@ def model_mlp_16(spark, d):
     tr, te = _ngram_data(spark, d)
     tr = tr.withColumn("label", L.flip("code").cast("double"))
     te = te.withColumn("label", L.flip("code").cast("double"))
-    p = _fit(MD.mlp(3 * NGRAM_FEATURES, 16, 16, 50), tr, te)
+    p = PC.fit(MD.mlp(3 * NGRAM_FEATURES, 16, 16, 50), tr).transform(te)
     p = p.withColumn("probs", vector_to_array("probability"))
     return M.confusion_soft(p, "label", "probs").select("actual", "class", F.round("p_sum", 6).alias("p_sum"))
 
