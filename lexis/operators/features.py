@@ -149,6 +149,33 @@ def encode(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataF
         F.transform(F.sort_array(F.collect_list("_at")), lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("tokens"))
 
 
+def encode_rows(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", max_terms: int = 1_000_000) -> DataFrame:
+    """Token arrays -> id arrays: the rows of ``encode`` on the exploded arrays.
+
+    A vocabulary of at most ``max_terms`` distinct terms is held by every task and tokens are
+    looked up in their row, so that rows of documents are grouped by id instead of
+    rows of tokens (of several rows with one id the tokens are merged by position);
+    otherwise the arrays are exploded and joined."""
+    docs = docs.select(id_col, F.col(tokens_col).alias("_tok"))
+    if vocab.count() > max_terms:
+        return encode(docs.select(id_col, F.posexplode("_tok").alias("pos", "term")), vocab, id_col)
+    held = vocab.select("term", "id").toArrow()
+    terms, known = held["term"].combine_chunks(), held["id"].combine_chunks().cast(pa.int32())
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("_tok")
+            tokens = lists.flatten()
+            found = pc.fill_null(known.take(pc.index_in(tokens, terms.cast(tokens.type))), UNK_ID)
+            bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+            yield pa.RecordBatch.from_arrays([b.column(id_col), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found)], [id_col, "_ids"])
+    schema = Ty.StructType([docs.schema[id_col], Ty.StructField("_ids", Ty.ArrayType(Ty.IntegerType()))])
+    rows = docs.where(F.size("_tok") > 0).mapInArrow(look_up, schema).groupBy(id_col).agg(F.collect_list("_ids").alias("_all"))
+    placed = F.flatten(F.transform("_all", lambda ids: F.transform(ids, lambda x, i: F.shiftleft(i.cast("long"), 32) + x)))
+    merged = F.transform(F.sort_array(placed), lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
+    return rows.select(id_col, F.when(F.size("_all") == 1, F.col("_all")[0]).otherwise(merged).alias("tokens"))
+
+
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", max_terms: int = 1_000_000) -> DataFrame:
     """Id arrays -> text (inverse lookup in position order).
 

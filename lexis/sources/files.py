@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from lexis.session import cut_lineage
+
 POSTS_SCHEMA = Ty.StructType([
     Ty.StructField("person_id", Ty.LongType()), Ty.StructField("type", Ty.StringType()),
     Ty.StructField("posts", Ty.StringType())])
@@ -54,9 +56,10 @@ def read_csv(spark: SparkSession, path: str, schema: Ty.StructType, header: bool
     A line begins a record if the file has an even number of quotes before it (quotes
     inside a field are doubled).  One pass counts, for each split, its quotes modulo two
     and the records that begin in it if it is entered outside or inside of a field; a
-    prefix sum over the splits of a file says which of the two holds.  Each split then
-    puts its own records together; only a record that goes on into the next split is
-    joined from its parts.  Lines end in a line feed."""
+    prefix sum over the splits of a file says which of the two holds (kept, a row for each
+    split).  Each split then puts its own records together, once; only splits that share a
+    record with the next are gone through again, to join it from its parts.  Lines end in a
+    line feed."""
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.input_file_name().alias("file"), F.input_file_block_start().alias("blk"), F.col("value").alias("line"))
     odd = ((F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2).cast("int").alias("odd")
@@ -64,15 +67,21 @@ def read_csv(spark: SparkSession, path: str, schema: Ty.StructType, header: bool
     before = Window.partitionBy("file").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)     # a row for each split
     splits = splits.withColumn("entered", F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2)
     begun = F.when(F.col("entered") == 0, F.col("outside")).otherwise(F.col("inside"))
-    splits = splits.select(F.col("file").alias("_f"), F.col("blk").alias("_b"), F.col("entered").cast("int").alias("entered"),
-                           F.coalesce(F.sum(begun).over(before), F.lit(0)).alias("first"))
-    known = lines.select("file", "blk", "line", odd).join(F.broadcast(splits), (F.col("file") == F.col("_f")) & (F.col("blk") == F.col("_b"))) \
-        .select("file", "blk", "line", "odd", "entered", "first")
-    parts = known.mapInArrow(_put_together, "file string, blk long, record long, text string, whole boolean")
-    # a record in several splits is one group: its own text
-    broken = parts.where("NOT whole").groupBy("file", "record").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("blk", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    records = parts.where("whole").select("record", "text").union(broken.select("record", "text")).where("text <> ''")
+    cut = (F.col("entered") == 1) | ((F.col("entered") + F.col("parity")) % 2 == 1)
+    splits = cut_lineage(splits.select(F.col("file").alias("_f"), F.col("blk").alias("_b"), F.col("entered").cast("int").alias("entered"),
+                                       F.coalesce(F.sum(begun).over(before), F.lit(0)).alias("first"), cut.alias("_cut")))
+
+    def parts(of: DataFrame) -> DataFrame:
+        known = lines.select("file", "blk", "line", odd).join(F.broadcast(of), (F.col("file") == F.col("_f")) & (F.col("blk") == F.col("_b")))
+        return known.select("file", "blk", "line", "odd", "entered", "first") \
+            .mapInArrow(_put_together, "file string, blk long, record long, text string, whole boolean")
+    records = parts(splits).where("whole").select("record", "text")
+    if not splits.where("_cut").isEmpty():
+        # a record in several splits is one group: its own text
+        broken = parts(splits.where("_cut")).where("NOT whole").groupBy("file", "record").agg(F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("blk", "text"))), lambda x: x["text"]), "\n").alias("text"))
+        records = records.union(broken.select("record", "text"))
+    records = records.where("text <> ''")
     if header:
         records = records.where("record > 0")
     options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _csv_options(False).items()}
@@ -122,6 +131,15 @@ def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 close(state == 0)
                 now, state, record = key, b.column("entered")[i].as_py(), b.column("first")[i].as_py() - 1
                 held, begun = [], False
+            if state == 0 and not b.column("odd").to_numpy()[i:j].any():        # every line is a record; the last may go on
+                close(True)
+                n = j - i
+                if n > 1:
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(now[0], pa.string()), n - 1), pa.repeat(pa.scalar(now[1], pa.int64()), n - 1),
+                                                      pa.array(np.arange(record + 1, record + n)), b.column("line").slice(i, n - 1).cast(pa.string()),
+                                                      pa.repeat(True, n - 1)], ["file", "blk", "record", "text", "whole"])
+                record, held, begun = record + n, [b.column("line")[j - 1].as_py()], True
+                continue
             for line, odd in zip(b.column("line").slice(i, j - i).to_pylist(), b.column("odd").slice(i, j - i).to_pylist()):
                 if state == 0:
                     close(True)

@@ -84,3 +84,17 @@ def test_load_by_key_without_it_keeps_the_scan(spark, many_files):
     kinds = [V.load(spark, d, "documents", by_key)._jdf.queryExecution().optimizedPlan().toString() for by_key in (False, True)]
     assert "Repartition" not in kinds[0] and "Repartition" in kinds[1]
     assert queries()["vocab_decode"](spark, d).count() > 0
+
+
+def test_rows_are_encoded_without_token_rows(spark):
+    """Arrays of tokens encoded in their row equal the exploded and joined ones, also for repeated and null ids."""
+    rows = [(1, ["b", "a", "b"]), (2, ["zz", "a"]), (3, []), (4, None), (5, ["a"] * 40), (1, ["c", "a"]), (1, ["b", "a", "b"]), (None, ["c"])]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(3, "doc_id")
+    vocab = spark.createDataFrame([("a", 2), ("b", 3), ("c", 4)], "term string, id int")
+    long = docs.select("doc_id", F.posexplode("tokens").alias("pos", "term"))
+    want = {r["doc_id"]: r["tokens"] for r in FT.encode(long, vocab).collect()}
+    assert want[2] == [1, 2] and want[1] == [3, 3, 4, 2, 2, 2, 3, 3]
+    for most in (10, 2):                                   # held by the tasks, joined
+        got = FT.encode_rows(docs, vocab, max_terms=most)
+        assert {r["doc_id"]: r["tokens"] for r in got.collect()} == want
+    assert "posexplode" not in FT.encode_rows(docs, vocab)._jdf.queryExecution().optimizedPlan().toString().lower()

@@ -43,3 +43,31 @@ def test_one_file_is_read_by_many_tasks(spark):
     empty = scratch_path(spark, "csv-empty")
     FS.write_csv(df.limit(0), empty)
     assert FS.read_csv(spark, empty, schema).count() == 0
+
+
+def test_records_of_one_line_are_put_together_once(spark, monkeypatch):
+    """Without a record in two splits each line goes through the parser once, and arrives whole."""
+    seen = spark.sparkContext.accumulator(0)
+    old = FS._put_together
+
+    def count(batches):
+        def each():
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        yield from old(each())
+    monkeypatch.setattr(FS, "_put_together", count)
+    rows = [(i, ", ".join(map(str, range(i % 7)))) for i in range(500)]
+    path = scratch_path(spark, "csv")
+    FS.write_csv(spark.createDataFrame(rows, "doc_id long, token string").repartition(3), path)
+    schema = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("token", Ty.StringType())])
+    assert sorted(map(tuple, FS.read_csv(spark, path, schema).collect())) == rows
+    assert seen.value == 503
+
+
+def test_an_open_quote_at_the_end_of_a_file_is_still_read(spark):
+    path = scratch_path(spark, "csv")
+    spark.createDataFrame([('"1","a"\n"2","b\nc"',), ('"3","d',)], "value string").coalesce(1).write.text(path)
+    schema = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("token", Ty.StringType())])
+    got = FS.read_csv(spark, path, schema, header=False)
+    assert sorted((r[0], r[1].rstrip("\n")) for r in got.collect()) == [(1, "a"), (2, "b\nc"), (3, "d")]
