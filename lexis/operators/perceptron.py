@@ -30,7 +30,7 @@ from lexis.operators.linear import _lists
 from lexis.session import store, unstore
 
 #: rows that a task unpacks at a time
-SLICE_ROWS = 256
+SLICE_ROWS = 64
 #: parts that a gradient is cut into to be summed
 PARTS = 8
 CORRECTIONS = 10
