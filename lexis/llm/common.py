@@ -9,6 +9,7 @@ without creating a Python object for each word.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -75,6 +76,10 @@ class Stored:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def let_go(self) -> None:
+        """Free the shuffle files of finished jobs: Spark removes them once the driver's garbage is collected."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 # ---------------------------------------------------------------- numpy side

@@ -153,22 +153,30 @@ class JaccardGroups:
         self.classes = self.stored.put(first.withColumn("cid", F.monotonically_increasing_id()))   # unique once written
         self.one = self.stored.put(one.drop("prefix"))
         self.stored.drop(one)
+        self.stored.let_go()
 
     # ---- candidates
     def _columns(self) -> tuple[DataFrame, DataFrame]:
         """The entries of columns with two classes or more (t, cid, n, at), and up to
         HEADS heads of each (t, first, first_n, is_main): of every part of its classes
         the one with the fewest rarer shingles, in a group of near copies one near to
-        all.  Nearly all columns have one class; they go before anything is stored."""
+        all.  Nearly all columns have one class; they go before anything is stored.
+        A class holds a shingle once, so a column's classes are counted without their numbers."""
+        several = self.classes.select(F.explode("prefix").alias("_t")).groupBy("_t").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("_t")
+        several = self.stored.put(several)
+        self.stored.let_go()
         rows = self.classes.select("cid", "n", F.posexplode("prefix").alias("at", "t"))
-        several = rows.groupBy("t").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a < b").select(F.col("t").alias("_t"))
-        cols = self.stored.put(rows.join(self.stored.put(several), F.col("t") == F.col("_t")).select("t", "cid", "n", "at"))
+        cols = self.stored.put(rows.join(several, F.col("t") == F.col("_t")).select("t", "cid", "n", "at"))
+        self.stored.drop(several)
+        self.stored.let_go()
         part = F.pmod(F.xxhash64("cid"), F.lit(HEADS))
         some = self.stored.put(cols.groupBy("t", part.alias("part")).agg(F.min(F.struct("at", "cid", "n")).alias("lo")))
         main = some.groupBy("t").agg(F.min("lo").alias("lo")).select(F.col("t").alias("_t"), F.col("lo.cid").alias("main"))
         heads = some.join(main, F.col("t") == F.col("_t")).select(
             "t", F.col("lo.cid").alias("first"), F.col("lo.n").alias("first_n"), (F.col("lo.cid") == F.col("main")).alias("is_main"))
-        return cols, self.stored.put(heads)
+        heads = self.stored.put(heads)
+        self.stored.drop(some)
+        return cols, heads
 
     def _first_pairs(self, cols: DataFrame, heads: DataFrame) -> DataFrame:
         p = self.percent
@@ -179,14 +187,18 @@ class JaccardGroups:
         return met.select(F.least("first", "cid").alias("a"), F.greatest("first", "cid").alias("b")).distinct()
 
     def _other_pairs(self, cols: DataFrame, heads: DataFrame, lab: DataFrame) -> DataFrame:
-        """Pairs of different components in the columns that still hold several."""
+        """Pairs of different components in the columns that still hold several; ``cols`` and ``heads`` are gone then."""
         p = self.percent
         own = lab.select(F.col("v").alias("_v"), F.col("c").alias("comp"))
         head = heads.where("is_main").join(own, F.col("first") == F.col("_v"), "left") \
             .select(F.col("t").alias("_t"), F.coalesce("comp", "first").alias("first_comp"))
+        head = self.stored.put(head)
         rows = cols.join(own, F.col("cid") == F.col("_v"), "left").withColumn("comp", F.coalesce("comp", "cid")) \
-            .join(self.stored.put(head), F.col("t") == F.col("_t"))
+            .join(head, F.col("t") == F.col("_t"))
         rows = self.stored.put(rows.select("t", "cid", "n", "at", "comp", (F.col("comp") == F.col("first_comp")).alias("main")))
+        for done in (cols, heads, head):
+            self.stored.drop(done)
+        self.stored.let_go()
         x = rows.where("NOT main").alias("x")
         y = rows.alias("y")
         xn, yn, xa, ya = F.col("x.n"), F.col("y.n"), F.col("x.at"), F.col("y.at")
@@ -200,22 +212,31 @@ class JaccardGroups:
         pre = self.classes.select("cid", "n", "prefix")
         one = pre.select(F.col("cid").alias("_a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
         two = pre.select(F.col("cid").alias("_b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
-        met = self.stored.put(met).join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+        met = self.stored.put(met)
+        self.stored.drop(rows)
+        self.stored.let_go()
+        met = met.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
         return met.where(_enough(F.size(F.array_intersect("pa", "pb")), F.col("na"), F.col("nb"), p)).select("a", "b")
 
     # ---- exact check
     def _links(self, pairs: DataFrame) -> DataFrame:
         pairs = self.stored.put(pairs)
+        self.stored.let_go()
         ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
         lead = self.classes.join(ids, "cid").select("cid", F.col("lead.doc_id").alias("_d"), F.col("lead.key").alias("_k"))
         texts = self.src.join(lead, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k"))) \
             .select("cid", "text").dropDuplicates(["cid"])
         sets = self.stored.put(texts.mapInArrow(_sets(self.width), "cid long, set array<long>"))
+        self.stored.let_go()                             # of the shuffled texts
         got = pairs.join(sets.select(F.col("cid").alias("_a"), F.col("set").alias("sa")), F.col("a") == F.col("_a")) \
             .join(sets.select(F.col("cid").alias("_b"), F.col("set").alias("sb")), F.col("b") == F.col("_b"))
         both = F.size(F.array_intersect("sa", "sb"))
         linked = both * 100 >= (F.size("sa") + F.size("sb") - both) * self.percent
-        return self.stored.put(got.where(linked).select("a", "b"))
+        links = self.stored.put(got.where(linked).select("a", "b"))
+        for done in (pairs, sets):
+            self.stored.drop(done)
+        self.stored.let_go()
+        return links
 
     def labels(self) -> DataFrame:
         """``v, c`` for the classes that link with another one."""
@@ -234,12 +255,15 @@ class JaccardGroups:
 
     def rows(self) -> DataFrame:
         """``doc_id, key, n_shingles, component_id, cid`` for every row of ``docs``
-        (cid: the smallest class of the component; null without shingles)."""
+        (cid: the smallest class of the component; null without shingles).  The classes
+        are gone then."""
         lab = self.labels()
         cl = self.classes.join(lab, F.col("cid") == F.col("v"), "left").withColumn("c", F.coalesce("c", "cid"))
         cl = self.stored.put(cl.select("f1", "f2", "c", "least"))
         comp = cl.groupBy("c").agg(F.min("least").alias("component_id"))
         cl = self.stored.put(cl.join(comp, "c").select(F.col("f1").alias("_1"), F.col("f2").alias("_2"), "c", "component_id"))
+        self.stored.drop(self.classes)
+        self.stored.let_go()
         out = self.one.join(cl, (F.col("n") > 0) & (F.col("f1") == F.col("_1")) & (F.col("f2") == F.col("_2")), "left")
         return out.select("doc_id", "key", F.col("n").cast("long").alias("n_shingles"),
                           F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -261,9 +285,13 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("b"))
     keep = best.select(F.col("b.doc_id").alias("_d"), F.col("b.key").alias("_k"), F.lit(False).alias("_all")) \
         .union(none.select("doc_id", "key", "all"))
+    keep = keep.withColumn("_to", F.xxhash64("_d", "_k"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                      F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
-    got = row.join(keep, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k")))
+                      F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h")).withColumn("_at", F.xxhash64("_id", "_h"))
+    # one key for the join and for repeated rows, so that whole rows are shuffled once; ids and hashes are compared
+    # by expressions that the planner does not take for further keys
+    same = F.coalesce(F.col("_id") == F.col("_d"), F.col("_id").isNull() & F.col("_d").isNull()) & (F.col("_h").bitwiseXOR(F.col("_k")) == 0)
+    got = row.join(keep, (F.col("_at") == F.col("_to")) & same)
     many = got.where("_all").select("_row")
-    one = got.where("NOT _all").dropDuplicates(["_id", "_h"]).select("_row")
+    one = got.where("NOT _all").dropDuplicates(["_at", "_id", "_h"]).select("_row")
     return many.union(one).select("_row.*")
