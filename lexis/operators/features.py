@@ -152,55 +152,116 @@ def encode(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataF
 def encode_rows(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", max_terms: int = 1_000_000) -> DataFrame:
     """Token arrays -> id arrays: the rows of ``encode`` on the exploded arrays.
 
-    A vocabulary of at most ``max_terms`` distinct terms is held by every task and tokens are
+    The ``max_terms`` first ids (the most frequent terms) are held by every task and tokens are
     looked up in their row, so that rows of documents are grouped by id instead of
-    rows of tokens (of several rows with one id the tokens are merged by position);
-    otherwise the arrays are exploded and joined."""
+    rows of tokens (of several rows with one id the tokens are merged by position).
+    Only tokens beyond those are exploded and joined with the rest of the vocabulary."""
     docs = docs.select(id_col, F.col(tokens_col).alias("_tok"))
-    if vocab.count() > max_terms:
+    vocab = vocab.select("term", "id")
+    more = vocab.count() > max_terms
+    head = vocab.where(F.col("id") < FIRST_ID + max_terms) if more else vocab
+    if more and not 0 < head.count() <= max_terms:
         return encode(docs.select(id_col, F.posexplode("_tok").alias("pos", "term")), vocab, id_col)
-    held = vocab.select("term", "id").toArrow()
+    held = head.toArrow()
     terms, known = held["term"].combine_chunks(), held["id"].combine_chunks().cast(pa.int32())
 
+    def bounds_of(lists) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column("_tok")
             tokens = lists.flatten()
-            found = pc.fill_null(known.take(pc.index_in(tokens, terms.cast(tokens.type))), UNK_ID)
-            bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-            yield pa.RecordBatch.from_arrays([b.column(id_col), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found)], [id_col, "_ids"])
-    schema = Ty.StructType([docs.schema[id_col], Ty.StructField("_ids", Ty.ArrayType(Ty.IntegerType()))])
-    rows = docs.where(F.size("_tok") > 0).mapInArrow(look_up, schema).groupBy(id_col).agg(F.collect_list("_ids").alias("_all"))
+            found = known.take(pc.index_in(tokens, terms.cast(tokens.type)))
+            found = found if more else pc.fill_null(found, UNK_ID)
+            yield pa.RecordBatch.from_arrays([b.column(id_col), pa.ListArray.from_arrays(pa.array(bounds_of(lists), pa.int32()), found)], [id_col, "_ids"])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("_tok")
+            tokens, bounds = lists.flatten(), bounds_of(lists)
+            at = np.flatnonzero(pc.is_null(pc.index_in(tokens, terms.cast(tokens.type))).to_numpy(zero_copy_only=False))
+            row = np.searchsorted(bounds, at, "right") - 1
+            yield pa.RecordBatch.from_arrays([b.column(id_col).take(pa.array(row)), pa.array((at - bounds[row]).astype(np.int64)),
+                                              tokens.take(pa.array(at)).cast(pa.string())], [id_col, "pos", "term"])
+    key, some = docs.schema[id_col], docs.where(F.size("_tok") > 0)
+    schema = Ty.StructType([key, Ty.StructField("_ids", Ty.ArrayType(Ty.IntegerType()))])
+    rows = some.mapInArrow(look_up, schema)
+    if more:
+        schema = Ty.StructType([key, Ty.StructField("pos", Ty.LongType()), Ty.StructField("term", Ty.StringType())])
+        rest = some.mapInArrow(others, schema).join(vocab.where(F.col("id") >= FIRST_ID + max_terms), "term", "left") \
+            .select(id_col, F.lit(None).cast("array<int>").alias("_ids"), (F.shiftleft("pos", 32) + F.coalesce("id", F.lit(UNK_ID))).alias("_at"))
+        rows = rows.select(id_col, "_ids", F.lit(None).cast("long").alias("_at")).union(rest)
+    rows = rows.groupBy(id_col).agg(F.collect_list("_ids").alias("_all"), *[F.collect_list("_at").alias("_rest")] * more)
     placed = F.flatten(F.transform("_all", lambda ids: F.transform(ids, lambda x, i: F.shiftleft(i.cast("long"), 32) + x)))
+    if more:
+        placed = F.concat(F.filter(placed, lambda x: x.isNotNull()), "_rest")
     merged = F.transform(F.sort_array(placed), lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
-    return rows.select(id_col, F.when(F.size("_all") == 1, F.col("_all")[0]).otherwise(merged).alias("tokens"))
+    whole = (F.size("_all") == 1) & (F.size("_rest") == 0) if more else F.size("_all") == 1
+    return rows.select(id_col, F.when(whole, F.col("_all")[0]).otherwise(merged).alias("tokens"))
 
 
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", max_terms: int = 1_000_000) -> DataFrame:
     """Id arrays -> text (inverse lookup in position order).
 
-    A vocabulary of at most ``max_terms`` terms whose ids run from ``FIRST_ID`` without
-    gaps is one array of terms that every task holds: an id is a place in it, so
-    no token leaves its row (one row for each id, as from ``encode``).  Others are joined
-    and the rows re-assembled.  An id without tokens has no row."""
+    Of a vocabulary whose ids run from ``FIRST_ID`` without gaps the first ``max_terms`` terms
+    are one array that every task holds: an id is a place in it, so these
+    tokens do not leave their row.  Only ids beyond them are exploded, joined with the rest of the
+    vocabulary and put back by position (the rows of an id are one text then, as with the join).
+    Other vocabularies are joined and the rows re-assembled.  An id without tokens has no row."""
     terms = vocab.select("term", "id")
     n, low, high, known = terms.agg(F.count(F.lit(1)), F.min("id"), F.max("id"), F.count_distinct("id")).first()
     special = lambda i: F.when(i == PAD_ID, F.lit("[PAD]")).otherwise(F.lit("[UNK]"))
-    if 0 < n <= max_terms and n == known and (low, high) == (FIRST_ID, FIRST_ID + n - 1):
-        held = terms.toArrow().sort_by("id")["term"].to_pylist()
+    if n and max_terms > 0 and n == known and (low, high) == (FIRST_ID, FIRST_ID + n - 1):
+        end = FIRST_ID + max_terms
+        held = terms.where(F.col("id") < end).toArrow().sort_by("id")["term"].to_pylist()
         held = pa.array(["[PAD]", "[UNK]", *held], pa.large_string())
 
+        def first_terms(at: pa.Array) -> pa.Array:
+            at = pc.fill_null(at, UNK_ID)
+            return held.take(pc.if_else(pc.and_(pc.greater_equal(at, PAD_ID), pc.less(at, len(held))), at, UNK_ID))
+
+        def record(b: pa.RecordBatch, lengths: np.ndarray, terms: pa.Array) -> pa.RecordBatch:
+            bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
+            text = pc.binary_join(pa.LargeListArray.from_arrays(bounds, terms), pa.scalar(" ", pa.large_string()))
+            return pa.RecordBatch.from_arrays([b.column(id_col), text.cast(pa.string())], [id_col, "text"])
+
         def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 lists = b.column(tokens_col)
-                at = pc.fill_null(lists.flatten(), UNK_ID)
-                at = pc.if_else(pc.and_(pc.greater_equal(at, PAD_ID), pc.less(at, len(held))), at, UNK_ID)
                 lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
-                text = pc.binary_join(pa.LargeListArray.from_arrays(bounds, held.take(at)), pa.scalar(" ", pa.large_string()))
-                yield pa.RecordBatch.from_arrays([b.column(id_col), text.cast(pa.string())], [id_col, "text"])
+                yield record(b, lengths, first_terms(lists.flatten()))
+
+        def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                lists, rest = b.column("_all"), b.column("_rest")
+                tokens, spare = lists.flatten().flatten(), rest.flatten()
+                lengths = np.array([sum(map(len, x)) for x in lists.to_pylist()], np.int64)
+                starts = np.cumsum(lengths) - lengths
+                terms = first_terms(tokens)
+                at = np.repeat(starts, pc.list_value_length(rest).to_numpy(zero_copy_only=False)) + spare.field("pos").to_numpy()
+                order = np.argsort(at)
+                mask = np.zeros(len(terms), bool)
+                if (pc.list_value_length(lists).to_numpy(zero_copy_only=False) == 1).all():
+                    mask[at] = True
+                    new = spare.field("term").cast(pa.large_string()).take(pa.array(order))
+                    yield record(b, lengths, pc.replace_with_mask(terms, pa.array(mask), new))
+                    continue
+                texts = []                                    # several rows of an id: by position, then term
+                for arrays, odd in zip(lists.to_pylist(), rest.to_pylist()):
+                    items = [(p, held[UNK_ID if t is None or not PAD_ID <= t < len(held) else t].as_py())
+                             for a in arrays for p, t in enumerate(a) if t is None or t < end]
+                    texts.append(" ".join(w for _, w in sorted(items + [(x["pos"], x["term"]) for x in odd])))
+                yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(texts, pa.string())], [id_col, "text"])
         schema = Ty.StructType([ids.schema[id_col], Ty.StructField("text", Ty.StringType())])
-        return ids.where(F.size(tokens_col) > 0).select(id_col, tokens_col).mapInArrow(words, schema)
+        ids = ids.where(F.size(tokens_col) > 0).select(id_col, tokens_col)
+        if n <= max_terms:
+            return ids.mapInArrow(words, schema)
+        rest = ids.select(id_col, F.posexplode(tokens_col).alias("pos", "id")).where(F.col("id") >= end).join(terms.where(F.col("id") >= end), "id", "left")
+        odd = F.struct("pos", F.coalesce("term", F.lit("[UNK]")).alias("term"))
+        rows = ids.select(id_col, F.col(tokens_col).alias("_ids"), F.lit(None).cast("struct<pos:int,term:string>").alias("_odd")) \
+            .union(rest.select(id_col, F.lit(None).cast("array<int>"), odd))
+        return rows.groupBy(id_col).agg(F.collect_list("_ids").alias("_all"), F.collect_list("_odd").alias("_rest")).mapInArrow(merged, schema)
     x = ids.select(id_col, F.posexplode(tokens_col).alias("pos", "id"))
     j = x.join(bounded_broadcast(terms), "id", "left") \
         .select(id_col, "pos", F.coalesce("term", special(F.col("id"))).alias("term"))
